@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, functions as F
+from pyspark.sql.types import StringType
 
 # Alphabets and checksum constants of the public address formats.
 BASE58 = "123456789ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz"
@@ -89,7 +90,7 @@ def _encode(kind: str, payload: str) -> str:
     return _bech32(1 if kind == "p2tr" else 0, raw)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _encode_batches(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     for kinds, payloads in batches:
         keys = kinds.str.cat(payloads, sep=":")  # null if either part is null

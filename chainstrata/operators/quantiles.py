@@ -29,11 +29,9 @@ def _bucketed(counts: DataFrame, keys: list[str]) -> DataFrame:
     sketch = counts.groupBy(*keys).agg(cuts.alias("_cuts"), F.max("n").alias("_most"))
     if keys:
         placed = counts.join(sketch, keys)
-        cut_list = F.col("_cuts")
     else:
-        placed = counts
-        cut_list = sketch.select("_cuts").scalar()
-    below = F.size(F.filter(cut_list, lambda c: c < F.col("value")))
+        placed = counts.withColumn("_cuts", sketch.select("_cuts").scalar())
+    below = F.size(F.filter("_cuts", lambda c: c < F.col("value")))
     return placed.withColumn("_bucket", below).select(*keys, "value", "n", "_bucket")
 
 

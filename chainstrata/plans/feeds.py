@@ -8,7 +8,7 @@ from chainstrata.operators import indicators, models
 from chainstrata.plans import standins as t
 from chainstrata.plans.registry import present, query, r
 from chainstrata.session import scratch_path
-from chainstrata.sources import catalog, landing, tables
+from chainstrata.sources import landing, tables
 from chainstrata.streaming import jobs
 
 CENTS = "CAST(round(o_totalprice * 100) AS BIGINT)"
@@ -87,7 +87,7 @@ def incremental_ingest(spark: SparkSession, sf: str) -> DataFrame:
         F.min("height").alias("first_height"), F.max("height").alias("last_height")))
 
 
-@query(f"""WITH {t.TICKS} SELECT CAST(date_trunc('millisecond', open_time) AS VARCHAR) AS open_time, price AS open, price + 1 AS high, price AS low, price AS close,
+@query(f"""WITH {t.TICKS} SELECT CAST(date_trunc('millisecond', open_time) AS VARCHAR) AS open_time, price AS open, round(price + 1, 6) AS high, price AS low, price AS close,
   CAST(k AS DOUBLE) AS volume, CAST(date_trunc('millisecond', open_time) + INTERVAL 1 MINUTE AS VARCHAR) AS close_time,
   {r('price * k', 2)} AS quote_volume, k AS trades FROM ticks""")
 def parse_feeds(spark: SparkSession, sf: str) -> DataFrame:
@@ -117,16 +117,14 @@ def _tick_stream(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"""WITH {t.bars_sql('5 minutes')} SELECT symbol, CAST(open_time AS VARCHAR) AS open_time, open, high, low, close, volume,
   {r('quote_volume', 3)} AS quote_volume, trades FROM bars""")
 def stream_ohlcv(spark: SparkSession, sf: str) -> DataFrame:
-    """Five-minute bars from the stream, repeated deliveries dropped, last version of each bar."""
+    """Five-minute bars from the stream; the last stored version of each bar."""
     path, checkpoint = scratch_path(spark, "stream-bars"), scratch_path(spark, "stream-bars-state")
-    unique = jobs.unique_ticks(_tick_stream(spark, sf), ["symbol", "event_id"], "open_time", "10 minutes")
-    bars = jobs.bar_stream(unique, "5m")
-    jobs.write_epochs(bars, path, checkpoint, "append").awaitTermination()
-    return present(catalog.read_matching(spark, path, "*.parquet").drop("epoch"), quote_volume=3)
+    jobs.write_epochs(jobs.bar_stream(_tick_stream(spark, sf), "5m"), path, checkpoint).awaitTermination()
+    return present(jobs.newest_rows(spark, path, ["symbol", "open_time"]), quote_volume=3)
 
 
 @query("""SELECT event_type AS symbol, CAST(date_trunc('minute', date_trunc('millisecond', ts)) AS VARCHAR) AS minute,
-  CAST(date_trunc('millisecond', max(ts)) AS VARCHAR) AS timestamp, arg_max(value / 1e4, ts) AS funding_rate, arg_max(value, ts) AS mark_price
+  CAST(date_trunc('millisecond', max(ts)) AS VARCHAR) AS timestamp, round(arg_max(value / 1e4, ts), 6) AS funding_rate, arg_max(value, ts) AS mark_price
   FROM events GROUP BY 1, 2""")
 def stream_throttle(spark: SparkSession, sf: str) -> DataFrame:
     """Funding messages, at most one row per symbol and minute."""

@@ -42,7 +42,7 @@ def _divergence(spark: SparkSession, sf: str) -> DataFrame:
     return fees.divergence(fees.prices_with_fees(t.daily_prices(spark, sf), t.daily_fees(spark, sf)))
 
 
-@query(f"""WITH {t.JOINED} SELECT CAST(date AS VARCHAR) AS date, {r('btc_price', 3)} AS btc_price, {r('fees_btc', 2)} AS fees_btc,
+@query(f"""WITH {t.JOINED} SELECT CAST(date AS VARCHAR) AS date, {r('btc_price', 8)} AS btc_price, {r('fees_btc', 2)} AS fees_btc,
   {r('fees_zscore')} AS fees_zscore, {r('price_zscore')} AS price_zscore, {r('divergence')} AS divergence, regime,
   CASE WHEN count(fees_zscore) OVER c7 = 7 THEN {r('avg(fees_zscore) OVER c7')} END AS fees_zscore_ma7,
   CASE WHEN count(price_zscore) OVER t7 = 7 THEN {r('avg(price_zscore) OVER t7')} END AS price_zscore_ma7,
@@ -54,14 +54,14 @@ def fee_price_divergence(spark: SparkSession, sf: str) -> DataFrame:
     out = _divergence(spark, sf).select(
         "date", "btc_price", "fees_btc", "fees_zscore", "price_zscore", "divergence", "regime",
         "fees_zscore_ma7", "price_zscore_ma7", "divergence_ma30")
-    return present(out.orderBy("date"), btc_price=3, fees_btc=2)
+    return present(out.orderBy("date"), btc_price=8, fees_btc=2)
 
 
 @query(f"""WITH {t.DAILY}, {t.PRICES}, f AS (
   SELECT *, CASE WHEN count(*) OVER w = 30 THEN avg(fees_btc) OVER w END AS ma30 FROM daily
   WINDOW w AS (ORDER BY date ROWS BETWEEN 29 PRECEDING AND CURRENT ROW))
   SELECT CAST(f.date AS VARCHAR) AS date, {r('fees_btc', 2)} AS fees_btc, {r('ma30', 3)} AS ma30, v.volume,
-  {r('c.btc_price', 3)} AS btc_price
+  {r('c.btc_price', 8)} AS btc_price
   FROM f LEFT JOIN prices v ON v.date = f.date JOIN prices c ON c.date = f.date""")
 def fees_with_volume(spark: SparkSession, sf: str) -> DataFrame:
     """Fee series with volume (left) and price (inner) of the same day."""
@@ -73,7 +73,7 @@ def fees_with_volume(spark: SparkSession, sf: str) -> DataFrame:
         .join(prices.select("date", "btc_price"), "date")
     )
     return present(out.select("date", "fees_btc", "ma30", "volume", "btc_price").orderBy("date"),
-                   fees_btc=2, ma30=3, btc_price=3)
+                   fees_btc=2, ma30=3, btc_price=8)
 
 
 STREAKS = t.JOINED + """,
@@ -87,11 +87,11 @@ runs AS (
 
 
 @query(f"""WITH {STREAKS} SELECT CAST(start_date AS VARCHAR) AS start_date, CAST(end_date AS VARCHAR) AS end_date, days,
-  {r('max_zscore')} AS max_zscore, {r('avg_fees', 3)} AS avg_fees, {r('price_start', 3)} AS price_start,
-  {r('price_end', 3)} AS price_end FROM runs""")
+  {r('max_zscore')} AS max_zscore, {r('avg_fees', 5)} AS avg_fees, {r('price_start', 8)} AS price_start,
+  {r('price_end', 8)} AS price_end FROM runs""")
 def regime_streaks(spark: SparkSession, sf: str) -> DataFrame:
     runs = streaks.streaks(_divergence(spark, sf), "regime", "elevated").drop("streak_id")
-    return present(runs.orderBy(F.desc("max_zscore"), "start_date"), avg_fees=3, price_start=3, price_end=3)
+    return present(runs.orderBy(F.desc("max_zscore"), "start_date"), avg_fees=5, price_start=8, price_end=8)
 
 
 @query(f"WITH {STREAKS} SELECT count(*) AS streaks, {r('avg(days)')} AS avg_days, max(days) AS max_days FROM runs")
@@ -173,25 +173,25 @@ def _hour_cells(value: str, digits: int) -> str:
 
 
 @query(f"""WITH e AS (SELECT isodow(ts) - 1 AS weekday, hour(ts) AS hour, value FROM events)
-  SELECT CAST(d.range AS BIGINT) AS weekday, {_hour_cells('value', 4)}
+  SELECT CAST(d.range AS BIGINT) AS weekday, {_hour_cells('value', 8)}
   FROM range(7) d LEFT JOIN e ON e.weekday = d.range GROUP BY 1""")
 def hour_weekday_heatmap(spark: SparkSession, sf: str) -> DataFrame:
     events = t.table(spark, sf, "events")
-    return present(stats.weekday_hour_means(events, F.col("ts"), "value").orderBy("weekday"), 4)
+    return present(stats.weekday_hour_means(events, F.col("ts"), "value").orderBy("weekday"), 8)
 
 
 @query(f"""WITH e AS (SELECT isodow(ts) - 1 AS weekday, hour(ts) AS hour, value,
     CAST(regexp_extract(props, '"k": *(-?[0-9]+)', 1) AS BIGINT) AS k FROM events),
   s AS (SELECT weekday, hour, avg(value) AS a, count(*) AS n, max(value) AS m, avg(k) AS l FROM e GROUP BY 1, 2)
   SELECT ['Mon','Tue','Wed','Thu','Fri','Sat','Sun'][weekday + 1] || ' ' || lpad(CAST(hour AS VARCHAR), 2, '0') || ':00' AS slot,
-  {r('a', 4)} AS avg_value, {r('m', 2)} AS max_value, n, {r('l', 4)} AS avg_load
+  {r('a', 8)} AS avg_value, {r('m', 2)} AS max_value, n, {r('l', 8)} AS avg_load
   FROM s ORDER BY a DESC, weekday, hour LIMIT 10""")
 def slot_stats_top10(spark: SparkSession, sf: str) -> DataFrame:
     events = t.table(spark, sf, "events").withColumn("load", F.get_json_object("props", "$.k").cast("bigint"))
     slots = stats.slot_stats(events, F.col("ts"), "value", "load")
     top = slots.orderBy(F.desc("avg_value"), "weekday", "hour").limit(10)
     label = calendar.slot_label(F.col("weekday"), F.col("hour")).alias("slot")
-    return present(top.select(label, "avg_value", "max_value", "n", "avg_load"), 4, max_value=2)
+    return present(top.select(label, "avg_value", "max_value", "n", "avg_load"), 8, max_value=2)
 
 
 CYCLES = (("2024-01-07", "first"), ("2024-01-15", "second"), ("2024-01-22", "third"))
@@ -200,13 +200,13 @@ CYCLES = (("2024-01-07", "first"), ("2024-01-15", "second"), ("2024-01-22", "thi
 @query(f"""WITH e AS (SELECT isodow(ts) - 1 AS weekday, hour(ts) AS hour, value,
     CASE WHEN CAST(ts AS DATE) <= DATE '2024-01-07' THEN 'first' WHEN CAST(ts AS DATE) <= DATE '2024-01-15' THEN 'second'
          WHEN CAST(ts AS DATE) <= DATE '2024-01-22' THEN 'third' ELSE 'fourth' END AS regime FROM events)
-  SELECT g.regime, CAST(d.range AS BIGINT) AS weekday, {_hour_cells('value', 4)}
+  SELECT g.regime, CAST(d.range AS BIGINT) AS weekday, {_hour_cells('value', 8)}
   FROM (SELECT DISTINCT regime FROM e) g CROSS JOIN range(7) d
   LEFT JOIN e ON e.weekday = d.range AND e.regime = g.regime GROUP BY 1, 2""")
 def date_regime_heatmap(spark: SparkSession, sf: str) -> DataFrame:
     label = calendar.cycle_label(F.to_date("ts"), CYCLES, "fourth")
     events = t.table(spark, sf, "events").withColumn("regime", label)
-    return present(stats.weekday_hour_means(events, F.col("ts"), "value", ["regime"]).orderBy("regime", "weekday"), 4)
+    return present(stats.weekday_hour_means(events, F.col("ts"), "value", ["regime"]).orderBy("regime", "weekday"), 8)
 
 
 EVENT_DATES = ("1996-07-09", "1998-11-28", "2000-03-26")
@@ -222,8 +222,8 @@ def days_to_event(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"""WITH o AS (SELECT CAST(o_orderdate AS DATE) AS date, {ORDER_CENTS} / 1e2 AS fee FROM orders),
   today AS (SELECT max(date) AS day FROM o)
-  SELECT {r('avg(fee) FILTER (date = day)', 3)} AS avg_today, {r('avg(fee)', 3)} AS avg_window,
-  {r('stddev_pop(fee)', 3)} AS std_window,
+  SELECT {r('avg(fee) FILTER (date = day)', 5)} AS avg_today, {r('avg(fee)', 5)} AS avg_window,
+  {r('stddev_pop(fee)', 5)} AS std_window,
   {r('coalesce((avg(fee) FILTER (date = day) - avg(fee)) / nullif(stddev_pop(fee), 0), 0)')} AS zscore
   FROM o, today WHERE date >= day - 30""")
 def live_zscore(spark: SparkSession, sf: str) -> DataFrame:
@@ -231,15 +231,15 @@ def live_zscore(spark: SparkSession, sf: str) -> DataFrame:
     date = F.to_date("o_orderdate")
     today = orders.agg(F.max(date)).scalar()
     out = fees.live_zscore(orders, date, money.cents(F.col("o_totalprice")) / 100, today)
-    return present(out, avg_today=3, avg_window=3, std_window=3)
+    return present(out, avg_today=5, avg_window=5, std_window=5)
 
 
-@query(f"""WITH {t.DAILY}, n AS (SELECT *, row_number() OVER (ORDER BY date) - 1 AS at, count(*) OVER () AS n FROM daily),
+@query(f"""WITH {t.DAILY}, n AS (SELECT *, row_number() OVER (ORDER BY date) - 1 AS pos, count(*) OVER () AS n FROM daily),
   f AS (SELECT n.*, fold, n.n // 6 AS size, n.n - (6 - fold) * (n.n // 6) AS start
         FROM n CROSS JOIN (SELECT unnest([1, 2, 3, 4, 5]) AS fold))
-  SELECT CAST(fold AS BIGINT) AS fold, CASE WHEN at < start THEN 'train' ELSE 'test' END AS role, count(*) AS n,
+  SELECT CAST(fold AS BIGINT) AS fold, CASE WHEN pos < start THEN 'train' ELSE 'test' END AS role, count(*) AS n,
   CAST(min(date) AS VARCHAR) AS first_date, CAST(max(date) AS VARCHAR) AS last_date, CAST(sum(fee_units) AS BIGINT) AS fee_units
-  FROM f WHERE at < start + size GROUP BY 1, 2""")
+  FROM f WHERE pos < start + size GROUP BY 1, 2""")
 def time_series_folds(spark: SparkSession, sf: str) -> DataFrame:
     folds = evaluate.time_folds(t.daily_fees(spark, sf), "date")
     return present(folds.groupBy("fold", "role").agg(

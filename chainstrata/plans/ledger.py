@@ -208,13 +208,13 @@ aged AS (
         WHERE height BETWEEN 0 AND 1000000))"""
 
 
-@query(f"""WITH {AGED} SELECT age_bucket, count(value_sats) AS n, {r('avg(value_sats)', 2)} AS mean, {r('stddev_samp(value_sats)', 2)} AS std,
+@query(f"""WITH {AGED} SELECT age_bucket, count(value_sats) AS n, {r('avg(value_sats)', 5)} AS mean, {r('stddev_samp(value_sats)', 2)} AS std,
   min(value_sats) AS min, max(value_sats) AS max, {r('quantile_cont(value_sats, 0.25)', 2)} AS q25,
   {r('quantile_cont(value_sats, 0.5)', 2)} AS q50, {r('quantile_cont(value_sats, 0.75)', 2)} AS q75
   FROM aged WHERE age_bucket IS NOT NULL GROUP BY 1""")
 def age_cohort_describe(spark: SparkSession, sf: str) -> DataFrame:
     aged = _aged(spark, sf).filter("age_bucket is not null")
-    return present(stats.describe(aged, ["age_bucket"], "value_sats"), 2)
+    return present(stats.describe(aged, ["age_bucket"], "value_sats"), 2, mean=5)
 
 
 @query(f"""WITH {AGED}, labels AS (SELECT * FROM {_labels_sql(AGE_COHORTS)} l(age_bucket, ord)),
@@ -427,9 +427,9 @@ trends AS (SELECT *, CASE WHEN up_weeks >= 3 AND total_delta > 100 THEN 'ACUMULA
 
 
 @query(f"""WITH {TRENDS} SELECT address, {r('total_delta', 2)} AS total_delta, up_weeks, down_weeks, weeks_present,
-  {r('avg_btc', 3)} AS avg_btc, trend FROM trends""")
+  {r('avg_btc', 5)} AS avg_btc, trend FROM trends""")
 def address_trends(spark: SparkSession, sf: str) -> DataFrame:
-    return present(snapshots.address_trends(_weekly(spark, sf), F.lit(dt.date(2024, 1, 30))), 2, avg_btc=3)
+    return present(snapshots.address_trends(_weekly(spark, sf), F.lit(dt.date(2024, 1, 30))), 2, avg_btc=5)
 
 
 @query(f"WITH {TRENDS} SELECT trend, count(*) AS holders, {r('sum(total_delta)', 2)} AS total_btc FROM trends GROUP BY 1")

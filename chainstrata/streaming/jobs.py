@@ -65,11 +65,14 @@ def unique_ticks(ticks: DataFrame, keys: Sequence[str], ts: str, delay: str) ->
     return ticks.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
-def bar_stream(ticks: DataFrame, bar: str = "5m", delay: str = "10 minutes") -> DataFrame:
-    """Tumbling bars per symbol from closed candles or ticks with one row per symbol and time."""
-    key = time_key(F.col("open_time"))
+def bar_stream(ticks: DataFrame, bar: str = "5m", delay: str | None = "10 minutes") -> DataFrame:
+    """Tumbling bars per symbol from closed candles or ticks with one row per symbol and time.
+
+    Pass ``delay=None`` after ``unique_ticks``, which has set the watermark already.
+    """
+    timed = ticks.withWatermark("open_time", delay) if delay else ticks
     return (
-        ticks.withWatermark("open_time", delay).withColumn("_key", key)
+        timed.withColumn("_key", time_key(F.col("open_time")))
         .groupBy("symbol", F.window("open_time", BAR_LENGTHS[bar]).alias("w"))
         .agg(F.min_by("open", "_key").alias("open"), F.max("high").alias("high"), F.min("low").alias("low"),
              F.max_by("close", "_key").alias("close"), F.sum("volume").alias("volume"),
