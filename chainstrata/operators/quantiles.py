@@ -1,100 +1,74 @@
 """Exact order statistics without gathering a group in one task.
 
-Values are first counted, so repeats collapse before any shuffle. A sketch then
-proposes split points that only decide how evenly work spreads, never the
-answer: bucket totals are prefix-summed and rows are ranked inside buckets.
+A sketch proposes cut values. Cuts only decide how little data the last step
+sees, never the answer: exact row counts between cuts tell which interval holds
+a wanted rank, and only that interval is ranked.
 """
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+ACCURACY = 10_000
+MARGIN = 2.0 / ACCURACY
 SPLITS = 64
 
 
-def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Distinct values per group with their multiplicity ``n``; nulls are left out."""
-    return (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*[F.col(k) for k in keys], F.col(value).alias("value"))
-        .agg(F.count("*").alias("n"))
-    )
+def _small(df: DataFrame, few_groups: bool) -> DataFrame:
+    return F.broadcast(df) if few_groups else df
 
 
-def _bucketed(counts: DataFrame, keys: list[str]) -> DataFrame:
-    cuts = F.percentile_approx("value", [i / SPLITS for i in range(1, SPLITS)], 1000)
-    # max(n) keeps the column alive, so this branch reads the same shuffle.
-    sketch = counts.groupBy(*keys).agg(cuts.alias("_cuts"), F.max("n").alias("_most"))
+def _cut_at(rows: DataFrame, keys: list[str], probes: list[float], few_groups: bool) -> DataFrame:
+    """Add ``_bucket``, the number of cut values below each row's value."""
+    cuts = rows.groupBy(*keys).agg(F.percentile_approx("value", probes, ACCURACY).alias("_cuts"))
     if keys:
-        placed = counts.join(sketch, keys)
+        placed = rows.join(_small(cuts, few_groups), keys)
     else:
-        placed = counts.withColumn("_cuts", sketch.select("_cuts").scalar())
-    below = F.size(F.filter("_cuts", lambda c: c < F.col("value")))
-    return placed.withColumn("_bucket", below).select(*keys, "value", "n", "_bucket")
-
-
-def _totals(bucketed: DataFrame, keys: list[str], with_sums: bool = False) -> DataFrame:
-    """Per bucket: rows and sums before it, and the group's grand totals."""
-    by_group = Window.partitionBy(*keys)
-    before = by_group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    zero = F.lit(0)
-    totals = [F.sum("n").alias("_rows")]
-    columns = [
-        F.coalesce(F.sum("_rows").over(before), zero).alias("_rows_before"),
-        F.sum("_rows").over(by_group).alias("total_n"),
-    ]
-    if with_sums:
-        totals.append(F.sum(F.col("n") * F.col("value")).alias("_sum"))
-        columns += [
-            F.coalesce(F.sum("_sum").over(before), zero).alias("_sum_before"),
-            F.sum("_sum").over(by_group).alias("total_sum"),
-        ]
-    return bucketed.groupBy(*keys, "_bucket").agg(*totals).select(*keys, "_bucket", "_rows", *columns)
-
-
-def ranked_values(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Distinct values in order with exact running counts and sums.
+        placed = rows.withColumn("_cuts", cuts.scalar())
+    below = functools.reduce(operator.add, [
+        (F.col("_cuts")[i] < F.col("value")).cast("int") for i in range(len(probes))])
+    return placed.withColumn("_bucket", below).drop("_cuts")
 
-    Adds ``below_n`` and ``below_sum`` (rows and sum of all smaller values) and
-    the group totals ``total_n`` and ``total_sum``.
-    """
-    keys = list(keys)
-    bucketed = _bucketed(value_counts(df, keys, value), keys)
-    inside = Window.partitionBy(*keys, "_bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-    zero = F.lit(0)
-    return (
-        bucketed.join(_totals(bucketed, keys, with_sums=True), [*keys, "_bucket"])
-        .withColumn("below_n", F.col("_rows_before") + F.coalesce(F.sum("n").over(inside), zero))
-        .withColumn("below_sum", F.col("_sum_before")
-                    + F.coalesce(F.sum(F.col("n") * F.col("value")).over(inside), zero))
-        .select(*keys, "value", "n", "below_n", "below_sum", "total_n", "total_sum")
-    )
+
+def _before(column: str, keys: list[str]) -> Column:
+    """Sum over the group's earlier buckets."""
+    w = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(column).over(w), F.lit(0))
 
 
-def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
-                    wanted: dict[str, float]) -> DataFrame:
+def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, wanted: dict[str, float],
+                    few_groups: bool = True) -> DataFrame:
     """Linearly interpolated quantiles, one column per entry of ``wanted``.
 
-    Only buckets that hold a wanted rank are ranked.
+    Values are not shuffled, apart from the narrow intervals around the wanted
+    ranks, about four rows in ``ACCURACY`` each. Should the sketch miss, a wider
+    interval is ranked and the result is the same. ``few_groups`` says that
+    groups are labels (a fixed ladder, script types), so per-group rows may be
+    broadcast; pass False for keys that grow with the data.
     """
     keys = list(keys)
-    bucketed = _bucketed(value_counts(df, keys, value), keys)
-    totals = _totals(bucketed, keys)
+    rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("value"))
+    probes = sorted({min(max(q + side, 0.0), 1.0) for q in wanted.values() for side in (-MARGIN, MARGIN)})
+    placed = _cut_at(rows, keys, probes, few_groups)
+    counts = placed.groupBy(*keys, "_bucket").agg(F.count("*").alias("_rows")).select(
+        *keys, "_bucket", "_rows", _before("_rows", keys).alias("_below"),
+        F.sum("_rows").over(Window.partitionBy(*keys)).alias("total_n"))
     ranks = {name: F.lit(float(q)) * (F.col("total_n") - 1) for name, q in wanted.items()}
-    first, after = F.col("_rows_before"), F.col("_rows_before") + F.col("_rows")
-    hit = F.lit(False)
-    for rank in ranks.values():
-        hit = hit | ((F.ceil(rank) >= first) & (F.floor(rank) < after))
+    hit = functools.reduce(operator.or_, [
+        (F.ceil(r) >= F.col("_below")) & (F.floor(r) < F.col("_below") + F.col("_rows")) for r in ranks.values()])
     inside = Window.partitionBy(*keys, "_bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     ranked = (
-        bucketed.join(totals.filter(hit), [*keys, "_bucket"])
-        .withColumn("_to", F.col("_rows_before") + F.sum("n").over(inside))
+        placed.join(_small(counts.filter(hit), few_groups), [*keys, "_bucket"])
+        .groupBy(*keys, "_bucket", "_below", "total_n", "value").agg(F.count("*").alias("n"))
+        .withColumn("_to", F.col("_below") + F.sum("n").over(inside))
         .withColumn("_from", F.col("_to") - F.col("n"))
     )
 
-    def at(rank):
+    def at(rank: Column) -> Column:
         return F.max(F.when((rank >= F.col("_from")) & (rank < F.col("_to")), F.col("value")))
 
     found = ranked.groupBy(*keys).agg(
@@ -106,3 +80,27 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
         (F.col(f"_lo_{n}") + (F.col(f"_hi_{n}") - F.col(f"_lo_{n}")) * (r - F.floor(r))).cast("double").alias(n)
         for n, r in ranks.items()
     ])
+
+
+def ranked_values(df: DataFrame, value: str) -> DataFrame:
+    """Distinct values in order with exact running counts and sums.
+
+    Adds ``below_n`` and ``below_sum`` (rows and sum of all smaller values) and
+    the totals ``total_n`` and ``total_sum``. Repeats collapse before the
+    shuffle; the values are cut in even pieces, and each task scans one piece.
+    """
+    rows = df.filter(F.col(value).isNotNull()).select(F.col(value).alias("value"))
+    counted = rows.groupBy("value").agg(F.count("*").alias("n"))
+    cuts = rows.agg(F.percentile_approx("value", [i / SPLITS for i in range(1, SPLITS)], ACCURACY).alias("_cuts")).scalar()
+    below = functools.reduce(operator.add, [(F.col("_cuts")[i] < F.col("value")).cast("int") for i in range(SPLITS - 1)])
+    placed = counted.withColumn("_cuts", cuts).withColumn("_bucket", below).drop("_cuts")
+    amount = F.col("n") * F.col("value")
+    pieces = placed.groupBy("_bucket").agg(F.sum("n").alias("_rows"), F.sum(amount).alias("_sum")).select(
+        "_bucket", _before("_rows", []).alias("_rows_below"), _before("_sum", []).alias("_sum_below"),
+        F.sum("_rows").over(Window.partitionBy()).alias("total_n"),
+        F.sum("_sum").over(Window.partitionBy()).alias("total_sum"))
+    inside = Window.partitionBy("_bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    return placed.join(F.broadcast(pieces), "_bucket").select(
+        "value", "n", "total_n", "total_sum",
+        (F.col("_rows_below") + F.coalesce(F.sum("n").over(inside), F.lit(0))).alias("below_n"),
+        (F.col("_sum_below") + F.coalesce(F.sum(amount).over(inside), F.lit(0))).alias("below_sum"))

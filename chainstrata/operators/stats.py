@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from chainstrata.functions.ratios import ratio
-from chainstrata.operators.quantiles import exact_quantiles, ranked_values, value_counts
+from chainstrata.operators.quantiles import exact_quantiles, ranked_values
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 FENCE = 1.5
@@ -25,21 +25,19 @@ def describe(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
 
 
 def boxes(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Quartiles, whisker ends within 1.5 spreads, and the number of points beyond."""
+    """Quartiles, whisker ends within 1.5 spreads, and the number of points beyond, per label."""
     keys = list(keys)
-    counts = value_counts(df, keys, value)
     spread = F.col("q75") - F.col("q25")
     low, high = F.col("q25") - FENCE * spread, F.col("q75") + FENCE * spread
-    v = F.col("value")
+    v = F.col(value)
     inside = (v >= low) & (v <= high)
     quartiles = exact_quantiles(df, keys, value, QUARTILES)
     return (
-        counts.join(quartiles, keys).groupBy(*keys, *QUARTILES).agg(
-            F.sum("n").alias("n"),
-            F.min("value").alias("min"), F.max("value").alias("max"),
+        df.filter(v.isNotNull()).join(F.broadcast(quartiles), keys).groupBy(*keys, *QUARTILES).agg(
+            F.count("*").alias("n"), F.min(v).alias("min"), F.max(v).alias("max"),
             F.min(F.when(inside, v)).alias("whisker_low"),
             F.max(F.when(inside, v)).alias("whisker_high"),
-            F.sum(F.when(inside, 0).otherwise(F.col("n"))).alias("outliers"),
+            F.count_if(~inside).alias("outliers"),
         )
     )
 
@@ -130,7 +128,7 @@ def concentration(df: DataFrame, value: str, points: int = 10) -> DataFrame:
     and running sums come from bucket prefixes, so no task sees the whole series.
     """
     wide = "decimal(38,0)"
-    ranked = ranked_values(df.select(F.col(value).cast("decimal(20,0)").alias(value)), [], value)
+    ranked = ranked_values(df.select(F.col(value).cast("decimal(20,0)").alias(value)), value)
     n, below, v = F.col("n").cast(wide), F.col("below_n").cast(wide), F.col("value")
     rank_sum = F.sum((n * below + n * (n + 1) / 2).cast(wide) * v.cast("decimal(20,0)"))
     cut = F.floor(F.col("point") * F.col("total_n") / points)

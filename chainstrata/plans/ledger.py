@@ -14,7 +14,7 @@ from chainstrata.operators import cohorts, snapshots, stats, utxo
 from chainstrata.operators.quantiles import exact_quantiles
 from chainstrata.plans import standins as t
 from chainstrata.plans.registry import present, query, r
-from chainstrata.session import scratch_path
+from chainstrata.session import materialized, scratch_path
 from chainstrata.sources import tables
 
 # Cents per coin for cohort tables, so that the published edges divide the data.
@@ -82,10 +82,15 @@ def threshold_share(spark: SparkSession, sf: str) -> DataFrame:
     return present(cohorts.predicate_share(_balances(spark, sf), F.col("balance_sats") >= MIN_UNITS))
 
 
+def _balance_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Balances as a stored table, for reports that read them more than once."""
+    return materialized(_balances(spark, sf), "balances")
+
+
 def _holders(spark: SparkSession, sf: str) -> DataFrame:
     height = F.col("last_seen_height") * t.HEIGHT_SCALE
     btc = F.col("balance_sats") / COHORT_UNITS
-    return _balances(spark, sf).withColumns({
+    return _balance_table(spark, sf).withColumns({
         "type": scripts.address_family(F.col("address")),
         "cohort": COIN_COHORTS.label(btc),
         "era": ERAS.label(height),
@@ -197,6 +202,10 @@ def _aged(spark: SparkSession, sf: str) -> DataFrame:
                        log10_positive(F.col("value_sats")).alias("log_value"))
 
 
+def _aged_table(spark: SparkSession, sf: str) -> DataFrame:
+    return materialized(_aged(spark, sf), "aged")
+
+
 AGED = t.CREATES + f""",
 times AS (
   SELECT CAST(CAST(o_orderdate AS DATE) - DATE '1995-01-01' AS BIGINT) AS height,
@@ -213,7 +222,7 @@ aged AS (
   {r('quantile_cont(value_sats, 0.5)', 2)} AS q50, {r('quantile_cont(value_sats, 0.75)', 2)} AS q75
   FROM aged WHERE age_bucket IS NOT NULL GROUP BY 1""")
 def age_cohort_describe(spark: SparkSession, sf: str) -> DataFrame:
-    aged = _aged(spark, sf).filter("age_bucket is not null")
+    aged = _aged_table(spark, sf).filter("age_bucket is not null")
     return present(stats.describe(aged, ["age_bucket"], "value_sats"), 2, mean=5)
 
 
@@ -235,7 +244,7 @@ def age_cohort_supply(spark: SparkSession, sf: str) -> DataFrame:
   {r('min(log_value)')} AS min, {r('max(log_value)')} AS max, {r('min(log_value) FILTER (inside)')} AS whisker_low,
   {r('max(log_value) FILTER (inside)')} AS whisker_high, count(*) FILTER (NOT inside) AS outliers FROM w GROUP BY 1""")
 def boxplot_by_cohort(spark: SparkSession, sf: str) -> DataFrame:
-    return present(stats.boxes(_aged(spark, sf).filter("age_bucket is not null"), ["age_bucket"], "log_value"))
+    return present(stats.boxes(_aged_table(spark, sf).filter("age_bucket is not null"), ["age_bucket"], "log_value"))
 
 
 CORRELATED = ("value_sats", "age_days", "height", "script_code")
@@ -295,7 +304,7 @@ def value_histogram(spark: SparkSession, sf: str) -> DataFrame:
   SELECT script_type, CAST(point AS BIGINT) AS point, {r('max(x)', 5)} AS x,
   {r('sum(m * exp(-0.5e0 * pow((x - mid) / bw, 2)) / (n * bw * sqrt(2 * pi())))', 5)} AS density FROM g GROUP BY 1, 2""")
 def value_kde(spark: SparkSession, sf: str) -> DataFrame:
-    return present(stats.density(_aged(spark, sf), "script_type", "log_value"), 5)
+    return present(stats.density(_aged_table(spark, sf), "script_type", "log_value"), 5)
 
 
 @query(f"""WITH {t.BALANCES}, o AS (SELECT balance_sats AS v, row_number() OVER (ORDER BY balance_sats) AS rn, count(*) OVER () AS n,
@@ -304,7 +313,7 @@ def value_kde(spark: SparkSession, sf: str) -> DataFrame:
   SELECT CAST(p.range AS BIGINT) AS point, p.range * n // 10 AS rows_below, {r('CAST(held AS DOUBLE) / CAST(total AS DOUBLE)')} AS share_below,
   {r('gini')} AS gini FROM range(1, 11) p JOIN o ON rn = p.range * n // 10, g""")
 def lorenz_gini(spark: SparkSession, sf: str) -> DataFrame:
-    return present(stats.concentration(_balances(spark, sf), "balance_sats").orderBy("point"))
+    return present(stats.concentration(_balance_table(spark, sf), "balance_sats").orderBy("point"))
 
 
 @query("""SELECT l_orderkey, l_linenumber, l_suppkey FROM lineitem
@@ -455,4 +464,4 @@ def snapshot_diff(spark: SparkSession, sf: str) -> DataFrame:
   {r('quantile_cont(balance_sats, 0.9)', 2)} AS p90, {r('quantile_cont(balance_sats, 0.999)', 2)} AS p999 FROM balances""")
 def balance_quantiles(spark: SparkSession, sf: str) -> DataFrame:
     wanted = {"p10": 0.1, "p50": 0.5, "p90": 0.9, "p999": 0.999}
-    return present(exact_quantiles(_balances(spark, sf), [], "balance_sats", wanted), 2)
+    return present(exact_quantiles(_balance_table(spark, sf), [], "balance_sats", wanted), 2)
