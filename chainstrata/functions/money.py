@@ -28,7 +28,7 @@ def sats_to_coins(sats: Column) -> Column:
 
 def cents(amount: Column) -> Column:
     """Two-decimal money held as a double, as exact integer cents."""
-    return F.round(amount * 100).cast("bigint")
+    return F.rint(amount * 100).cast("bigint")
 
 
 def safe_long(value: Column) -> Column:

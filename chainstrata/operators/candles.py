@@ -69,13 +69,11 @@ def daily_measures(daily: DataFrame, keys: Sequence[str] = ("symbol",), order: s
 def keep_one(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """One row per key, the first in ``order``.
 
-    An aggregate rather than a row number: copies of a key fold before the
-    shuffle, however many there are.
+    Spark turns the rank filter into a group limit that runs before the shuffle
+    too, so each task sends one copy of a key, however many it holds.
     """
-    rest = [c for c in df.columns if c not in keys]
-    best = F.min_by(F.struct(*[F.col(c) for c in rest]), F.struct(*order))
-    picked = df.groupBy(*keys).agg(best.alias("_row"))
-    return picked.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
+    at = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("_at", at).filter(F.col("_at") == 1).drop("_at")
 
 
 def newest_per_key(df: DataFrame, keys: Sequence[str], order: str, n: int) -> DataFrame:

@@ -10,6 +10,7 @@ from chainstrata.functions.bins import step_regime
 from chainstrata.functions.calendar import calendar_parts
 from chainstrata.functions.ratios import EPSILON, ratio
 from chainstrata.operators import series
+from chainstrata.session import small_side
 
 # Fixed value: model inputs, in model order.
 FEATURES = (
@@ -140,13 +141,14 @@ def with_daily_zscore(bars: DataFrame, daily: DataFrame, lag_days: int = 0) -> D
     """Attach the day's fee z-score, 0 where it is undefined.
 
     ``lag_days=0`` uses the same day's full total, which the bar could not know
-    yet; 1 uses the day before and has no look-ahead.
+    yet; 1 uses the day before and has no look-ahead. Stores the daily scores
+    first (an action).
     """
     by_day = daily.filter("fees_zscore is not null").select(
         F.date_add("date", lag_days).alias("_day"), "fees_zscore")
     return (
         bars.withColumn("_day", F.to_date("open_time"))
-        .join(by_day, "_day", "left").drop("_day")
+        .join(small_side(by_day, "daily-scores"), "_day", "left").drop("_day")
         .withColumn("fees_zscore", F.coalesce("fees_zscore", F.lit(0.0)))
     )
 

@@ -147,13 +147,14 @@ def standardize(df: DataFrame, columns: Sequence[str], suffix: str = "_z") -> Da
     """Zero mean and unit population deviation; a constant column becomes 0."""
     moments = df.agg(F.struct(
         *[F.avg(c).alias(f"m_{c}") for c in columns], *[F.stddev_pop(c).alias(f"s_{c}") for c in columns],
-    ).alias("m")).scalar()
+    )).scalar()
 
     def scaled(c: str) -> Column:
-        gap, sd = F.col(c) - moments[f"m_{c}"], moments[f"s_{c}"]
+        gap, sd = F.col(c) - F.col(f"_m.m_{c}"), F.col(f"_m.s_{c}")
         return gap / F.when(sd == 0, 1.0).otherwise(sd)
 
-    return df.withColumns({f"{c}{suffix}": scaled(c) for c in columns})
+    # one reference to the moments, so that they are planned once
+    return df.withColumn("_m", moments).withColumns({f"{c}{suffix}": scaled(c) for c in columns}).drop("_m")
 
 
 def principal_components(df: DataFrame, columns: Sequence[str], k: int = 2) -> tuple[DataFrame, list[float]]:

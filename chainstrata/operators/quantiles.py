@@ -13,24 +13,23 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from chainstrata.session import small_side
+
 ACCURACY = 10_000
 MARGIN = 2.0 / ACCURACY
 SPLITS = 64
 
 
-def _small(df: DataFrame, few_groups: bool) -> DataFrame:
-    return F.broadcast(df) if few_groups else df
-
-
-def _cut_at(rows: DataFrame, keys: list[str], probes: list[float], few_groups: bool) -> DataFrame:
-    """Add ``_bucket``, the number of cut values below each row's value."""
-    cuts = rows.groupBy(*keys).agg(F.percentile_approx("value", probes, ACCURACY).alias("_cuts"))
+def _cut_at(rows: DataFrame, sample: DataFrame, keys: list[str], probes: list[float]) -> DataFrame:
+    """Add ``_bucket``, the number of the sample's sketched cut values below each row's value."""
+    cuts = sample.groupBy(*keys).agg(F.percentile_approx("value", probes, ACCURACY).alias("_cuts"))
     if keys:
-        placed = rows.join(_small(cuts, few_groups), keys)
+        placed = rows.join(small_side(cuts, "cuts"), keys)
+        values = [F.col("_cuts")[i] for i in range(len(probes))]
     else:
-        placed = rows.withColumn("_cuts", cuts.scalar())
-    below = functools.reduce(operator.add, [
-        (F.col("_cuts")[i] < F.col("value")).cast("int") for i in range(len(probes))])
+        placed = rows
+        values = [F.lit(c) for c in cuts.first()[0] or []]
+    below = functools.reduce(operator.add, [(c < F.col("value")).cast("int") for c in values], F.lit(0))
     return placed.withColumn("_bucket", below).drop("_cuts")
 
 
@@ -40,20 +39,18 @@ def _before(column: str, keys: list[str]) -> Column:
     return F.coalesce(F.sum(column).over(w), F.lit(0))
 
 
-def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, wanted: dict[str, float],
-                    few_groups: bool = True) -> DataFrame:
+def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, wanted: dict[str, float]) -> DataFrame:
     """Linearly interpolated quantiles, one column per entry of ``wanted``.
 
     Values are not shuffled, apart from the narrow intervals around the wanted
     ranks, about four rows in ``ACCURACY`` each. Should the sketch miss, a wider
-    interval is ranked and the result is the same. ``few_groups`` says that
-    groups are labels (a fixed ladder, script types), so per-group rows may be
-    broadcast; pass False for keys that grow with the data.
+    interval is ranked and the result is the same. Reads ``df`` three times, so
+    pass a stored table; runs actions for the two per-group tables.
     """
     keys = list(keys)
     rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("value"))
     probes = sorted({min(max(q + side, 0.0), 1.0) for q in wanted.values() for side in (-MARGIN, MARGIN)})
-    placed = _cut_at(rows, keys, probes, few_groups)
+    placed = _cut_at(rows, rows, keys, probes)
     counts = placed.groupBy(*keys, "_bucket").agg(F.count("*").alias("_rows")).select(
         *keys, "_bucket", "_rows", _before("_rows", keys).alias("_below"),
         F.sum("_rows").over(Window.partitionBy(*keys)).alias("total_n"))
@@ -62,7 +59,7 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, wanted: dict
         (F.ceil(r) >= F.col("_below")) & (F.floor(r) < F.col("_below") + F.col("_rows")) for r in ranks.values()])
     inside = Window.partitionBy(*keys, "_bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     ranked = (
-        placed.join(_small(counts.filter(hit), few_groups), [*keys, "_bucket"])
+        placed.join(small_side(counts.filter(hit), "wanted-buckets"), [*keys, "_bucket"])
         .groupBy(*keys, "_bucket", "_below", "total_n", "value").agg(F.count("*").alias("n"))
         .withColumn("_to", F.col("_below") + F.sum("n").over(inside))
         .withColumn("_from", F.col("_to") - F.col("n"))
@@ -88,18 +85,18 @@ def ranked_values(df: DataFrame, value: str) -> DataFrame:
     Adds ``below_n`` and ``below_sum`` (rows and sum of all smaller values) and
     the totals ``total_n`` and ``total_sum``. Repeats collapse before the
     shuffle; the values are cut in even pieces, and each task scans one piece.
+    Runs an action for the cuts.
     """
     rows = df.filter(F.col(value).isNotNull()).select(F.col(value).alias("value"))
     counted = rows.groupBy("value").agg(F.count("*").alias("n"))
-    cuts = rows.agg(F.percentile_approx("value", [i / SPLITS for i in range(1, SPLITS)], ACCURACY).alias("_cuts")).scalar()
-    below = functools.reduce(operator.add, [(F.col("_cuts")[i] < F.col("value")).cast("int") for i in range(SPLITS - 1)])
-    placed = counted.withColumn("_cuts", cuts).withColumn("_bucket", below).drop("_cuts")
+    placed = _cut_at(counted, rows, [], [i / SPLITS for i in range(1, SPLITS)])
     amount = F.col("n") * F.col("value")
     pieces = placed.groupBy("_bucket").agg(F.sum("n").alias("_rows"), F.sum(amount).alias("_sum")).select(
         "_bucket", _before("_rows", []).alias("_rows_below"), _before("_sum", []).alias("_sum_below"),
         F.sum("_rows").over(Window.partitionBy()).alias("total_n"),
         F.sum("_sum").over(Window.partitionBy()).alias("total_sum"))
     inside = Window.partitionBy("_bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    # at most SPLITS rows
     return placed.join(F.broadcast(pieces), "_bucket").select(
         "value", "n", "total_n", "total_sum",
         (F.col("_rows_below") + F.coalesce(F.sum("n").over(inside), F.lit(0))).alias("below_n"),

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from chainstrata.functions.ratios import ratio
 from chainstrata.operators.quantiles import exact_quantiles, ranked_values
+from chainstrata.session import materialized, small_side
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 FENCE = 1.5
@@ -33,7 +34,7 @@ def boxes(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     inside = (v >= low) & (v <= high)
     quartiles = exact_quantiles(df, keys, value, QUARTILES)
     return (
-        df.filter(v.isNotNull()).join(F.broadcast(quartiles), keys).groupBy(*keys, *QUARTILES).agg(
+        df.filter(v.isNotNull()).join(small_side(quartiles, "quartiles"), keys).groupBy(*keys, *QUARTILES).agg(
             F.count("*").alias("n"), F.min(v).alias("min"), F.max(v).alias("max"),
             F.min(F.when(inside, v)).alias("whisker_low"),
             F.max(F.when(inside, v)).alias("whisker_high"),
@@ -45,13 +46,13 @@ def boxes(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
 def alphabetical_codes(df: DataFrame, label: str, code: str) -> DataFrame:
     """Replace a label by its 0-based alphabetical position, null by -1.
 
-    The dictionary has one row per distinct label and AQE chooses how to join it.
+    Stores the dictionary of distinct labels first (an action).
     """
     labels = (
         df.filter(F.col(label).isNotNull()).select(label).distinct()
         .withColumn(code, (F.dense_rank().over(Window.partitionBy().orderBy(label)) - 1).cast("double"))
     )
-    return df.join(labels, label, "left").withColumn(code, F.coalesce(code, F.lit(-1.0)))
+    return df.join(small_side(labels, "labels"), label, "left").withColumn(code, F.coalesce(code, F.lit(-1.0)))
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -87,7 +88,8 @@ def density(df: DataFrame, key: str, value: str, bins: int = 512, grid: int = 64
     """Gaussian density per group on an even grid, bandwidth n^(-1/5) * deviation.
 
     Points are first folded into ``bins`` fine bins per group, so the kernel sum
-    runs over bins times grid points whatever the number of rows.
+    runs over bins times grid points whatever the number of rows. Stores the
+    per-group shape first (an action).
     """
     x = F.col(value).cast("double")
     rows = df.filter(x.isNotNull() & F.col(key).isNotNull())
@@ -100,7 +102,7 @@ def density(df: DataFrame, key: str, value: str, bins: int = 512, grid: int = 64
     width = (F.col("_hi") - F.col("_lo")) / bins
     at = F.least(F.floor((x - F.col("_lo")) / width), F.lit(bins - 1))
     fine = (
-        rows.join(shape, key)
+        rows.join(small_side(shape, "shape"), key)
         .groupBy(key, "_n", "_bw", "_lo", "_hi", at.alias("_at")).agg(F.count("*").alias("_m"))
     )
     middle = F.col("_lo") + (F.col("_at") + 0.5) * width
@@ -126,18 +128,24 @@ def concentration(df: DataFrame, value: str, points: int = 10) -> DataFrame:
 
     Each row also carries the Gini index. Equal values are handled as one run,
     and running sums come from bucket prefixes, so no task sees the whole series.
+    ``value`` is an integer whose total fits a bigint. Writes the ranked values
+    once, as curve and index both read them.
     """
     wide = "decimal(38,0)"
-    ranked = ranked_values(df.select(F.col(value).cast("decimal(20,0)").alias(value)), value)
-    n, below, v = F.col("n").cast(wide), F.col("below_n").cast(wide), F.col("value")
-    rank_sum = F.sum((n * below + n * (n + 1) / 2).cast(wide) * v.cast("decimal(20,0)"))
-    cut = F.floor(F.col("point") * F.col("total_n") / points)
-    held = (F.col("below_sum") + (cut - F.col("below_n")) * v).cast("double") / F.col("total_sum").cast("double")
-    steps = ranked.withColumn("point", F.explode(F.sequence(F.lit(1), F.lit(points))))
-    curve = steps.filter((cut > F.col("below_n")) & (cut <= F.col("below_n") + F.col("n"))).select(
-        "point", cut.alias("rows_below"), held.alias("share_below"))
-    total_n, total = F.max("total_n").cast("double"), F.max("total_sum").cast("double")
-    gini = ranked.agg((F.lit(2.0) * ratio(rank_sum, total_n * total) - (total_n + 1) / total_n).alias("gini"))
+    ranked = materialized(ranked_values(df, value), "ranked")
+    n, below, total_n, v = F.col("n"), F.col("below_n"), F.col("total_n"), F.col("value")
+    # ranks below+1 .. below+n of a run sum to n (2 below + n + 1) / 2
+    ranks = n.cast("decimal(20,0)") * (2 * below + n + 1).cast("decimal(18,0)") / 2
+    rank_sum = F.sum((ranks.cast("decimal(22,0)") * v.cast("decimal(16,0)")).cast(wide))
+    first = F.floor(below * points / total_n) + 1
+    last = F.floor((below + n) * points / total_n)
+    steps = ranked.filter(last >= first).withColumn("point", F.explode(F.sequence(first, last)))
+    # the cut row of a step can lie in the run before when the division is not exact
+    cut = F.floor(F.col("point") * total_n / points)
+    held = (F.col("below_sum") + (cut - below) * v).cast("double") / F.col("total_sum").cast("double")
+    curve = steps.select(F.col("point").cast("bigint").alias("point"), cut.alias("rows_below"), held.alias("share_below"))
+    all_n, all_sum = F.max("total_n").cast("double"), F.max("total_sum").cast("double")
+    gini = ranked.agg((F.lit(2.0) * ratio(rank_sum, all_n * all_sum) - (all_n + 1) / all_n).alias("gini"))
     return curve.withColumn("gini", gini.scalar())
 
 

@@ -101,10 +101,10 @@ def prefix_range(df: DataFrame, low: str, high: str) -> DataFrame:
 def unspent(created: DataFrame, spent: DataFrame) -> DataFrame:
     """Outputs no input refers to.
 
-    Both sides collapse to one row per outpoint before they meet, so repeated
-    rows neither count twice nor pile up on one task. The first copy by height,
-    then value, then address wins. Both sides end up hashed on the outpoint,
-    and the anti-join adds no further shuffle.
+    Both sides collapse to one row per outpoint, within each task before their
+    shuffle, so repeated rows neither count twice nor pile up on one task. The
+    first copy by height, then value, then address wins. Both sides end up
+    hashed on the outpoint, and the anti-join adds no further shuffle.
     """
     first = keep_one(
         created.select("txid", "vout", "address", "value_sats", "height"), OUTPOINT,

@@ -14,7 +14,7 @@ from chainstrata.operators import cohorts, snapshots, stats, utxo
 from chainstrata.operators.quantiles import exact_quantiles
 from chainstrata.plans import standins as t
 from chainstrata.plans.registry import present, query, r
-from chainstrata.session import materialized, scratch_path
+from chainstrata.session import materialized, scratch_path, small_side
 from chainstrata.sources import tables
 
 # Cents per coin for cohort tables, so that the published edges divide the data.
@@ -69,7 +69,7 @@ def top_addresses(spark: SparkSession, sf: str) -> DataFrame:
   '2024-01-31' AS as_of FROM balances WHERE balance_sats >= {MIN_UNITS}""")
 def balance_over_threshold(spark: SparkSession, sf: str) -> DataFrame:
     """Large holders, stored under two dates; the newest version is read back."""
-    holders = utxo.large_holders(_balances(spark, sf), MIN_UNITS, 100.0)
+    holders = utxo.large_holders(_balance_table(spark, sf), MIN_UNITS, 100.0)
     path = scratch_path(spark, "large-holders")
     tables.write_dated(holders.filter("btc > 60000"), path, "2024-01-24")
     tables.write_dated(holders, path, "2024-01-31")
@@ -195,7 +195,7 @@ def _aged(spark: SparkSession, sf: str) -> DataFrame:
         "o_orderkey")
     times = blocks.groupBy("height").agg(F.max_by("time", "o_orderkey").alias("time"))
     outputs = t.utxo_events(spark, sf).filter("event_type = 'create'").filter(F.col("height").between(0, t.TIP))
-    aged = outputs.join(times, "height", "left").withColumn(
+    aged = outputs.join(small_side(times, "block-times"), "height", "left").withColumn(
         "age_days", calendar.age_days(F.col("time"), F.lit(AS_OF)))
     return aged.select("height", F.col("scriptPubKey_type").alias("script_type"), "value_sats", "age_days",
                        AGE_COHORTS.label(F.col("age_days")).alias("age_bucket"),

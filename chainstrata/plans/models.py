@@ -54,7 +54,7 @@ def _market_days(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def fee_gbt_cv(spark: SparkSession, sf: str) -> DataFrame:
     """Error per fold and overall (fold null) of the next-day fee model."""
-    predictions, _ = models.fee_cross_validation(models.fee_model_frame(_market_days(spark, sf)), trees=20)
+    predictions, _ = models.fee_cross_validation(models.fee_model_frame(_market_days(spark, sf)), trees=10)
     by_fold = evaluate.regression_metrics(predictions, ["fold"], "actual", "predicted")
     overall = evaluate.regression_metrics(predictions, [], "actual", "predicted")
     return present(by_fold.unionByName(overall.withColumn("fold", F.lit(None).cast("int"))))

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from chainstrata.operators.candles import keep_one
-from chainstrata.session import shared_dir
+from chainstrata.session import scratch_path
 
 # Fixed value: blocks per batch.
 BATCH_BLOCKS = 250
@@ -83,16 +82,16 @@ def _partition_filter(values: Sequence, by: Sequence[str]) -> Column:
 
 
 def upsert_partitions(new: DataFrame, path: str, keys: Sequence[str], by: Sequence[str],
-                      newest_wins: bool = True, token: str | None = None) -> None:
+                      newest_wins: bool = True, staged: str | None = None) -> None:
     """Merge rows into the partitions they touch, one row per key.
 
-    The merged partitions are first written to the shared folder under
-    ``token`` and then swapped in. A rerun with the same token after a failure
-    finds that copy and only repeats the swap, so no row is lost in between.
-    Only partition values (directory names) reach the driver.
+    The merged partitions are first written to ``staged`` (by default a fresh
+    path in the shared folder) and then swapped in. A rerun with the same path
+    after a failure finds that copy and only repeats the swap, so no row is lost
+    in between. Only partition values (directory names) reach the driver.
     """
     spark = new.sparkSession
-    staged = f"{shared_dir(spark)}/upsert-{token or uuid.uuid4().hex}"
+    staged = staged or scratch_path(spark, "upsert")
     if not exists(spark, f"{staged}/_SUCCESS"):
         touched = [tuple(r) for r in new.select(*by).distinct().collect()]
         if not touched:
@@ -103,6 +102,7 @@ def upsert_partitions(new: DataFrame, path: str, keys: Sequence[str], by: Sequen
         rest = [F.xxhash64(*[c for c in new.columns if c not in keys])]
         keep_one(both, keys, [rank, *rest]).drop("_age").write.mode("overwrite").parquet(staged)
     replace_partitions(spark.read.schema(new.schema).parquet(staged), path, by, list(keys))
+    reset(spark, staged)
 
 
 def rollback(spark: SparkSession, path: str, last_height: int) -> None:
@@ -113,7 +113,7 @@ def rollback(spark: SparkSession, path: str, last_height: int) -> None:
              and int(s.getPath().getName().split("=")[1]) > cut]
     table = spark.read.parquet(path)
     kept = table.filter((F.col("batch_id") == cut) & (F.col("height") <= last_height))
-    staged = f"{shared_dir(spark)}/rollback-{uuid.uuid4().hex}"
+    staged = scratch_path(spark, "rollback")
     kept.write.parquet(staged)
     rest = spark.read.schema(kept.schema).parquet(staged)
     if rest.isEmpty():
@@ -157,9 +157,9 @@ def with_month(candles: DataFrame) -> DataFrame:
     return candles.withColumns({"year": F.year("open_time"), "month": F.month("open_time")})
 
 
-def upsert_candles(new: DataFrame, path: str, keys: Sequence[str] = ("open_time",), token: str | None = None) -> None:
+def upsert_candles(new: DataFrame, path: str, keys: Sequence[str] = ("open_time",)) -> None:
     """Add candles; a candle already stored stays, only touched months are rewritten."""
-    upsert_partitions(with_month(new), path, list(keys), ["year", "month"], newest_wins=False, token=token)
+    upsert_partitions(with_month(new), path, list(keys), ["year", "month"], newest_wins=False)
 
 
 def delete_candles_from(spark: SparkSession, path: str, cut: Column) -> None:
@@ -168,7 +168,7 @@ def delete_candles_from(spark: SparkSession, path: str, cut: Column) -> None:
     months = [tuple(r) for r in table.filter(F.col("open_time") >= cut).select("year", "month").distinct().collect()]
     if not months:
         return
-    staged = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
+    staged = scratch_path(spark, "cut")
     kept = table.filter(_partition_filter(months, ["year", "month"]) & (F.col("open_time") < cut))
     kept.write.parquet(staged)
     rest = spark.read.schema(kept.schema).parquet(staged)

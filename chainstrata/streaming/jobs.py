@@ -30,11 +30,10 @@ def ingest_blocks(spark: SparkSession, landed: str, warehouse: str, checkpoint:
 
     def load(micro: DataFrame, epoch: int) -> None:
         micro.persist()
-        run = checkpoint.rstrip("/").rsplit("/", 1)[-1]
         for name, flat in landing.flatten_blocks(micro).items():
             batched = flat.withColumn("batch_id", tables.batch_id(F.col("height")))
             tables.upsert_partitions(batched, f"{warehouse}/{name}", keys[name], ["batch_id"],
-                                     token=f"{run}-{epoch}-{name}")
+                                     staged=f"{checkpoint}/merged/{epoch}-{name}")
         micro.unpersist()
 
     stream = spark.readStream.schema(landing.BLOCK_SCHEMA).json(landed)
