@@ -237,9 +237,9 @@ def density_regimes(df: DataFrame, columns: Sequence[str], radius: float = 0.5,
         .groupBy("_component").agg(F.sum("n").alias("_size")).filter(F.col("_size") >= min_cluster_size)
     )
     kept = member.join(sizes.select("_component"), "_component", "left_semi")
-    number = F.shiftrightunsigned(F.xxhash64("_component"), 1)
+    number = F.shiftrightunsigned(F.xxhash64("_component"), 1)  # of a null it would be a number too
     return placed.join(kept, "_cell", "left").withColumn(
-        "cluster", F.coalesce(number, F.lit(-1).cast("bigint"))).drop("_cell", "_component")
+        "cluster", F.when(F.col("_component").isNotNull(), number).otherwise(-1)).drop("_cell", "_component")
 
 
 def cluster_profiles(df: DataFrame, columns: Sequence[str], cluster: str = "cluster") -> DataFrame:

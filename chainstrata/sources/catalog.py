@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
 
+from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -38,7 +39,7 @@ def rows(spark: SparkSession, text: str) -> Iterator[dict]:
     try:
         for row in result.toLocalIterator():
             yield row.asDict(recursive=True)
-    except PySparkException as failure:
+    except (PySparkException, Py4JError) as failure:
         raise QueryError(str(failure)) from failure
 
 
