@@ -101,9 +101,10 @@ def sma_cross(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""WITH {HOURLY}, v AS (SELECT *, {_mean('volume', 24)} AS volume_ma24 FROM bars)
-  SELECT {KEY}, {r('volume_ma24')} AS volume_ma24, {r('volume / nullif(volume_ma24, 0)')} AS volume_ratio FROM v""")
+  SELECT {KEY}, {r('volume_ma24')} AS volume_ma24, {r('volume / nullif(volume_ma24, 0)', 8)} AS volume_ratio FROM v""")
 def volume_ratio(spark: SparkSession, sf: str) -> DataFrame:
-    return _hourly(spark, sf, indicators.with_volume_ratio, "volume_ma24", "volume_ratio")
+    out = indicators.on_bars(t.bars(spark, sf), indicators.with_volume_ratio)
+    return present(out.select("symbol", "open_time", "volume_ma24", "volume_ratio"), volume_ratio=8)
 
 
 MACD = """numbered AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY open_time) AS rn FROM bars),
@@ -158,13 +159,13 @@ MEASURES = tuple(c for c in indicators.FEATURES if c not in (
     "sma_cross", "zscore_regime", "funding_rate", "funding_signal", "hour", "minute", "day_of_week", "is_weekend"))
 
 
-@query(f"""WITH RECURSIVE {FEATURES} SELECT {KEY}, target, {", ".join(f"{r(c, 4)} AS {c}" for c in MEASURES)},
+@query(f"""WITH RECURSIVE {FEATURES} SELECT {KEY}, target, {", ".join(f"{r(c, 8 if c == 'volume_ratio' else 6)} AS {c}" for c in MEASURES)},
   sma_cross, zscore_regime, 0e0 AS funding_rate, 0 AS funding_signal, hour(f.open_time) AS hour, minute(f.open_time) AS minute,
   isodow(f.open_time) - 1 AS day_of_week, CAST(isodow(f.open_time) >= 6 AS BIGINT) AS is_weekend
   FROM f WHERE {" AND ".join(f"{c} IS NOT NULL" for c in (*MEASURES, "log_return", "sma_50"))}""")
 def feature_matrix(spark: SparkSession, sf: str) -> DataFrame:
     matrix = indicators.feature_matrix(_bars_with_z(spark, sf))
-    return present(matrix.select("symbol", "open_time", "target", *indicators.FEATURES), 4)
+    return present(matrix.select("symbol", "open_time", "target", *indicators.FEATURES), volume_ratio=8)
 
 
 LOADS = t.TICKS + """,
