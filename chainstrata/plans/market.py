@@ -61,7 +61,7 @@ KEY = "symbol, CAST(open_time AS VARCHAR) AS open_time"
 
 
 def _hourly(spark: SparkSession, sf: str, compute, *columns: str, back: int = indicators.SIMPLE_BACK) -> DataFrame:
-    out = indicators.on_bars(t.bars(spark, sf), compute, back)
+    out = indicators.on_bars(t.stored_bars(spark, sf), compute, back)
     return present(out.select("symbol", "open_time", *columns))
 
 
@@ -90,7 +90,7 @@ RANGES = f"""ranges AS (SELECT *, CASE WHEN {_lag('close')} IS NOT NULL THEN
 
 @query(f"WITH {HOURLY}, {RANGES} SELECT {KEY}, {r('(' + _mean('tr', 14) + ') / nullif(close, 0) * 100', 5)} AS atr_pct FROM ranges")
 def atr_pct(spark: SparkSession, sf: str) -> DataFrame:
-    out = indicators.on_bars(t.bars(spark, sf), indicators.with_atr)
+    out = indicators.on_bars(t.stored_bars(spark, sf), indicators.with_atr)
     return present(out.select("symbol", "open_time", "atr_pct"), 5)
 
 
@@ -103,7 +103,7 @@ def sma_cross(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"""WITH {HOURLY}, v AS (SELECT *, {_mean('volume', 24)} AS volume_ma24 FROM bars)
   SELECT {KEY}, {r('volume_ma24')} AS volume_ma24, {r('volume / nullif(volume_ma24, 0)', 8)} AS volume_ratio FROM v""")
 def volume_ratio(spark: SparkSession, sf: str) -> DataFrame:
-    out = indicators.on_bars(t.bars(spark, sf), indicators.with_volume_ratio)
+    out = indicators.on_bars(t.stored_bars(spark, sf), indicators.with_volume_ratio)
     return present(out.select("symbol", "open_time", "volume_ma24", "volume_ratio"), volume_ratio=8)
 
 
@@ -118,12 +118,12 @@ smooth AS (
 
 @query(f"""WITH RECURSIVE {HOURLY}, {MACD} SELECT {KEY}, {r('ema12 - ema26', 5)} AS macd, {r('ema12 - ema26 - signal', 5)} AS macd_hist FROM smooth""")
 def macd(spark: SparkSession, sf: str) -> DataFrame:
-    out = indicators.on_bars(t.bars(spark, sf), indicators.with_macd, indicators.SMOOTHED_BACK)
+    out = indicators.on_bars(t.stored_bars(spark, sf), indicators.with_macd, indicators.SMOOTHED_BACK)
     return present(out.select("symbol", "open_time", "macd", "macd_hist"), 5)
 
 
 def _bars_with_z(spark: SparkSession, sf: str) -> DataFrame:
-    return indicators.with_daily_zscore(t.bars(spark, sf), t.shifted_zscores(spark, sf))
+    return indicators.with_daily_zscore(t.stored_bars(spark, sf), t.shifted_zscores(spark, sf))
 
 
 Z_BARS = f"""{HOURLY}, {t.ZSCORES},

@@ -102,7 +102,7 @@ def pca_2d(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def walk_forward_gbt(spark: SparkSession, sf: str) -> DataFrame:
     """Metrics per symbol and period of the fitted next-bar model."""
-    bars = indicators.with_daily_zscore(t.bars(spark, sf), t.shifted_zscores(spark, sf), lag_days=1)
+    bars = indicators.with_daily_zscore(t.stored_bars(spark, sf), t.shifted_zscores(spark, sf), lag_days=1)
     scored = models.walk_forward(indicators.feature_matrix(bars), PERIODS, trees=5)
     curve = evaluate.equity(evaluate.trades(scored, min_confidence=0.5))
     return present(evaluate.period_metrics(curve))
