@@ -47,7 +47,7 @@ def _landed_blocks(spark: SparkSession, sf: str) -> str:
 @query(f"""WITH o AS (SELECT md5(CAST(o_orderkey AS VARCHAR)) AS id, md5(o_orderkey || 'b') AS id2, {CENTS} AS sats,
     CAST(CAST(o_orderdate AS DATE) - DATE '1995-01-01' AS BIGINT) AS height FROM orders)
   SELECT height, id AS block_hash, id AS txid, true AS is_coinbase, CAST(NULL AS VARCHAR) AS prev_txid, CAST(NULL AS BIGINT) AS prev_vout,
-         2 AS vout_count, 2 * sats AS value_sats FROM o
+         CAST(2 AS BIGINT) AS vout_count, 2 * sats AS value_sats FROM o
   UNION ALL SELECT height, id, id2, false, id, 0, 1, sats FROM o""")
 def flatten_blocks(spark: SparkSession, sf: str) -> DataFrame:
     """Nested blocks to flat tables; one row per transaction over all of them."""

@@ -252,7 +252,7 @@ def time_series_folds(spark: SparkSession, sf: str) -> DataFrame:
   coinbase AS (SELECT DISTINCT l_orderkey AS key FROM lineitem WHERE l_returnflag = 'R'),
   paid AS (SELECT l_orderkey AS key, CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS BIGINT) AS sats
            FROM lineitem SEMI JOIN coinbase ON l_orderkey = key GROUP BY 1)
-  SELECT height, md5(CAST(o.key AS VARCHAR)) AS block_hash, time, 1 AS "nTx", subsidy AS subsidy_sats,
+  SELECT height, md5(CAST(o.key AS VARCHAR)) AS block_hash, time, CAST(1 AS BIGINT) AS "nTx", subsidy AS subsidy_sats,
          greatest(coalesce(sats, 0) - subsidy, 0) AS fees_sats
   FROM (SELECT *, CASE WHEN height // 210000 >= 64 THEN 0 ELSE 5000000000 >> CAST(least(height // 210000, 62) AS INTEGER) END AS subsidy
         FROM o) o LEFT JOIN paid ON paid.key = o.key""")

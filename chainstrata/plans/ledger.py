@@ -316,7 +316,7 @@ def lorenz_gini(spark: SparkSession, sf: str) -> DataFrame:
     return present(stats.concentration(_balance_table(spark, sf), "balance_sats").orderBy("point"))
 
 
-@query("""SELECT l_orderkey, l_linenumber, l_suppkey FROM lineitem
+@query("""SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_suppkey FROM lineitem
   WHERE substr(md5(l_orderkey || ':' || l_linenumber), 1, 8) < '1999999a'""")
 def hash_sample(spark: SparkSession, sf: str) -> DataFrame:
     """Repeatable tenth of all outpoints: the key's hash decides, in any run and any layout."""

@@ -160,7 +160,7 @@ MEASURES = tuple(c for c in indicators.FEATURES if c not in (
 
 
 @query(f"""WITH RECURSIVE {FEATURES} SELECT {KEY}, target, {", ".join(f"{r(c, 8 if c == 'volume_ratio' else 6)} AS {c}" for c in MEASURES)},
-  sma_cross, zscore_regime, 0e0 AS funding_rate, 0 AS funding_signal, hour(f.open_time) AS hour, minute(f.open_time) AS minute,
+  sma_cross, CAST(zscore_regime AS BIGINT) AS zscore_regime, 0e0 AS funding_rate, CAST(0 AS BIGINT) AS funding_signal, hour(f.open_time) AS hour, minute(f.open_time) AS minute,
   isodow(f.open_time) - 1 AS day_of_week, CAST(isodow(f.open_time) >= 6 AS BIGINT) AS is_weekend
   FROM f WHERE {" AND ".join(f"{c} IS NOT NULL" for c in (*MEASURES, "log_return", "sma_50"))}""")
 def feature_matrix(spark: SparkSession, sf: str) -> DataFrame:
