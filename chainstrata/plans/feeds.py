@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from chainstrata.operators import indicators, models
 from chainstrata.plans import standins as t
@@ -14,7 +14,7 @@ from chainstrata.streaming import jobs
 CENTS = "CAST(round(o_totalprice * 100) AS BIGINT)"
 
 
-def _raw_blocks(orders: DataFrame) -> DataFrame:
+def _raw_blocks(orders: DataFrame, height: Column) -> DataFrame:
     """An order as a landed block: one minting transaction and one that spends its output."""
     key = F.col("o_orderkey").cast("string")
     units = (F.col("o_totalprice") * 100).cast("decimal(20,0)")
@@ -32,7 +32,7 @@ def _raw_blocks(orders: DataFrame) -> DataFrame:
         F.lit(None).cast("string").alias("coinbase"), F.md5(key).alias("txid"), F.lit(0).alias("vout"),
         F.lit(8).alias("sequence"))).alias("vin"), F.array(output(0, "witness_v0_keyhash")).alias("vout"))
     block = F.struct(
-        t.height_of(F.col("o_orderdate")).alias("height"), F.md5(key).alias("hash"),
+        height.alias("height"), F.md5(key).alias("hash"),
         F.unix_seconds(F.to_date("o_orderdate").cast("timestamp")).alias("time"), text(F.col("o_orderstatus")).alias("bits"),
         F.lit(2).alias("nTx"), F.array(mint, move).alias("tx"))
     return orders.select(F.to_json(block).alias("value"))
@@ -40,7 +40,7 @@ def _raw_blocks(orders: DataFrame) -> DataFrame:
 
 def _landed_blocks(spark: SparkSession, sf: str) -> str:
     path = scratch_path(spark, "landed-blocks")
-    _raw_blocks(t.orders(spark, sf)).write.text(path)
+    _raw_blocks(t.orders(spark, sf), t.height_of(F.col("o_orderdate"))).write.text(path)
     return path
 
 
@@ -59,25 +59,25 @@ def flatten_blocks(spark: SparkSession, sf: str) -> DataFrame:
     return joined.select("height", "block_hash", "txid", "is_coinbase", "prev_txid", "prev_vout", "vout_count", "value_sats")
 
 
-@query(f"""WITH o AS (SELECT {CENTS} AS sats, CAST(CAST(o_orderdate AS DATE) - DATE '1995-01-01' AS BIGINT) AS height FROM orders)
+@query(f"""WITH o AS (SELECT {CENTS} AS sats, o_orderkey AS height FROM orders)
   SELECT height // 250 AS batch_id, 3 * count(*) AS n_outputs, CAST(3 * sum(sats) AS BIGINT) AS value_sats, count(*) AS n_spends,
          min(height) AS first_height, max(height) AS last_height FROM o GROUP BY 1""")
 def incremental_ingest(spark: SparkSession, sf: str) -> DataFrame:
-    """Two landings, two runs of the block load, one repeated delivery; then the derived table."""
+    """Orders land as blocks in two overlapping deliveries; each is loaded, then the derived table follows."""
     landed, warehouse = scratch_path(spark, "landed-blocks"), scratch_path(spark, "warehouse")
     checkpoint, events = scratch_path(spark, "ingest"), f"{warehouse}/utxo_events"
     orders = t.orders(spark, sf)
-    early = F.col("o_orderdate") < F.lit("1998-03-10").cast("timestamp_ntz")
-    late = F.col("o_orderdate") >= F.lit("1998-02-10").cast("timestamp_ntz")
+    key, top = F.col("o_orderkey"), orders.agg(F.max("o_orderkey")).scalar()
     sources = {"outputs": f"{warehouse}/outputs", "inputs": f"{warehouse}/inputs"}
 
     def build(part):
-        spends = part["inputs"].filter("not is_coinbase").select("height", F.lit(1).alias("spend"), F.lit(0).cast("bigint").alias("value_sats"))
+        spends = part["inputs"].filter("not is_coinbase").select(
+            "height", F.lit(1).alias("spend"), F.lit(0).cast("bigint").alias("value_sats"))
         made = part["outputs"].select("height", F.lit(0).alias("spend"), "value_sats")
         return made.unionByName(spends)
 
-    for delivery in (orders.filter(early), orders.filter(late)):
-        _raw_blocks(delivery).write.mode("append").text(landed)
+    for delivery in (orders.filter(key < top * 0.55), orders.filter(key >= top * 0.5)):
+        _raw_blocks(delivery, key).write.mode("append").text(landed)
         jobs.ingest_blocks(spark, landed, warehouse, checkpoint).awaitTermination()
         tables.refresh_batches(spark, sources, "outputs", events, build)
     stored = spark.read.parquet(events)

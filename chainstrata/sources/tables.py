@@ -83,7 +83,11 @@ def _partition_filter(values: Sequence, by: Sequence[str]) -> Column:
 
 def upsert_partitions(new: DataFrame, path: str, keys: Sequence[str], by: Sequence[str],
                       newest_wins: bool = True, staged: str | None = None) -> None:
-    """Merge rows into the partitions they touch, one row per key.
+    """Merge rows into the partitions they touch.
+
+    With ``newest_wins`` all stored rows whose key arrives again give way, so a
+    key may stand for a group of rows (a block's transactions). Otherwise the
+    stored row stays and ``new`` adds one row per unknown key.
 
     The merged partitions are first written to ``staged`` (by default a fresh
     path in the shared folder) and then swapped in. A rerun with the same path
@@ -97,10 +101,13 @@ def upsert_partitions(new: DataFrame, path: str, keys: Sequence[str], by: Sequen
         if not touched:
             return
         old = read_or_empty(spark, path, new).filter(_partition_filter(touched, by))
-        both = old.withColumn("_age", F.lit(0)).unionByName(new.withColumn("_age", F.lit(1)))
-        rank = -F.col("_age") if newest_wins else F.col("_age")
-        rest = [F.xxhash64(*[c for c in new.columns if c not in keys])]
-        keep_one(both, keys, [rank, *rest]).drop("_age").write.mode("overwrite").parquet(staged)
+        if newest_wins:
+            merged = old.join(new.select(*keys).distinct(), list(keys), "left_anti").unionByName(new)
+        else:
+            both = old.withColumn("_age", F.lit(0)).unionByName(new.withColumn("_age", F.lit(1)))
+            rest = F.xxhash64(*[c for c in new.columns if c not in keys])
+            merged = keep_one(both, keys, [F.col("_age"), rest]).drop("_age")
+        merged.write.mode("overwrite").parquet(staged)
     replace_partitions(spark.read.schema(new.schema).parquet(staged), path, by, list(keys))
     reset(spark, staged)
 

@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 
 from chainstrata.functions.calendar import BAR_LENGTHS
 from chainstrata.functions.ratios import MIN_CONFIDENCE, signal_label
-from chainstrata.operators.candles import newest_per_key, time_key
+from chainstrata.operators.candles import keep_one, newest_per_key, time_key
 from chainstrata.sources import landing, tables
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
@@ -22,21 +22,25 @@ def ingest_blocks(spark: SparkSession, landed: str, warehouse: str, checkpoint:
     """Load every landed block file once into the four flat tables, then stop.
 
     The checkpoint remembers the files seen and advances only after a
-    micro-batch is written. Rows merge into whole height batches, so a repeated
-    or grown batch replaces itself.
+    micro-batch is written. A height that is delivered again replaces all its
+    rows, so a reorganised block leaves nothing behind; within a micro-batch the
+    file that landed last wins. Blocks without a readable height are kept apart
+    in ``rejected``.
     """
-    keys = {"blocks": ["height"], "txs": ["height", "txid"], "inputs": ["height", "txid", "vin_index"],
-            "outputs": ["height", "txid", "vout"]}
 
     def load(micro: DataFrame, epoch: int) -> None:
         micro.persist()
-        for name, flat in landing.flatten_blocks(micro).items():
+        height = F.col("height").try_cast("bigint")
+        micro.filter(height.isNull()).write.mode("overwrite").json(f"{warehouse}/rejected/epoch={epoch}")
+        newest = keep_one(micro.filter(height.isNotNull()), ["height"], [F.desc("landed_at"), F.col("hash")])
+        for name, flat in landing.flatten_blocks(newest).items():
             batched = flat.withColumn("batch_id", tables.batch_id(F.col("height")))
-            tables.upsert_partitions(batched, f"{warehouse}/{name}", keys[name], ["batch_id"],
+            tables.upsert_partitions(batched, f"{warehouse}/{name}", ["height"], ["batch_id"],
                                      staged=f"{checkpoint}/merged/{epoch}-{name}")
         micro.unpersist()
 
-    stream = spark.readStream.schema(landing.BLOCK_SCHEMA).json(landed)
+    stream = spark.readStream.schema(landing.BLOCK_SCHEMA).json(landed).select(
+        "*", F.col("_metadata.file_modification_time").alias("landed_at"))
     return (stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
@@ -114,7 +118,10 @@ class _LastBars(StatefulProcessor):
 
 
 def last_bars_stream(bars: DataFrame, size: int = 48) -> DataFrame:
-    """Rolling buffer of the newest ``size`` bars per symbol, state bounded by that size."""
+    """Rolling buffer of the newest ``size`` bars per symbol, state bounded by that size.
+
+    Sets the session's state store to RocksDB, which list state needs.
+    """
     bars.sparkSession.conf.set(STATE_STORE, ROCKSDB)
     schema = StructType.fromDDL("open_time timestamp, close double")
     return bars.select("symbol", "open_time", "close").groupBy("symbol").transformWithStateInPandas(

@@ -99,3 +99,18 @@ def test_ingest_in_two_runs(spark, again):
     assert sizes == {"blocks": 20, "txs": 40, "inputs": 40, "outputs": 80}
     tables.rollback(spark, f"{warehouse}/blocks", 252)
     assert tables.tip_height(spark.read.parquet(f"{warehouse}/blocks")).first().tip == 252
+
+
+def test_a_reorganised_block_leaves_nothing_behind(spark):
+    landed, warehouse, state = (scratch_path(spark, n) for n in ("landed", "warehouse", "state"))
+    land(spark, landed, [block(h, 3) for h in range(3)] + [{"height": "?", "hash": "odd"}])
+    jobs.ingest_blocks(spark, landed, warehouse, state).awaitTermination()
+    other = block(2, 1)
+    other["hash"], other["tx"][0]["txid"] = "other", "t-other"
+    land(spark, landed, [other])
+    jobs.ingest_blocks(spark, landed, warehouse, state).awaitTermination()
+    txs = spark.read.parquet(f"{warehouse}/txs")
+    assert txs.count() == 7
+    assert [r.txid for r in txs.filter("height = 2").collect()] == ["t-other"]
+    assert [r.hash for r in spark.read.parquet(f"{warehouse}/blocks").filter("height = 2").collect()] == ["other"]
+    assert [r.hash for r in spark.read.json(f"{warehouse}/rejected").collect()] == ["odd"]
