@@ -92,6 +92,10 @@ def _ball(width: int, radius: int) -> list[int]:
     return [sum(1 << b for b in chosen) for r in range(radius + 1) for chosen in combinations(range(width), r)]
 
 
+def _looked_up(place: Column, part: Column):
+    return lambda mask: F.struct(place, part.bitwiseXOR(mask).alias("value"))
+
+
 def near_pairs(prints: DataFrame, bits: int = BITS, segments: int = SEGMENTS) -> DataFrame:
     """Pairs (a < b) of different fingerprints within ``bits`` bits, from distinct ``print`` values.
 
@@ -106,7 +110,7 @@ def near_pairs(prints: DataFrame, bits: int = BITS, segments: int = SEGMENTS) ->
         place: Column = F.lit(i).cast("tinyint").alias("segment")
         filed.append(F.struct(place, part.alias("value")))
         masks = F.lit(_ball(width, radius)).cast("array<bigint>")
-        looked_up.append(F.transform(masks, lambda m, part=part, place=place: F.struct(place, part.bitwiseXOR(m).alias("value"))))
+        looked_up.append(F.transform(masks, _looked_up(place, part)))
     index = prints.select(F.col("print").alias("b"), F.inline(F.array(*filed)))
     probes = prints.select(F.col("print").alias("a"), F.inline(F.flatten(F.array(*looked_up))))
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= bits
