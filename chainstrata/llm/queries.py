@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from chainstrata.llm import bpe, line_dedup, mixing, simhash
-from chainstrata.llm.columns import BLANK, LOWER, UPPER, table
+from chainstrata.llm import bpe, line_dedup, mixing, quality, simhash, toxicity
+from chainstrata.llm.columns import BLANK, LOWER, UPPER, held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -46,6 +46,21 @@ def op3_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
     return mixed.select("row.doc_id", "size", "source_size", "target", "taken")
 
 
+@query()
+def op5_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    scored = toxicity.toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"), "neighbours", "terms")
+
+
+@query()
+def op6_quality(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    scored = quality.score(docs.select("doc_id", "text"), quality.train(docs, table(spark, sf, "labels")))
+    return scored.select("row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
 @query(f"""
 WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
   FROM documents),
