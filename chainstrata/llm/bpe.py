@@ -11,6 +11,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -75,6 +76,7 @@ _loaded: dict[int, Tokenizer] = {}
 def load(model: str) -> Tokenizer:
     """The tokenizer of a JSON text, built once per worker process."""
     if hash(model) not in _loaded:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         _loaded.clear()
         _loaded[hash(model)] = Tokenizer.from_str(model)
     return _loaded[hash(model)]

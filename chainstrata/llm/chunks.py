@@ -22,7 +22,7 @@ PIECE = re.compile(
     f"[{_SPACE}]*[{_LETTER}]+(?=[!-/0-9:-@\\[-`{{-~{_SPACE}]|\\Z)"
     f"|[{_SPACE}]*[{_SIGN}]+(?=[{_LETTER}{_SPACE}]|\\Z)"
     f"|[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
-CACHE = 400_000
+CACHE = 300_000
 LONG = 64
 
 
@@ -35,13 +35,14 @@ class PieceCache:
     def of(self, texts: list[str]) -> list[list]:
         """For each text the values of its pieces, in order."""
         cut = [PIECE.findall(t) for t in texts]
-        new = list({p for pieces in cut for p in pieces if p not in self.known})
+        every = set().union(*cut)
+        new = list(every.difference(self.known))
         if len(self.known) + len(new) > self.limit:
-            self.known, new = {}, list({p for pieces in cut for p in pieces})
+            self.known, new = {}, list(every)
         known = self.known
         if new:
             known.update(zip(new, self.make(new)))
-        out = [[known[p] for p in pieces] for pieces in cut]
+        out = [list(map(known.__getitem__, pieces)) for pieces in cut]
         for p in new:
             if len(p) > LONG:
                 del known[p]
@@ -50,7 +51,7 @@ class PieceCache:
         return out
 
 
-def by_size(texts: Iterable[str | None], chars: int = 1 << 20) -> Iterable[list[str]]:
+def by_size(texts: Iterable[str | None], chars: int = 1 << 18) -> Iterable[list[str]]:
     """The texts (null as empty) in lists of about ``chars`` characters, at least one text each."""
     held, size = [], 0
     for text in texts:

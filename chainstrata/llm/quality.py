@@ -23,7 +23,7 @@ from chainstrata.llm.columns import held_out
 SAMPLE = 3000
 THRESHOLD = 0.3
 STEPS = 150
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 
 # Byte classes: lower case (with all non-ASCII bytes), upper case, digits, blanks,
 # sentence signs, exclamation marks, bars, other signs.
