@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from chainstrata.llm import bpe, line_dedup, mixing, quality, simhash, toxicity
+from chainstrata.llm import ann, bpe, line_dedup, mixing, quality, simhash, token_files, topk, toxicity
 from chainstrata.llm.columns import BLANK, LOWER, UPPER, held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,6 +46,28 @@ def op3_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
     return mixed.select("row.doc_id", "size", "source_size", "target", "taken")
 
 
+@query(f"""
+WITH v AS (SELECT vec_id, [CAST(floor({topk.SCALE} * CAST(x AS DOUBLE)) AS DOUBLE) FOR x IN embedding] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= {topk.K}""")
+def op4_top_k(spark: SparkSession, sf: str) -> DataFrame:
+    return topk.top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query()
+def op10_one_bit_codes(spark: SparkSession, sf: str) -> DataFrame:
+    return ann.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query()
+def op2_token_files(spark: SparkSession, sf: str) -> DataFrame:
+    tokens = token_files.round_trip(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 2)
+    return tokens.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 @query()
 def op5_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     scored = toxicity.toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
