@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from chainstrata.llm import ann, bpe, line_dedup, mixing, quality, simhash, token_files, topk, toxicity
+from chainstrata.llm import ann, bpe, line_dedup, mixing, quality, simhash, token_files, topk, toxicity, url_trust
 from chainstrata.llm.columns import BLANK, LOWER, UPPER, held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +40,41 @@ r AS (SELECT doc_id, size, source_size, target, start, CASE WHEN source_size > 0
 SELECT doc_id, size, source_size, target, CAST(floor(step * nth + start) - floor(step * (nth - 1) + start) AS BIGINT) * size AS taken FROM r"""
 
 
+def _url_sql() -> str:
+    """Rules by CASE, scores by a recursive query with as many rounds as the operator has at most."""
+    longest_first = sorted(url_trust.RULES, key=lambda r: -len(r[1] + r[2]))
+    fits = [f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')" for _, h, p in longest_first]
+    rule = " ".join(f"WHEN {f} THEN '{h}{p}'" for f, (_, h, p) in zip(fits, longest_first))
+    verdict = " ".join(f"WHEN {f} THEN '{d}'" for f, (d, _, _) in zip(fits, longest_first))
+    link = url_trust.LINK.replace("'", "''")
+    flow = "".join(f""",
+{name}_seed AS (SELECT host, n / sum(n) OVER () * (1 - {url_trust.STAY}) AS base FROM (SELECT host, CAST(count(*) AS DOUBLE) AS n FROM p
+  WHERE host <> '' AND ruled = '{decision}' GROUP BY 1)),
+{name}_rounds(i, host, score) AS (SELECT 0, host, base FROM {name}_seed UNION ALL
+  SELECT i + 1, host, sum(score) FROM (SELECT i, e.target AS host, e.weight * r.score * {url_trust.STAY} AS score FROM {name}_rounds r
+    JOIN {edges} e ON e.source = r.host UNION ALL SELECT x.i, s.host, s.base FROM (SELECT DISTINCT i FROM {name}_rounds) x, {name}_seed s)
+  WHERE i < {url_trust.ROUNDS} GROUP BY i, host),
+{name} AS (SELECT host, round(score, 12) AS score FROM {name}_rounds WHERE i = {url_trust.ROUNDS})"""
+                   for name, decision, edges in (("trust", "allow", "links"), ("distrust", "block", "back")))
+    return f"""
+WITH RECURSIVE u AS (SELECT page_id, html, coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), '{UPPER}', '{LOWER}'), '') AS host,
+  coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+p AS (SELECT page_id, html, host, path, CASE {rule} END AS rule, CASE {verdict} END AS ruled FROM u),
+found AS (SELECT host AS source, unnest(regexp_extract_all(html, '{link}', 1)) AS target FROM p WHERE host <> ''),
+counted AS (SELECT source, translate(target, '{UPPER}', '{LOWER}') AS target, count(*) AS n FROM found GROUP BY 1, 2),
+links AS (SELECT source, target, n / sum(n) OVER (PARTITION BY source) AS weight FROM counted WHERE source <> target),
+back AS (SELECT target AS source, source AS target, 1.0 / count(*) OVER (PARTITION BY target) AS weight FROM links){flow}
+SELECT page_id, p.host, path, rule, coalesce(ruled, CASE WHEN coalesce(d.score, 0) > {url_trust.RATIO} * coalesce(t.score, 0) THEN 'block' ELSE 'allow' END) AS verdict,
+  round(coalesce(t.score, 0.0), 6) AS trust, round(coalesce(d.score, 0.0), 6) AS distrust
+FROM p LEFT JOIN trust t ON t.host = p.host LEFT JOIN distrust d ON d.host = p.host"""
+
+
+@query(_url_sql())
+def op1_url_trust(spark: SparkSession, sf: str) -> DataFrame:
+    judged = url_trust.judge(table(spark, sf, "pages"))
+    return judged.select("page_id", "host", "path", "rule", "verdict", F.round("trust", 6).alias("trust"), F.round("distrust", 6).alias("distrust"))
+
+
 @query(_MIX_SQL)
 def op3_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf, "documents"), carry=False)
