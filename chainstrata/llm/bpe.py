@@ -120,8 +120,8 @@ def _tokens(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decode = Decoder(load(shared.value))
         for batch in batches:
-            for at, texts in enumerate(by_size((t.as_py() for t in batch.column(1)), 1)):
-                (ids, offsets), = encode(shared.value, texts)
+            for at, text in enumerate(batch.column(1)):
+                (ids, offsets), = encode(shared.value, [text.as_py() or ""])
                 spans = np.array(offsets, np.int32).reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(at, 1), pa.array([ids], pa.list_(pa.int32())), pa.array([spans[:, 0]], pa.list_(pa.int32())),

@@ -16,6 +16,7 @@ Frequencies are refreshed on a fixed schedule of positions, the predictors at ev
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -317,7 +318,9 @@ FRAMES = ("part int, ids_before bigint, doc_ids array<bigint>, n_tokens array<bi
 
 def _frames(model: str, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         tokenizer = Tokenizer.from_str(model)
+        tokenizer.encode_special_tokens = True
 
         def make(pieces: list[str]) -> Iterator[bytes]:
             for encoded in tokenizer.encode_batch_fast(pieces, add_special_tokens=False):
@@ -359,7 +362,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end: int, doc_
 
     Documents are dealt by ranges of (id, text hash), without id last; a task codes
     its range frame by frame, so memory holds one frame. Spark's committer makes
-    the files whole if a task is lost. Ids below 65,536 only.
+    the files whole if a task is lost. Strings of special tokens are ordinary text.
+    Ids below 65,536 only.
     """
     with open(tokenizer_path, encoding="utf-8") as given:
         model = given.read()
