@@ -1,7 +1,10 @@
 """The pipeline's stages chained, against their operators' promises and a plain version of its decisions."""
 
+import glob
 import os
+from collections import Counter
 
+import duckdb
 import pytest
 
 import __spark_entry__ as contract
@@ -18,6 +21,18 @@ def test_every_operator_is_registered():
     assert set(QUERIES) | {"pipeline"} <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
 
 
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_matches_sql(spark, name):
+    connection = duckdb.connect()
+    for path in glob.glob(f"{SF}/*.parquet"):
+        connection.execute(f"create view {os.path.basename(path).removesuffix('.parquet')} as select * from '{path}'")
+    cursor = connection.execute(SQL[name])
+    names = [d[0] for d in cursor.description]
+    result = QUERIES[name](spark, SF)
+    assert sorted(names) == sorted(result.columns)
+    assert Counter(tuple(row[c] for c in names) for row in result.collect()) == Counter(cursor.fetchall())
+
+
 def test_stages_on_given_tables(spark, tmp_path):
     docs = table(spark, SF, "documents")
     kept, before = {}, docs
