@@ -10,7 +10,7 @@ from chainstrata.functions.bins import step_regime
 from chainstrata.functions.calendar import calendar_parts
 from chainstrata.functions.ratios import EPSILON, ratio
 from chainstrata.operators import series
-from chainstrata.session import small_side
+from chainstrata.session import materialized
 
 # Fixed value: model inputs, in model order.
 FEATURES = (
@@ -148,7 +148,7 @@ def with_daily_zscore(bars: DataFrame, daily: DataFrame, lag_days: int = 0) -> D
         F.date_add("date", lag_days).alias("_day"), "fees_zscore")
     return (
         bars.withColumn("_day", F.to_date("open_time"))
-        .join(small_side(by_day, "daily-scores"), "_day", "left").drop("_day")
+        .join(materialized(by_day, "daily-scores"), "_day", "left").drop("_day")
         .withColumn("fees_zscore", F.coalesce("fees_zscore", F.lit(0.0)))
     )
 

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from chainstrata.session import small_side
+from chainstrata.session import materialized
 
 ACCURACY = 10_000
 MARGIN = 2.0 / ACCURACY
@@ -24,7 +24,7 @@ def _cut_at(rows: DataFrame, sample: DataFrame, keys: list[str], probes: list[fl
     """Add ``_bucket``, the number of the sample's sketched cut values below each row's value."""
     cuts = sample.groupBy(*keys).agg(F.percentile_approx("value", probes, ACCURACY).alias("_cuts"))
     if keys:
-        placed = rows.join(small_side(cuts, "cuts"), keys)
+        placed = rows.join(materialized(cuts, "cuts"), keys)
         values = [F.col("_cuts")[i] for i in range(len(probes))]
     else:
         placed = rows
@@ -59,7 +59,7 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, wanted: dict
         (F.ceil(r) >= F.col("_below")) & (F.floor(r) < F.col("_below") + F.col("_rows")) for r in ranks.values()])
     inside = Window.partitionBy(*keys, "_bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     ranked = (
-        placed.join(small_side(counts.filter(hit), "wanted-buckets"), [*keys, "_bucket"])
+        placed.join(materialized(counts.filter(hit), "wanted-buckets"), [*keys, "_bucket"])
         .groupBy(*keys, "_bucket", "_below", "total_n", "value").agg(F.count("*").alias("n"))
         .withColumn("_to", F.col("_below") + F.sum("n").over(inside))
         .withColumn("_from", F.col("_to") - F.col("n"))

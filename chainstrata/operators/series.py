@@ -7,12 +7,15 @@ matter how long (or how dominant) one series is.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 CHUNK = "_chunk"
 CHUNK_ROWS = 2048
+SHORT_SPAN = 9
+VANISHING = 1e-20
 
 
 def row_positions(df: DataFrame, keys: Sequence[str], order: str, piece: Column,
@@ -106,14 +109,26 @@ def difference(x: Column, window: WindowSpec, n: int = 1) -> Column:
     return x - F.lag(x, n).over(window)
 
 
+def _short_mean(x: Column, window: WindowSpec, weight: float) -> Column:
+    if weight >= 1:
+        return x
+    reach = math.ceil(math.log(VANISHING) / math.log(1 - weight))
+    seen = F.collect_list(F.struct(x.alias("x"))).over(window.rowsBetween(-reach, 0))
+    return F.aggregate(F.slice(seen, 2, reach), seen[0]["x"],
+                       lambda y, row: y * (1 - weight) + F.coalesce(row["x"], F.lit(0.0)) * weight)
+
+
 def exponential_mean(x: Column, window: WindowSpec, span: int) -> Column:
     """Recursive smoothing with weight 2 / (span + 1), seeded by the first row.
 
     The recursion y = d*y' + (1-d)*x unrolls to d^t * sum(x_i * d^-i), so a
-    running sum of rescaled values gives it in one linear pass. ``window`` must
-    cover a chunk short enough for d^-rows to stay finite; the default chunk is.
+    running sum of rescaled values gives it in one linear pass, as long as d^-rows
+    stays finite over a chunk and its halo. Below ``SHORT_SPAN`` it does not; there
+    the recursion runs over the last rows only, beyond which weights vanish in a double.
     """
     weight = 2.0 / (span + 1)
+    if span < SHORT_SPAN:
+        return _short_mean(x, window, weight)
     decay = F.lit(1.0 - weight)
     at = (F.row_number().over(window) - 1).cast("double")
     scaled = x * F.pow(decay, -at) * F.when(at == 0, 1.0).otherwise(weight)

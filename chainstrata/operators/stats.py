@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from chainstrata.functions.ratios import ratio
 from chainstrata.operators.quantiles import exact_quantiles, ranked_values
-from chainstrata.session import materialized, small_side
+from chainstrata.session import materialized
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 FENCE = 1.5
@@ -34,7 +34,7 @@ def boxes(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     inside = (v >= low) & (v <= high)
     quartiles = exact_quantiles(df, keys, value, QUARTILES)
     return (
-        df.filter(v.isNotNull()).join(small_side(quartiles, "quartiles"), keys).groupBy(*keys, *QUARTILES).agg(
+        df.filter(v.isNotNull()).join(materialized(quartiles, "quartiles"), keys).groupBy(*keys, *QUARTILES).agg(
             F.count("*").alias("n"), F.min(v).alias("min"), F.max(v).alias("max"),
             F.min(F.when(inside, v)).alias("whisker_low"),
             F.max(F.when(inside, v)).alias("whisker_high"),
@@ -52,7 +52,7 @@ def alphabetical_codes(df: DataFrame, label: str, code: str) -> DataFrame:
         df.filter(F.col(label).isNotNull()).select(label).distinct()
         .withColumn(code, (F.dense_rank().over(Window.partitionBy().orderBy(label)) - 1).cast("double"))
     )
-    return df.join(small_side(labels, "labels"), label, "left").withColumn(code, F.coalesce(code, F.lit(-1.0)))
+    return df.join(materialized(labels, "labels"), label, "left").withColumn(code, F.coalesce(code, F.lit(-1.0)))
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -102,7 +102,7 @@ def density(df: DataFrame, key: str, value: str, bins: int = 512, grid: int = 64
     width = (F.col("_hi") - F.col("_lo")) / bins
     at = F.least(F.floor((x - F.col("_lo")) / width), F.lit(bins - 1))
     fine = (
-        rows.join(small_side(shape, "shape"), key)
+        rows.join(materialized(shape, "shape"), key)
         .groupBy(key, "_n", "_bw", "_lo", "_hi", at.alias("_at")).agg(F.count("*").alias("_m"))
     )
     middle = F.col("_lo") + (F.col("_at") + 0.5) * width

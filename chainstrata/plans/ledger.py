@@ -14,7 +14,7 @@ from chainstrata.operators import cohorts, snapshots, stats, utxo
 from chainstrata.operators.quantiles import exact_quantiles
 from chainstrata.plans import standins as t
 from chainstrata.plans.registry import present, query, r
-from chainstrata.session import materialized, scratch_path, small_side
+from chainstrata.session import materialized, scratch_path
 from chainstrata.sources import tables
 
 # Cents per coin for cohort tables, so that the published edges divide the data.
@@ -87,10 +87,12 @@ def _balance_table(spark: SparkSession, sf: str) -> DataFrame:
     return materialized(_balances(spark, sf), "balances")
 
 
-def _holders(spark: SparkSession, sf: str) -> DataFrame:
+def _holders(spark: SparkSession, sf: str, stored: bool = False) -> DataFrame:
+    """Balances with their cohorts; ``stored`` for reports that read them more than once."""
     height = F.col("last_seen_height") * t.HEIGHT_SCALE
     btc = F.col("balance_sats") / COHORT_UNITS
-    return _balance_table(spark, sf).withColumns({
+    balances = _balance_table(spark, sf) if stored else _balances(spark, sf)
+    return balances.withColumns({
         "type": scripts.address_family(F.col("address")),
         "cohort": COIN_COHORTS.label(btc),
         "era": ERAS.label(height),
@@ -132,7 +134,7 @@ whole AS (SELECT count(*) AS n_all, CAST(sum(balance_sats) AS DOUBLE) AS total_a
   {r('median_age_years')} AS median_age_years
   FROM labels l LEFT JOIN a ON a.cohort = l.cohort, whole""")
 def value_cohorts(spark: SparkSession, sf: str) -> DataFrame:
-    table = cohorts.share_table(_holders(spark, sf), "cohort", "balance_sats", "is_satoshi", "age_years")
+    table = cohorts.share_table(_holders(spark, sf, stored=True), "cohort", "balance_sats", "is_satoshi", "age_years")
     kept = cohorts.kept_labels(COIN_COHORTS, table, "cohort", [
         "n", "total", "flagged_n", "flagged_total", "pct_n", "pct_total", "rest_total", "flagged_pct"])
     return present(kept.orderBy("ord"))
@@ -142,7 +144,7 @@ def value_cohorts(spark: SparkSession, sf: str) -> DataFrame:
   {r('count(*) * 100.0 / max(n_all)')} AS pct_n, {r('sum(balance_sats) * 100.0 / max(total_all)')} AS pct_total,
   {r('quantile_cont(age_years, 0.5)')} AS median_age_years FROM holders, whole GROUP BY 1""")
 def type_stats(spark: SparkSession, sf: str) -> DataFrame:
-    table = cohorts.share_table(_holders(spark, sf), "type", "balance_sats", median_of="age_years")
+    table = cohorts.share_table(_holders(spark, sf, stored=True), "type", "balance_sats", median_of="age_years")
     return present(table.orderBy(F.desc("total")))
 
 
@@ -195,7 +197,7 @@ def _aged(spark: SparkSession, sf: str) -> DataFrame:
         "o_orderkey")
     times = blocks.groupBy("height").agg(F.max_by("time", "o_orderkey").alias("time"))
     outputs = t.utxo_events(spark, sf).filter("event_type = 'create'").filter(F.col("height").between(0, t.TIP))
-    aged = outputs.join(small_side(times, "block-times"), "height", "left").withColumn(
+    aged = outputs.join(materialized(times, "block-times"), "height", "left").withColumn(
         "age_days", calendar.age_days(F.col("time"), F.lit(AS_OF)))
     return aged.select("height", F.col("scriptPubKey_type").alias("script_type"), "value_sats", "age_days",
                        AGE_COHORTS.label(F.col("age_days")).alias("age_bucket"),
@@ -425,14 +427,24 @@ def weekly_snapshots(spark: SparkSession, sf: str) -> DataFrame:
     return present(spark.read.parquet(path).select("week", "address", "btc"), 2)
 
 
-TRENDS = WEEKLY + """,
-deltas AS (SELECT * FROM (SELECT address, btc, btc - lag(btc) OVER (PARTITION BY address ORDER BY week) AS delta
-  FROM snapshots WHERE week >= DATE '2024-01-30' - 28) WHERE delta IS NOT NULL),
-by_address AS (SELECT address, sum(delta) AS total_delta, count(*) FILTER (delta > 0) AS up_weeks,
-  count(*) FILTER (delta < 0) AS down_weeks, count(*) AS weeks_present, avg(btc) AS avg_btc FROM deltas GROUP BY 1 HAVING count(*) >= 3),
-trends AS (SELECT *, CASE WHEN up_weeks >= 3 AND total_delta > 100 THEN 'ACUMULANDO FUERTE' WHEN up_weeks >= 2 AND total_delta > 0 THEN 'Acumulando'
-  WHEN down_weeks >= 3 AND total_delta < -100 THEN 'VENDIENDO FUERTE' WHEN down_weeks >= 2 AND total_delta < 0 THEN 'Vendiendo'
-  ELSE 'Estable' END AS trend FROM by_address)"""
+def _trend_sql() -> str:
+    """The label ladder of ``snapshots``, strongest first, over signed counts of weekly moves."""
+    strong, names = snapshots.STRONG_MOVE_COINS, snapshots.TREND_LABELS
+    steps = [(sign * size, weeks, names[f"{prefix}{side}"]) for side, sign in (("up", 1), ("down", -1))
+             for prefix, weeks, size in (("strong_", 3, strong), ("", 2, 0))]
+    whens = [f"WHEN moves_{'up' if 'up' in side else 'down'} >= {weeks} AND drift {'>' if 'up' in side else '<'} {limit} THEN '{label}'"
+             for (limit, weeks, label), side in zip(steps, ("up", "up", "down", "down"))]
+    return f"CASE {' '.join(whens)} ELSE '{names['flat']}' END"
+
+
+TRENDS = WEEKLY + f""",
+span AS (SELECT *, row_number() OVER (PARTITION BY address ORDER BY week) AS nth FROM snapshots
+  WHERE week >= DATE '2024-01-30' - {snapshots.TREND_DAYS}),
+step AS (SELECT b.address, b.btc, b.btc - a.btc AS move FROM span b JOIN span a ON a.address = b.address AND a.nth + 1 = b.nth),
+drifts AS (SELECT address, sum(move) AS drift, sum(CAST(move > 0 AS INTEGER)) AS moves_up, sum(CAST(move < 0 AS INTEGER)) AS moves_down,
+  count(*) AS moves, avg(btc) AS level FROM step GROUP BY address),
+trends AS (SELECT address, drift AS total_delta, CAST(moves_up AS BIGINT) AS up_weeks, CAST(moves_down AS BIGINT) AS down_weeks,
+  moves AS weeks_present, level AS avg_btc, {_trend_sql()} AS trend FROM drifts WHERE moves >= {snapshots.MIN_DELTAS})"""
 
 
 @query(f"""WITH {TRENDS} SELECT address, {r('total_delta', 2)} AS total_delta, up_weeks, down_weeks, weeks_present,

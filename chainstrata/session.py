@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on. Shuffle width is left to the cluster's own
 # configuration; AQE coalesces small partitions and splits skewed ones.
@@ -36,7 +37,7 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     folder = tempfile.mkdtemp(prefix="chainstrata-")
     spark.conf.set("spark.checkpoint.dir", folder)
@@ -65,17 +66,3 @@ def materialized(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-# Rows up to which a stored join side is broadcast: a few tens of megabytes.
-BROADCAST_ROWS = 500_000
-
-
-def small_side(df: DataFrame, name: str, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Store a join side that ought to be small, count it, and broadcast it if it is.
-
-    A larger side is joined as Spark plans it, by sort-merge with AQE's skew
-    handling. Runs two actions; counting reads file footers only.
-    """
-    stored = materialized(df, name)
-    return F.broadcast(stored) if stored.count() <= max_rows else stored

@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 from pyspark.sql.types import StructType
 
 from chainstrata.functions.calendar import BAR_LENGTHS
 from chainstrata.functions.ratios import MIN_CONFIDENCE, signal_label
-from chainstrata.operators.candles import keep_one, newest_per_key, time_key
+from chainstrata.operators.candles import keep_one, time_key
+from chainstrata.session import materialized
 from chainstrata.sources import landing, tables
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
@@ -132,18 +133,32 @@ def last_bars_stream(bars: DataFrame, size: int = 48) -> DataFrame:
 def score_stream(bars: DataFrame, history: Callable[[], DataFrame], score: Callable[[DataFrame], DataFrame],
                  path: str, checkpoint: str, size: int = 200,
                  min_confidence: float = MIN_CONFIDENCE) -> StreamingQuery:
-    """Score the newest bar of each symbol after every micro-batch and store its signal.
+    """Score every new bar after each micro-batch and store its signal.
 
-    ``history`` reads the bars stored so far, ``score`` adds features and a
-    ``probability`` and leaves out incomplete rows. Each symbol contributes its
-    last ``size`` bars.
+    ``history`` reads the bars stored so far, which may already hold the new ones;
+    ``score`` adds features and a ``probability`` and leaves out incomplete rows. A
+    symbol without new bars gives no signal, nor does a new bar that is incomplete.
+    Each new bar sees at least the ``size`` bars before it.
     """
 
     def emit(micro: DataFrame, epoch: int) -> None:
+        keys = ["symbol", "open_time"]
         stored = history()
-        recent = newest_per_key(stored.unionByName(micro.select(*stored.columns)), ["symbol"], "open_time", size)
-        newest = newest_per_key(score(recent), ["symbol"], "open_time", 1)
-        newest.withColumn("signal", signal_label(F.col("probability"), min_confidence)).write.mode(
+        new = materialized(micro.select(*stored.columns).dropDuplicates(keys), "new-bars")
+        marks = new.select(*keys).withColumn("_new", F.lit(1))
+        known = stored.join(new.select("symbol").distinct(), "symbol", "left_semi").join(marks, keys, "left_anti")
+        bars_now = known.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))
+        back = Window.partitionBy("symbol").orderBy(F.desc("open_time"))
+        # New bars among the newer ones keep a bar in reach of the oldest of them.
+        ahead = F.max("_at").over(Window.partitionBy("symbol"))
+        recent = (
+            bars_now.withColumn("_nth", F.row_number().over(back))
+            .withColumn("_at", F.when(F.col("_new") == 1, F.col("_nth")))
+            .withColumn("_oldest", ahead).filter(F.col("_nth") <= F.col("_oldest") + size)
+            .select(*stored.columns)
+        )
+        scored = score(recent).join(marks.drop("_new"), keys, "left_semi")
+        scored.withColumn("signal", signal_label(F.col("probability"), min_confidence)).write.mode(
             "overwrite").parquet(f"{path}/epoch={epoch}")
 
     return (bars.writeStream.foreachBatch(emit).option("checkpointLocation", checkpoint)

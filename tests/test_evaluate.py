@@ -11,35 +11,21 @@ from chainstrata.operators import evaluate, models
 T0 = dt.datetime(2024, 1, 1)
 
 
-def test_trades_and_metrics_against_a_plain_loop(spark):
-    rng = np.random.default_rng(5)
-    price = 100 * np.exp(np.cumsum(rng.normal(0, 0.003, 300)))
-    probability, z = rng.random(300), rng.normal(0, 1, 300)
-    rows = [("s", "p", T0 + dt.timedelta(minutes=5 * i), float(price[i]), float(probability[i]), float(z[i])) for i in range(300)]
+def test_trades_and_metrics_of_a_short_period(spark):
+    """Worked by hand: a capped gain, a stopped loss, a small gain; the unsure bar and the last one give no trade."""
+    price, probability = [100.0, 102.0, 100.98, 100.98, 101.28294], [0.9, 0.8, 0.1, 0.7, 0.9]
+    rows = [("s", "p", T0 + dt.timedelta(minutes=5 * i), p, q, 0.0) for i, (p, q) in enumerate(zip(price, probability))]
     scored = spark.createDataFrame(
         rows, "symbol string, period string, open_time timestamp_ntz, close double, probability double, fees_zscore double")
-
-    capital, history, gains = 10_000.0, [10_000.0], []
-    for i in range(299):
-        if probability[i] >= 0.6 and z[i] > -1:
-            move = (price[i + 1] - price[i]) / price[i]
-            gain = min(abs(move), 0.005) if move > 0 else -min(abs(move), 0.002)
-            capital += capital * gain * 0.02
-            history.append(capital)
-            gains.append(gain)
-    history, gains = np.array(history), np.array(gains)
-    steps = np.diff(history) / history[:-1]
-    peak = np.maximum.accumulate(history)
-
-    curve = evaluate.equity(evaluate.trades(scored))
-    got = evaluate.period_metrics(curve).first()
-    assert got.trades == len(gains)
-    assert got.total_return == pytest.approx(capital / 10_000 - 1)
-    assert got.win_rate == pytest.approx((gains > 0).mean())
-    assert got.profit_factor == pytest.approx(gains[gains > 0].sum() / -gains[gains < 0].sum())
-    assert got.sharpe == pytest.approx(steps.mean() / steps.std() * math.sqrt(252), rel=1e-6)
-    assert got.max_drawdown == pytest.approx(abs(((history - peak) / peak).min()))
-    np.testing.assert_allclose(curve.orderBy("open_time").toPandas()["capital"], history[1:])
+    curve = evaluate.equity(evaluate.trades(scored)).orderBy("open_time").toPandas()
+    assert list(curve["pnl_pct"]) == pytest.approx([0.005, -0.002, 0.003])
+    assert list(curve["capital"]) == pytest.approx([10_001.0, 10_001.0 * 0.99996, 10_001.0 * 0.99996 * 1.00006])
+    got = evaluate.period_metrics(spark.createDataFrame(curve)).first()
+    assert (got.trades, got.win_rate, got.profit_factor) == (3, pytest.approx(2 / 3), pytest.approx(4.0))
+    assert got.total_return == pytest.approx(1.0001 * 0.99996 * 1.00006 - 1)
+    assert got.max_drawdown == pytest.approx(0.00004)
+    # Steps 1e-4, -4e-5, 6e-5: mean 4e-5, variance (36 + 64 + 4) / 3 * 1e-10.
+    assert got.sharpe == pytest.approx(4e-5 / math.sqrt(104 / 3 * 1e-10) * math.sqrt(252), rel=1e-4)
 
 
 def test_profit_factor_without_losses_and_flat_sharpe(spark):

@@ -9,11 +9,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from chainstrata.plans import QUERIES, SQL
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
-# Fits and stream jobs have tests of their own on smaller input.
-LONG = {"fee_gbt_cv", "fee_residuals", "fee_importance", "walk_forward_gbt", "stream_score"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
 
@@ -35,6 +33,7 @@ def _cell(value):
 
 def test_every_query_is_checked_or_listed():
     assert set(SQL) <= set(QUERIES)
+    assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
     assert set(QUERIES) - set(SQL) == {
         "script_addresses", "fee_gbt_cv", "fee_residuals", "fee_importance", "regime_clusters", "pca_2d",
         "walk_forward_gbt", "stream_score"}
@@ -51,7 +50,7 @@ def test_matches_sql(spark, duck, name):
     assert got == want
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL) - LONG))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
 def test_runs(spark, name):
     assert not QUERIES[name](spark, SF).isEmpty()
 

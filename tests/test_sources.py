@@ -4,7 +4,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from chainstrata.session import checkpointed, materialized, scratch_path, shared_dir, small_side
+from chainstrata.session import checkpointed, materialized, scratch_path, shared_dir
 from chainstrata.sources import catalog, landing, tables
 
 
@@ -203,7 +203,3 @@ def test_shared_folder_helpers(spark):
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
     assert materialized(spark.range(4), "m").count() == 4
     assert checkpointed(spark.range(4)).count() == 4
-    big = spark.range(40).withColumn("v", F.lit(1))
-    plan = lambda side: spark.range(9).join(side, "id")._jdf.queryExecution().optimizedPlan().toString()
-    assert "broadcast" in plan(small_side(big, "s"))
-    assert "broadcast" not in plan(small_side(big, "s", max_rows=10))

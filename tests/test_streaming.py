@@ -75,6 +75,22 @@ def test_buffer_keeps_the_newest_bars(spark):
     assert rows.filter("symbol = 'b'").count() == 1
 
 
+def test_scores_new_complete_bars_only(spark):
+    """Old bars of silent symbols, and complete bars before an incomplete new one, give no signal; repeats count once."""
+    source, out, state, stored = (scratch_path(spark, n) for n in ("ticks", "scores", "state", "bars"))
+    feed(spark, stored, [tick("a", i, float(i)) for i in range(5)] + [tick("a", 100, 70.0), tick("old", 1, 90.0)])
+    feed(spark, source, [tick("a", 100, 70.0), tick("a", 105, 80.0), tick("b", 90, -1.0)])
+    seen = []
+
+    def score(bars):
+        seen.append(bars.groupBy("symbol", "open_time").count().filter("count > 1").count())
+        return bars.filter("close >= 0").withColumn("probability", F.col("close") / 100)
+
+    jobs.score_stream(stream(spark, source), lambda: spark.read.schema(TICKS).parquet(stored), score, out, state).awaitTermination()
+    rows = spark.read.parquet(out).orderBy("open_time").collect()
+    assert [(r.symbol, r.close) for r in rows] == [("a", 70.0), ("a", 80.0)] and seen == [0]
+
+
 def test_scores_the_newest_bar(spark):
     source, out, state, stored = (scratch_path(spark, n) for n in ("ticks", "scores", "state", "bars"))
     feed(spark, stored, [tick("a", i, float(i)) for i in range(5)])
