@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
 from chainstrata.llm.chunks import PieceCache, by_size
+from chainstrata.llm.columns import in_small_batches
 
 RESULT = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
@@ -137,8 +138,8 @@ def _shared(docs: DataFrame, ranks_path: str, pattern: str):
 def tokens(docs: DataFrame, ranks_path: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, ids, starts, ends, decoded) of every row: ids, character offsets, and the bytes decoded from the ids."""
     given = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    return given.mapInArrow(_tokens(_shared(docs, ranks_path, pattern)),
-                            "doc_id bigint, ids array<int>, starts array<int>, ends array<int>, decoded binary")
+    return in_small_batches(given).mapInArrow(_tokens(_shared(docs, ranks_path, pattern)),
+                                              "doc_id bigint, ids array<int>, starts array<int>, ends array<int>, decoded binary")
 
 
 def token_digests(docs: DataFrame, ranks_path: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -150,4 +151,4 @@ def token_digests(docs: DataFrame, ranks_path: str, pattern: str, doc_id: str =
     only thing broadcast.
     """
     given = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    return given.mapInArrow(_digests(_shared(docs, ranks_path, pattern)), RESULT)
+    return in_small_batches(given).mapInArrow(_digests(_shared(docs, ranks_path, pattern)), RESULT)

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 BLANK = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = string.ascii_uppercase, string.ascii_lowercase
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+TEXT_BATCH = 4 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -20,6 +22,19 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def in_small_batches(docs: DataFrame) -> DataFrame:
+    """``docs``, whose texts now go to Python in batches of about 4 MB (or one text) at most.
+
+    The default is 64 MB, of which writer and reader hold several copies per task.
+    Spark has only a session setting for it; a smaller one given by the user stays.
+    """
+    conf = docs.sparkSession.conf
+    given = conf.get(ARROW_BYTES).removesuffix("b")
+    if not given.lstrip("-").isdigit() or not 0 < int(given) <= TEXT_BATCH:
+        conf.set(ARROW_BYTES, str(TEXT_BATCH))
+    return docs
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z and leave every other letter alone.
 

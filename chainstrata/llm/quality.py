@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from chainstrata.llm.columns import held_out
+from chainstrata.llm.columns import held_out, in_small_batches
 
 SAMPLE = 3000
 THRESHOLD = 0.3
@@ -279,7 +279,7 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     Features, not texts, of those rows come to the driver.
     """
     sample = sampled(docs, labels, "quality", rows, doc_id, text).orderBy("doc_id", F.xxhash64("text")).select("text", "label")
-    found = sample.mapInArrow(_features_of_rows, "x binary, length binary, label int").limit(rows).collect()
+    found = in_small_batches(sample).mapInArrow(_features_of_rows, "x binary, length binary, label int").limit(rows).collect()
     if not found:
         return fit(np.empty((0, FEATURES)), np.empty(0), np.empty(0, int), np.empty(0, int))
     x = [np.frombuffer(r.x, np.float32).reshape(-1, FEATURES) for r in found]
@@ -309,4 +309,4 @@ def score(docs: DataFrame, model: Field, text: str = "text", lines: bool = False
     """
     rows = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"))
     schema = f"row {rows.schema['row'].dataType.simpleString()}, score double" + (", good_lines array<double>" if lines else "")
-    return rows.mapInArrow(_score_rows(model, lines), schema)
+    return in_small_batches(rows).mapInArrow(_score_rows(model, lines), schema)

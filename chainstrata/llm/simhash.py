@@ -18,7 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from chainstrata.llm.columns import LOWER, UPPER
+from chainstrata.llm.columns import LOWER, UPPER, in_small_batches
 from chainstrata.llm.components import components
 from chainstrata.session import materialized
 
@@ -70,7 +70,7 @@ def _fingerprints(words: int, seed: int):
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, seed: int = SEED) -> DataFrame:
     """(doc_id, print) with the fingerprint as a signed long."""
     given = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    return given.mapInArrow(_fingerprints(words, seed), "doc_id bigint, print bigint")
+    return in_small_batches(given).mapInArrow(_fingerprints(words, seed), "doc_id bigint, print bigint")
 
 
 def radii(bits: int, segments: int) -> list[int]:
