@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from chainstrata.operators import candles, evaluate, fees, indicators, models, stats
 from chainstrata.plans import standins as t
@@ -11,6 +11,7 @@ from chainstrata.plans.registry import present, query, r
 from chainstrata.session import materialized
 
 DIMENSIONS = tuple(f"e{i:02d}" for i in range(64))
+MEAN_DAY_COINS = 20.0  # mean daily fees of the stand-in series
 
 
 def _vectors(spark: SparkSession, sf: str) -> DataFrame:
@@ -51,10 +52,22 @@ def _market_days(spark: SparkSession, sf: str) -> DataFrame:
     return fees.prices_with_fees(prices, t.daily_fees(spark, sf, 1e8))
 
 
+def fee_frame(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of the fee model.
+
+    A day of the stand-in holds more fees the larger the tables are, so the series
+    is set to one mean level; the bound of a normal day then keeps the same share of
+    days at every size.
+    """
+    daily = _market_days(spark, sf)
+    level = F.col("fees_btc") / F.avg("fees_btc").over(Window.partitionBy())
+    return models.fee_model_frame(daily.withColumn("fees_btc", level * MEAN_DAY_COINS))
+
+
 @query()
 def fee_gbt_cv(spark: SparkSession, sf: str) -> DataFrame:
     """Error per fold and overall (fold null) of the next-day fee model."""
-    predictions, _ = models.fee_cross_validation(models.fee_model_frame(_market_days(spark, sf)), trees=10)
+    predictions, _ = models.fee_cross_validation(fee_frame(spark, sf), trees=10)
     by_fold = evaluate.regression_metrics(predictions, ["fold"], "actual", "predicted")
     overall = evaluate.regression_metrics(predictions, [], "actual", "predicted")
     return present(by_fold.unionByName(overall.withColumn("fold", F.lit(None).cast("int"))))
@@ -63,7 +76,7 @@ def fee_gbt_cv(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def fee_residuals(spark: SparkSession, sf: str) -> DataFrame:
     """Histogram of residuals beside their mean and deviation."""
-    predictions, _ = models.fee_cross_validation(models.fee_model_frame(_market_days(spark, sf)), trees=5)
+    predictions, _ = models.fee_cross_validation(fee_frame(spark, sf), trees=5)
     stored = materialized(predictions.withColumn("residual", F.col("actual") - F.col("predicted")), "residuals")
     summary = evaluate.residual_summary(stored, "actual", "predicted")
     bars = stats.histogram(stored, "residual", 80)
@@ -75,7 +88,7 @@ def fee_residuals(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def fee_importance(spark: SparkSession, sf: str) -> DataFrame:
-    _, importance = models.fee_cross_validation(models.fee_model_frame(_market_days(spark, sf)), trees=5)
+    _, importance = models.fee_cross_validation(fee_frame(spark, sf), trees=5)
     return present(importance.orderBy(F.desc("importance")))
 
 

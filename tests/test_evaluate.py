@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chainstrata.operators import evaluate, models
+from chainstrata.plans.models import fee_frame
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -137,3 +138,9 @@ def test_walk_forward_and_fee_model(spark):
     assert importance.count() == len(models.FEE_FEATURES)
     assert predictions.groupBy("fold").count().count() == 2
     assert predictions.filter("predicted is null").isEmpty()
+
+
+def test_normal_days_keep_their_share_at_every_size(spark):
+    kept = F.avg((F.col("fees_btc") < models.NORMAL_DAY_COINS).cast("double"))
+    small, large = (fee_frame(spark, f"/root/testdata/{size}").agg(kept).first()[0] for size in ("sf0.01", "sf0.1"))
+    assert small > 0.95 and large == pytest.approx(small, abs=0.05)
