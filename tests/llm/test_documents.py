@@ -279,3 +279,35 @@ def test_block_max_search_is_exact():
         want = [(c, i) for c, i in sorted(zip(cosine, range(101)), key=lambda x: (-x[0], x[1])) if c > 0][:9]
         got = index.nearest(terms, weights, 9)
         assert [p for _, p in got] == [i for _, i in want] and [c for c, _ in got] == pytest.approx([c for c, _ in want])
+
+
+def test_toxic_words_outside_the_lexicon_count(spark):
+    rng = random.Random(11)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    common = [f"plain{a}{b}" for a in letters for b in "xyz"]
+    # Toxic documents of thirty kinds with words of their own, each kind too rare for the lexicon.
+    docs = [(i, " ".join(rng.choices(common, k=12) + ([f"odd{letters[i // 5 % 30 % 26]}{i // 5 % 30 // 26 * 'q'}z{a}" for a in letters[:20]] if i % 5 == 1 else [])))
+            for i in range(900)]
+    out = toxicity.toxicity(spark.createDataFrame(docs, "doc_id bigint, text string"),
+                            spark.createDataFrame([(i, int(i % 5 == 1)) for i, _ in docs], "doc_id bigint, toxic int")).collect()
+    assert all(len(r.neighbours) == toxicity.NEIGHBOURS for r in out)
+    # Toxic documents no word of which is tied strongly enough to enter the lexicon.
+    beyond = [r for r in out if r.doc_id % 5 == 1 and not r.terms]
+    assert len(beyond) > 100 and sum(r.score >= 0.5 for r in beyond) > 0.8 * len(beyond)
+    assert sum(r.score >= 0.5 for r in out if r.doc_id % 5 != 1) <= 5
+
+
+def test_search_over_all_terms_is_exact(monkeypatch):
+    monkeypatch.setattr(toxicity, "HOT_TERMS", 5)
+    rng = np.random.default_rng(9)
+    idf = rng.integers(1, 4, 40).astype(float)
+    rows = [(np.sort(rng.choice(40, rng.integers(1, 9), replace=False)), np.ones(0)) for _ in range(300)]
+    rows = [(t, rng.integers(1, 4, len(t)).astype(float)) for t, _ in rows]
+    dense = np.array([np.bincount(t, (1 + np.log(c)) * idf[t], 40) for t, c in rows])
+    dense /= np.linalg.norm(dense, axis=1, keepdims=True)
+    index = toxicity.TermIndex(np.arange(200), np.zeros(200), idf).build(rows[:200])
+    assert len(index.dense) == 5
+    for at, (cosines, places) in enumerate(index.nearest(rows, 9)):
+        own = np.round(dense[:200] @ dense[at], 12)
+        want = [p for p in np.lexsort((np.arange(200), -own)) if own[p] > 0][:9]
+        assert places.tolist() == want and cosines == pytest.approx(own[want])
