@@ -20,8 +20,12 @@ from chainstrata.session import materialized
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
          ("allow", "com", "/fr/"), ("block", "com", "/de/"))
 STAY = 0.85
-ROUNDS = 20
+ROUNDS = 20  # of the SQL twin
+# Scores have settled once none moves by more than this share of itself; then at most STAY / (1 - STAY)
+# times as much is missing. Equal scores may differ by that and by rounding, far less than ALIKE.
 SETTLED = 1e-9
+CEILING = 1000
+ALIKE = 1e-7
 RATIO = 1.0
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 LINK = r"(?i)\shref\s*=\s*[\"']?\s*(?:[a-z][a-z0-9+.\-]*:)?//([^/?#\"'\s>]+)"
@@ -65,12 +69,13 @@ def reversed_links(links: DataFrame) -> DataFrame:
     return links.join(total, "target").select(F.col("target").alias("source"), F.col("source").alias("target"), (F.lit(1.0) / F.col("total")).alias("weight"))
 
 
-def propagate(seeds: DataFrame, edges: DataFrame, stay: float = STAY, rounds: int = ROUNDS, settled: float = SETTLED) -> DataFrame:
+def propagate(seeds: DataFrame, edges: DataFrame, stay: float = STAY, rounds: int = CEILING, settled: float = SETTLED) -> DataFrame:
     """(host, score) of personalised PageRank: score = (1 - stay) seed + stay * sum of weight * score over edges in.
 
     Walkers at a host without edges return to the seeds' share only, as the rest is
-    dropped. Runs until scores move by less than ``settled`` in total, ``rounds``
-    at most. Contributions to a host of many links are combined before the shuffle,
+    dropped. Runs until every score, however small, moves by less than the share
+    ``settled`` of itself, and fails if that takes more than ``rounds``.
+    Contributions to a host of many links are combined before the shuffle,
     and the source side of the join is one row per host. Hosts no seed reaches are absent.
     """
     base = materialized(seeds.select("host", (F.col("seed") * (1 - stay)).alias("base")), "seeds")
@@ -79,14 +84,14 @@ def propagate(seeds: DataFrame, edges: DataFrame, stay: float = STAY, rounds: in
         return now
     for _ in range(rounds):
         flows = edges.join(now, edges["source"] == now["host"]).select(F.col("target").alias("host"), (F.col("weight") * F.col("score") * stay).alias("score"))
-        following = materialized(
-            flows.unionByName(base.select("host", F.col("base").alias("score"))).groupBy("host").agg(F.sum("score").alias("score")), "scores")
-        moved = now.withColumnRenamed("score", "old").join(following, "host", "full").agg(
-            F.sum(F.abs(F.coalesce("score", F.lit(0.0)) - F.coalesce("old", F.lit(0.0))))).first()[0]
-        now = following
+        parts = flows.unionByName(base.select("host", F.col("base").alias("score"))).withColumn("old", F.lit(0.0)).unionByName(
+            now.select("host", F.lit(0.0).alias("score"), F.col("score").alias("old")))
+        following = materialized(parts.groupBy("host").agg(F.sum("score").alias("score"), F.sum("old").alias("old")), "scores")
+        moved = following.agg(F.max(F.abs(F.col("score") - F.col("old")) / F.greatest("score", "old"))).first()[0]
+        now = following.select("host", "score")
         if not moved or moved < settled:
-            break
-    return now
+            return now
+    raise RuntimeError(f"scores have not settled after {rounds} rounds")
 
 
 def _seeds(hosts: DataFrame, pages: str) -> DataFrame:
@@ -101,8 +106,8 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, page_
     """(page_id, host, path, rule, verdict, trust, distrust) of every row.
 
     ``verdict`` is the fitting rule's; without one it is "block" if the host's
-    distrust exceeds ``ratio`` times its trust, else "allow". Scores are rounded to
-    12 digits before they are compared, so equal ones allow. Null urls and urls
+    distrust exceeds ``ratio`` times its trust, else "allow". Scores that differ by
+    less than the share ALIKE are equal, whatever their size, and equal ones allow. Null urls and urls
     without ``://`` have an empty host and path; no rule fits them, no link counts
     for them, and they are allowed. Null html has no links.
     """
@@ -115,13 +120,13 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, page_
     trust = propagate(_seeds(hosts, "allowed"), links)
     distrust = propagate(_seeds(hosts, "blocked"), materialized(reversed_links(links), "reversed-links"))
 
-    def rounded(name: str) -> Column:
-        return F.coalesce(F.round("score", 12), F.lit(0.0)).alias(name)
+    def score(name: str) -> Column:
+        return F.coalesce("score", F.lit(0.0)).alias(name)
     scores = materialized(
-        hosts.select("host").join(trust, "host", "left").select("host", rounded("trust"))
-        .join(distrust, "host", "left").select("host", "trust", rounded("distrust")), "host-scores")
+        hosts.select("host").join(trust, "host", "left").select("host", score("trust"))
+        .join(distrust, "host", "left").select("host", "trust", score("distrust")), "host-scores")
     # A host may own a third of all pages; this join's left side is split where it is large.
     judged = ruled.drop("html").join(scores, "host", "left")
-    by_host = F.when(F.coalesce("distrust", F.lit(0.0)) > F.lit(ratio) * F.coalesce("trust", F.lit(0.0)), "block").otherwise("allow")
+    by_host = F.when(F.coalesce("distrust", F.lit(0.0)) > F.lit(ratio * (1 + ALIKE)) * F.coalesce("trust", F.lit(0.0)), "block").otherwise("allow")
     return judged.select("page_id", "host", "path", "rule", F.coalesce("_ruled", by_host).alias("verdict"),
                          F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust"))

@@ -101,3 +101,19 @@ def test_propagation_matches_a_plain_loop(spark):
     for _ in range(200):
         score = {h: 0.15 * (h == "a") + 0.85 * sum(w * score[s] for s, t, w in edges if t == h) for h in score}
     assert got == pytest.approx(score, abs=1e-6)
+
+
+def test_tiny_and_late_distrust_still_blocks(spark):
+    # 3,000 hosts link to c0, from which 26 links lead to one of 2,000 blocked hosts: distrust comes late and is tiny.
+    blocked = [(i, f"https://s{i}.com/de/", "") for i in range(2000)]
+    chain = [(3000 + i, f"https://c{i}.net/", f'<a href="https://c{i + 1}.net/">x</a>') for i in range(25)]
+    last = [(4000, "https://c25.net/", '<a href="https://s0.com/">x</a>')]
+    crowd = [(5000 + i, f"https://m{i}.net/", '<a href="https://c0.net/">x</a>') for i in range(3000)]
+    by = {r.page_id: r for r in url_trust.judge(spark.createDataFrame([*blocked, *chain, *last, *crowd], "page_id bigint, url string, html string")).collect()}
+    assert 0 < by[5000].distrust < 5e-9 and {by[i].verdict for i in (3000, 4000, 5000, 5001)} == {"block"}
+
+
+def test_scores_that_do_not_settle_are_an_error(spark):
+    edges = spark.createDataFrame([("a", "b", 1.0), ("b", "a", 1.0)], "source string, target string, weight double")
+    with pytest.raises(RuntimeError):
+        url_trust.propagate(spark.createDataFrame([("a", 1.0)], "host string, seed double"), edges, rounds=5)
