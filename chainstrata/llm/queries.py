@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from chainstrata.llm import ann, bpe, line_dedup, mixing, quality, simhash, token_files, topk, toxicity, url_trust
+from chainstrata.llm import (
+    ann, bpe, cover_tree, importance, line_dedup, mixing, pii, quality, simhash, token_files, topk, toxicity, url_trust,
+)
 from chainstrata.llm.columns import BLANK, LOWER, UPPER, held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -141,3 +143,126 @@ def op8_simhash(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def op9_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.token_digests(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+_ASCII = r"[^\x20\x09-\x0D]"
+_RUN = r"\p{L}+"
+_PII_FORMS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+",
+    "card": r"[0-9](?:[\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def _pii_sql() -> str:
+    """Plain patterns, places by running sums, and the disclosures of the letter runs around the matches."""
+    forms = ", ".join(f"({i}, '{k}', '{f}')" for i, (k, f) in enumerate(_PII_FORMS.items()))
+
+    def runs(text: str) -> str:
+        return f"list_distinct(list_filter(regexp_extract_all(lower({text}), '{_RUN}'), lambda w: len(w) BETWEEN 3 AND 40))"
+
+    counts = ", ".join(f"CAST(count(*) FILTER (WHERE kind = {i}) AS BIGINT) AS n_{k}" for i, k in enumerate(_PII_FORMS))
+    text = "name || ':' || s || ':' || e, ',' ORDER BY s, kind"
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS body FROM documents),
+cut AS (SELECT doc_id, kind, name, string_split_regex(body, form) AS gaps, regexp_extract_all(body, form) AS hits
+  FROM d, (VALUES {forms}) f(kind, name, form)),
+each AS (SELECT doc_id, kind, name, i, gaps[i] AS gap, hits[i] AS hit, gaps[i + 1] AS after
+  FROM (SELECT *, unnest(generate_series(1, len(hits))) AS i FROM cut)),
+placed AS (SELECT *, sum(len(gap) + len(hit)) OVER (PARTITION BY doc_id, kind ORDER BY i) AS e,
+  regexp_replace(hit, '[^0-9]', '', 'g') AS digits FROM each),
+found AS (SELECT doc_id, kind, name, CAST(e - len(hit) AS BIGINT) AS s, CAST(e AS BIGINT) AS e, right(gap, {pii.CONTEXT}) AS head, left(after, {pii.CONTEXT}) AS tail,
+  name || ':' || CASE kind WHEN 0 THEN lower(hit) WHEN 1 THEN hit ELSE digits END AS entity FROM placed
+  WHERE CASE kind WHEN 1 THEN list_max([CAST(x AS HUGEINT) FOR x IN string_split(hit, '.')]) <= 255
+    WHEN 2 THEN len(digits) BETWEEN 12 AND 19 AND list_sum([CASE WHEN (len(digits) - i) % 2 = 0 THEN CAST(digits[i] AS INTEGER)
+      ELSE CAST(digits[i] AS INTEGER) * 2 - CASE WHEN digits[i] > '4' THEN 9 ELSE 0 END END FOR i IN range(1, len(digits) + 1)]) % 10 = 0
+    WHEN 3 THEN len(digits) BETWEEN 9 AND 15 ELSE true END),
+around AS (SELECT doc_id, entity, regexp_replace(CASE WHEN len(head) = {pii.CONTEXT} THEN regexp_replace(head, '^{_ASCII}+', '') ELSE head END || ' ' ||
+  CASE WHEN len(tail) = {pii.CONTEXT} THEN regexp_replace(tail, '{_ASCII}+$', '') ELSE tail END, '{_ASCII}*@{_ASCII}*', ' ', 'g') AS context FROM found),
+near AS (SELECT DISTINCT doc_id, entity, unnest({runs("context")}) AS term FROM around),
+n_term AS (SELECT term, count(*) AS n_t FROM (SELECT unnest({runs("body")}) AS term FROM d) GROUP BY 1),
+n_entity AS (SELECT entity, count(DISTINCT doc_id) AS n_c FROM found GROUP BY 1),
+rated AS (SELECT entity, term, round(1 - ln(CAST(n_t AS DOUBLE) / n) / ln(CAST((SELECT count(*) FROM d) AS DOUBLE) / n_c), 9) AS disclosure
+  FROM (SELECT entity, term, count(*) AS n FROM near GROUP BY 1, 2 HAVING count(*) >= {pii.LEAST_DOCUMENTS}) JOIN n_entity USING (entity) JOIN n_term USING (term)
+  WHERE n_c < (SELECT count(*) FROM d)),
+flagged AS (SELECT DISTINCT doc_id, term FROM near JOIN rated USING (entity, term) WHERE disclosure >= {pii.GENERALISE}),
+words AS (SELECT doc_id, string_split_regex(body, '{_RUN}') AS gaps, regexp_extract_all(body, '{_RUN}') AS hits FROM d WHERE doc_id IN (SELECT doc_id FROM flagged)),
+spots AS (SELECT doc_id, hit, sum(len(gap) + len(hit)) OVER (PARTITION BY doc_id ORDER BY i) AS e
+  FROM (SELECT doc_id, i, gaps[i] AS gap, hits[i] AS hit FROM (SELECT *, unnest(generate_series(1, len(hits))) AS i FROM words))),
+terms AS (SELECT w.doc_id, {len(pii.KINDS)} AS kind, '{pii.TERM_KIND}' AS name, CAST(w.e - len(hit) AS BIGINT) AS s, CAST(w.e AS BIGINT) AS e
+  FROM spots w JOIN flagged f ON f.doc_id = w.doc_id AND f.term = lower(w.hit)
+  WHERE NOT EXISTS (SELECT 1 FROM found b WHERE b.doc_id = w.doc_id AND b.s < w.e AND b.e > w.e - len(hit))),
+spans AS (SELECT doc_id, kind, name, s, e FROM found UNION ALL SELECT * FROM terms),
+per_doc AS (SELECT doc_id, {counts}, sha256(coalesce(string_agg({text}) FILTER (WHERE kind < {len(pii.KINDS)}), '')) AS base_sha256, string_agg({text}) AS spans
+  FROM spans GROUP BY 1)
+SELECT d.doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in _PII_FORMS)}, coalesce(base_sha256, sha256('')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN per_doc USING (doc_id)"""
+
+
+@query(_pii_sql())
+def op11_pii(spark: SparkSession, sf: str) -> DataFrame:
+    return pii.digests(pii.find(table(spark, sf, "documents")))
+
+
+def _importance_sql() -> str:
+    """CRC-32 by a table of 256 numbers, folded over the bytes of each distinct word."""
+    step = "list_reduce(list_concat([CAST({0} AS BIGINT)], range(8)), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)"
+    words = f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    buckets, least = importance.BUCKETS, importance.LEAST_WORDS
+    bytes_of = "list_transform(range(1, strlen(w) + 1), lambda i: CAST('0x' || substr(hex(w), 2 * i - 1, 2) AS BIGINT))"
+    return f"""
+WITH t AS (SELECT list({step.format("n")} ORDER BY n) AS crc FROM range(256) r(n)),
+d AS (SELECT doc_id, {words} AS words FROM documents),
+all_words AS (SELECT doc_id, unnest(words) AS w FROM d),
+wanted AS (SELECT unnest({words}) AS w FROM benchmark),
+coded AS (SELECT w, xor(list_reduce(list_concat([4294967295], {bytes_of}),
+  lambda c, b: xor(c >> 8, crc[xor(c, b) % 256 + 1])), 4294967295) % {buckets} AS bucket
+  FROM (SELECT DISTINCT w FROM (SELECT w FROM all_words UNION ALL SELECT w FROM wanted)), t),
+s AS (SELECT bucket, count(*) AS n FROM all_words JOIN coded USING (w) GROUP BY 1),
+g AS (SELECT bucket, count(*) AS n FROM wanted JOIN coded USING (w) GROUP BY 1),
+gains AS (SELECT r.bucket, CAST(floor(1000 * ln((coalesce(g.n, 0) + 1.0::DOUBLE) * ((SELECT coalesce(sum(n), 0) FROM s) + {buckets}.0::DOUBLE)
+  / ((coalesce(s.n, 0) + 1.0::DOUBLE) * ((SELECT coalesce(sum(n), 0) FROM g) + {buckets}.0::DOUBLE)))) AS BIGINT) AS gain
+  FROM range({buckets}) r(bucket) LEFT JOIN s USING (bucket) LEFT JOIN g USING (bucket)),
+sums AS (SELECT doc_id, count(*) AS n_features, CAST(sum(gain) AS BIGINT) AS total FROM all_words JOIN coded USING (w) JOIN gains USING (bucket) GROUP BY 1),
+weighed AS (SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce((total - ((total % n_features) + n_features) % n_features) // n_features, 0) AS weight
+  FROM d LEFT JOIN sums USING (doc_id)),
+scored AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((CAST(CAST('0x' || substr(sha256('{importance.SEED}:' || doc_id), 1, 8) AS BIGINT) AS DOUBLE) + 0.5)
+  / 4294967296))) AS BIGINT) AS score FROM weighed),
+ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS able FROM scored WHERE n_features >= {least})
+SELECT s.doc_id, n_features, weight, score, CASE WHEN rank <= able * {importance.SHARE[0]} // {importance.SHARE[1]} THEN rank END AS rank
+FROM scored s LEFT JOIN ranked r USING (doc_id)"""
+
+
+@query(_importance_sql())
+def op12_importance(spark: SparkSession, sf: str) -> DataFrame:
+    drawn = importance.draw(importance.weigh(table(spark, sf, "documents"), table(spark, sf, "benchmark")))
+    return drawn.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
+def _codes_sql() -> str:
+    """Every round compares all parts with all entries."""
+    most = cover_tree.PARTS
+    rounds = "".join(f""",
+near{i} AS (SELECT vec_id, label, part, arg_min(entry, (gap, entry)) AS entry, min(gap) AS gap FROM (
+  SELECT x.vec_id, x.label, x.part, c.entry, CAST(list_sum(list_transform(list_zip(x.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS gap
+  FROM x JOIN book{i} c USING (part)) GROUP BY 1, 2, 3)""" + (f""",
+book{i + 1} AS (SELECT c.part, c.entry, coalesce(m.v, c.v) AS v FROM book{i} c LEFT JOIN (
+  SELECT part, entry, list(CAST((total - ((total % n) + n) % n) // n AS BIGINT) ORDER BY place) AS v FROM (
+    SELECT part, entry, place, sum(value) AS total, count(*) AS n FROM (
+      SELECT part, entry, unnest(v) AS value, unnest(range(len(v))) AS place FROM near{i} JOIN x USING (vec_id, part)) GROUP BY 1, 2, 3) GROUP BY 1, 2) m
+  USING (part, entry))""" if i < cover_tree.ROUNDS else "") for i in range(cover_tree.ROUNDS + 1))
+    last = cover_tree.ROUNDS
+    return f"""
+WITH kept AS (SELECT vec_id, label, [CAST(floor({cover_tree.SCALE} * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+x AS (SELECT vec_id, label, part, v[len(v) // {most} * part + 1:len(v) // {most} * (part + 1)] AS v FROM kept, range({most}) r(part)),
+book0 AS (SELECT part, entry, v FROM (SELECT *, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry FROM x) WHERE entry < {cover_tree.ENTRIES}){rounds},
+codes AS (SELECT vec_id, label, string_agg(lower(printf('%02x', entry)), '' ORDER BY part) AS code, CAST(sum(gap) AS BIGINT) AS error FROM near{last} GROUP BY 1, 2),
+digest AS (SELECT sha256(string_agg(value, ',' ORDER BY part, entry, place)) AS codebooks_sha256 FROM (
+  SELECT part, entry, unnest(v) AS value, unnest(range(len(v))) AS place FROM book{last}))
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM codes, digest"""
+
+
+@query(_codes_sql())
+def op13_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
+    coded, codebooks = cover_tree.compress(table(spark, sf, "embeddings"))
+    digest = F.lit(cover_tree.codebook_digest(codebooks)).alias("codebooks_sha256")
+    return cover_tree.with_label_error(coded).select("vec_id", "code", "error", "label_error", digest)
