@@ -144,7 +144,9 @@ def _spans(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     order = Window.partitionBy(*ROW_KEY).orderBy("start", "kind", "end")
     is_base = F.col("kind") < term_kind
     reach = F.max(F.when(is_base, F.col("end"))).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    upcoming = F.min(F.when(is_base, F.col("start"))).over(order.rowsBetween(1, Window.unboundedFollowing))
+    # A frame that ends at the last row would be summed up anew for every row.
+    back = Window.partitionBy(*ROW_KEY).orderBy(F.desc("start"), F.desc("kind"), F.desc("end"))
+    upcoming = F.min(F.when(is_base, F.col("start"))).over(back.rowsBetween(Window.unboundedPreceding, -1))
     clear = (F.coalesce(reach, F.lit(0)) <= F.col("start")) & (F.coalesce(upcoming, F.col("end")) >= F.col("end"))
     kept = every.withColumns({"_clear": clear, "_reach": F.coalesce(reach, F.lit(0))}).filter(is_base | F.col("_clear"))
     return kept.groupBy(*ROW_KEY).agg(F.sort_array(F.collect_list(F.struct(
