@@ -76,7 +76,8 @@ def keep_one(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Dat
     return df.withColumn("_at", at).filter(F.col("_at") == 1).drop("_at")
 
 
-def newest_per_key(df: DataFrame, keys: Sequence[str], order: str, n: int) -> DataFrame:
+def newest_per_key(df: DataFrame, keys: Sequence[str], order: str | Sequence[str], n: int) -> DataFrame:
     """The last ``n`` rows per key; each task keeps only ``n`` per key before the shuffle."""
-    at = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc(order)))
+    order = [order] if isinstance(order, str) else order
+    at = F.row_number().over(Window.partitionBy(*keys).orderBy(*map(F.desc, order)))
     return df.withColumn("_at", at).filter(F.col("_at") <= n).drop("_at")

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from chainstrata.operators import indicators, models
+from chainstrata.functions.ratios import ratio
+from chainstrata.operators import fees as fees_of, indicators, models, utxo
 from chainstrata.plans import standins as t
 from chainstrata.plans.registry import present, query, r
-from chainstrata.session import scratch_path
+from chainstrata.session import materialized, scratch_path
 from chainstrata.sources import landing, tables
 from chainstrata.streaming import jobs
 
@@ -59,34 +60,69 @@ def flatten_blocks(spark: SparkSession, sf: str) -> DataFrame:
     return joined.select("height", "block_hash", "txid", "is_coinbase", "prev_txid", "prev_vout", "vout_count", "value_sats")
 
 
-@query(f"""WITH o AS (SELECT {CENTS} AS sats, o_orderkey AS height FROM orders)
-  SELECT height // 250 AS batch_id, 3 * count(*) AS n_outputs, CAST(3 * sum(sats) AS BIGINT) AS value_sats, count(*) AS n_spends,
-         min(height) AS first_height, max(height) AS last_height FROM o GROUP BY 1""")
-def incremental_ingest(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders land as blocks in two overlapping deliveries; each is loaded, then the derived table follows."""
-    landed, warehouse = scratch_path(spark, "landed-blocks"), scratch_path(spark, "warehouse")
-    checkpoint, events = scratch_path(spark, "ingest"), f"{warehouse}/utxo_events"
+# Every 13th block is delivered again with doubled amounts, every 11th arrives late, and
+# the newest tenth of the heights is rolled back.
+AGAIN, LATE = "o_orderkey % 13 = 5", "o_orderkey % 11 = 3"
+DELIVERED = f"""top AS (SELECT max(o_orderkey) AS top FROM orders),
+o AS (SELECT {CENTS} * CASE WHEN {AGAIN} THEN 2 ELSE 1 END AS sats, o_orderkey AS height FROM orders, top WHERE o_orderkey <= top * 9 // 10)"""
+
+
+def _delivered_ledger(spark: SparkSession, sf: str) -> str:
+    """Orders land as blocks in overlapping deliveries; each is loaded, then the derived events follow.
+
+    The third delivery brings late blocks and replacements of loaded ones at the
+    same height; then the newest heights are rolled back, in the loaded tables only.
+    """
+    landed, warehouse, checkpoint = (scratch_path(spark, n) for n in ("landed-blocks", "warehouse", "ingest"))
     orders = t.orders(spark, sf)
     key, top = F.col("o_orderkey"), orders.agg(F.max("o_orderkey")).scalar()
-    sources = {"outputs": f"{warehouse}/outputs", "inputs": f"{warehouse}/inputs"}
+    sources = {n: f"{warehouse}/{n}" for n in ("outputs", "inputs")}
+    late, again = F.expr(LATE), F.expr(AGAIN)
+    doubled = orders.filter(again).withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    early = key < top * 0.55
+    bottom = orders.agg(F.max("o_orderkey")).first()[0] * 9 // 10
 
-    def build(part):
-        spends = part["inputs"].filter("not is_coinbase").select(
-            "height", F.lit(1).alias("spend"), F.lit(0).cast("bigint").alias("value_sats"))
-        made = part["outputs"].select("height", F.lit(0).alias("spend"), "value_sats")
-        return made.unionByName(spends)
+    def follow() -> None:
+        tables.refresh_batches(spark, sources, "outputs", f"{warehouse}/utxo_events",
+                               lambda part: utxo.utxo_events(part["outputs"], part["inputs"]))
 
-    for delivery in (orders.filter(key < top * 0.55), orders.filter(key >= top * 0.5)):
+    for delivery in (orders.filter(early & ~late), orders.filter((key >= top * 0.5) & ~(early & late)),
+                     orders.filter(early & late & ~again).unionByName(doubled)):
         _raw_blocks(delivery, key).write.mode("append").text(landed)
         jobs.ingest_blocks(spark, landed, warehouse, checkpoint).awaitTermination()
-        tables.refresh_batches(spark, sources, "outputs", events, build)
-    stored = spark.read.parquet(events)
+        follow()
+    tables.rollback_all(spark, [f"{warehouse}/{n}" for n in ("blocks", "txs", "inputs", "outputs")], bottom)
+    follow()
+    return warehouse
+
+
+@query(f"""WITH {DELIVERED}
+  SELECT height // 250 AS batch_id, 3 * count(*) AS n_outputs, CAST(3 * sum(sats) AS BIGINT) AS value_sats, count(*) AS n_spends,
+         min(height) AS first_height, max(height) AS last_height FROM o GROUP BY 1""")
+def incremental_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """Late, replaced and rolled back blocks all reach the derived events."""
+    stored = spark.read.parquet(f"{_delivered_ledger(spark, sf)}/utxo_events")
     return present(stored.groupBy("batch_id").agg(
-        F.count_if(F.col("spend") == 0).alias("n_outputs"), F.sum("value_sats").alias("value_sats"),
-        F.count_if(F.col("spend") == 1).alias("n_spends"),
+        F.count_if(F.col("event_type") == "create").alias("n_outputs"), F.sum("value_sats").alias("value_sats"),
+        F.count_if(F.col("event_type") == "spend").alias("n_spends"),
         F.min("height").alias("first_height"), F.max("height").alias("last_height")))
 
 
+@query(f"""WITH {DELIVERED},
+bits AS (SELECT height, sats, list_transform(range(160), lambda i: (CAST('0x' || substr(sha1(CAST(height AS VARCHAR)), i // 4 + 1, 1) AS INTEGER) >> (3 - i % 4)) & 1) AS b FROM o),
+words AS (SELECT height, sats, [0] || list_transform(range(32), lambda i: 16 * b[5 * i + 1] + 8 * b[5 * i + 2] + 4 * b[5 * i + 3] + 2 * b[5 * i + 4] + b[5 * i + 5]) AS w FROM bits),
+sums AS (SELECT height, sats, w, xor(1, list_reduce([CAST(1 AS BIGINT)] || CAST([3, 3, 0, 2, 3] || w || [0, 0, 0, 0, 0, 0] AS BIGINT[]), lambda c, v: xor(xor(xor(xor(xor(xor(
+  ((c & 33554431) << 5), v), CASE WHEN (c >> 25) & 1 = 1 THEN 996825010 ELSE 0 END), CASE WHEN (c >> 26) & 1 = 1 THEN 642813549 ELSE 0 END),
+  CASE WHEN (c >> 27) & 1 = 1 THEN 513874426 ELSE 0 END), CASE WHEN (c >> 28) & 1 = 1 THEN 1027748829 ELSE 0 END), CASE WHEN (c >> 29) & 1 = 1 THEN 705979059 ELSE 0 END))) AS c FROM words)
+SELECT 'bc1' || list_aggregate(list_transform(w || list_transform(range(6), lambda i: CAST((c >> (5 * (5 - i))) & 31 AS INTEGER)),
+  lambda x: substr('qpzry9x8gf2tvdw0s3jn54khce6mua7l', CAST(x AS INTEGER) + 1, 1)), 'string_agg', '') AS address,
+  2 * sats AS balance_sats, height AS last_seen_height FROM sums""")
+def landed_balances(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole chain: landed blocks, flat tables, events with derived addresses, unspent outputs, balances."""
+    narrow = utxo.narrow_events(spark.read.parquet(f"{_delivered_ledger(spark, sf)}/utxo_events"))
+    return present(utxo.balances(utxo.unspent(utxo.creates(narrow), utxo.spends(narrow))))
+
+
 @query(f"""WITH {t.TICKS} SELECT CAST(date_trunc('millisecond', open_time) AS VARCHAR) AS open_time, price AS open, round(price + 1, 6) AS high, price AS low, price AS close,
   CAST(k AS DOUBLE) AS volume, CAST(date_trunc('millisecond', open_time) + INTERVAL 1 MINUTE AS VARCHAR) AS close_time,
   {r('price * k', 2)} AS quote_volume, k AS trades FROM ticks""")
@@ -102,61 +138,148 @@ def parse_feeds(spark: SparkSession, sf: str) -> DataFrame:
     return present(landing.parse_candles(spark.read.text(path)), quote_volume=2)
 
 
-def _tick_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """The events file as a stream of one-trade candles."""
-    schema = t.table(spark, sf, "events").schema
-    raw = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
-    k = F.get_json_object("props", "$.k").cast("bigint")
-    price = F.col("value")
-    return raw.select(
-        F.col("event_type").alias("symbol"), F.col("ts").cast("timestamp").alias("open_time"), "event_id",
-        price.alias("open"), price.alias("high"), price.alias("low"), price.alias("close"),
-        k.cast("double").alias("volume"), (price * k).alias("quote_volume"), k.alias("trades"))
+# Ticks as the clock of a feed that counts whole minutes gives them: many share a time.
+COARSE = t.TICKS.replace("ts AS open_time", "date_trunc('minute', ts) AS open_time")
+FILE_ENDS = ["2024-01-09", "2024-01-17", "2024-01-25", "9999-01-01"]
+
+
+def _files(rows: DataFrame, at: Column, path: str) -> None:
+    """Write rows as one file per span of days, the older ones first."""
+    last = "1970-01-01"
+    for end in FILE_ENDS:
+        span = (at >= F.lit(last).cast("timestamp_ntz")) & (at < F.lit(end).cast("timestamp_ntz"))
+        rows.filter(span).coalesce(1).write.mode("append").json(path)
+        last = end
+
+
+def _messages(spark: SparkSession, sf: str, body: Column) -> tuple[str, DataFrame]:
+    """Ticks as messages (offset, value) in several files, and the stream that takes one file at a time."""
+    path = scratch_path(spark, "messages")
+    ticks = t.ticks(spark, sf).withColumn("open_time", F.date_trunc("minute", "open_time").cast("timestamp_ntz"))
+    _files(ticks.select(F.col("event_id").alias("offset"), body.alias("value"), "open_time"), F.col("open_time"), path)
+    stream = spark.readStream.schema("offset bigint, value string").option("maxFilesPerTrigger", 1).json(path)
+    return path, stream
+
+
+def _millis() -> Column:
+    return F.unix_millis(F.col("open_time").cast("timestamp"))
 
 
-@query(f"""WITH {t.bars_sql('5 minutes')} SELECT symbol, CAST(open_time AS VARCHAR) AS open_time, open, high, low, close, volume,
+def _candle_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """Closed candles of the stream; every tick also sends a candle that is still open."""
+    text = lambda c: F.col(c).cast("string")
+
+    def candle(closed: bool, price: Column) -> Column:
+        return F.to_json(F.struct(F.struct(
+            _millis().alias("t"), *[price.cast("string").alias(c) for c in "ohlc"], text("volume").alias("v"), text("quote_volume").alias("q"),
+            F.col("trades").alias("n"), F.lit(closed).alias("x"), F.col("symbol").alias("s")).alias("k")))
+
+    body = F.explode(F.array(candle(True, F.col("close")), candle(False, F.col("close") + 1000)))
+    return landing.parse_candle_messages(_messages(spark, sf, body)[1], carry=["offset"])
+
+
+def _twice(spark: SparkSession, run) -> None:
+    """Run a stream, lose its checkpoint, and run it again over everything."""
+    for _ in range(2):
+        run(scratch_path(spark, "stream-state")).awaitTermination()
+
+
+@query(f"""WITH {t.bars_sql('5 minutes').replace(t.TICKS, COARSE)} SELECT symbol, CAST(open_time AS VARCHAR) AS open_time, open, high, low, close, volume,
   {r('quote_volume', 3)} AS quote_volume, trades FROM bars""")
 def stream_ohlcv(spark: SparkSession, sf: str) -> DataFrame:
-    """Five-minute bars from the stream; the last stored version of each bar."""
-    path, checkpoint = scratch_path(spark, "stream-bars"), scratch_path(spark, "stream-bars-state")
-    jobs.write_epochs(jobs.bar_stream(_tick_stream(spark, sf), "5m"), path, checkpoint).awaitTermination()
-    return present(jobs.newest_rows(spark, path, ["symbol", "open_time"]), quote_volume=3)
+    """Five-minute bars from candle messages, over several micro-batches and a lost checkpoint."""
+    path, bars = scratch_path(spark, "stream-bars"), jobs.bar_stream(_candle_messages(spark, sf), "5m", tie="offset")
+    _twice(spark, lambda state: jobs.write_keyed(bars, path, state, ["symbol", "open_time"], "open_time", "num_candles"))
+    return present(spark.read.parquet(path).drop("date", "num_candles"), quote_volume=3)
 
 
-@query("""SELECT event_type AS symbol, CAST(date_trunc('minute', date_trunc('millisecond', ts)) AS VARCHAR) AS minute,
-  CAST(date_trunc('millisecond', max(ts)) AS VARCHAR) AS timestamp, round(arg_max(value / 1e4, ts), 6) AS funding_rate, arg_max(value, ts) AS mark_price
-  FROM events GROUP BY 1, 2""")
+@query("""SELECT event_type AS symbol, CAST(date_trunc('minute', ts) AS VARCHAR) AS minute, CAST(date_trunc('minute', ts) AS VARCHAR) AS timestamp,
+  round(arg_max(value, event_id) / 1e4, 6) AS funding_rate, arg_max(value, event_id) AS mark_price FROM events GROUP BY 1, 2""")
 def stream_throttle(spark: SparkSession, sf: str) -> DataFrame:
-    """Funding messages, at most one row per symbol and minute."""
-    path, checkpoint = scratch_path(spark, "funding"), scratch_path(spark, "funding-state")
-    messages = _tick_stream(spark, sf).select("symbol", F.to_json(F.struct(
-        F.unix_millis("open_time").alias("E"), (F.col("close") / 10_000).cast("string").alias("r"),
-        F.col("close").cast("string").alias("p"))).alias("value"))
-    parsed = messages.select("symbol", F.from_json("value", "E bigint, r string, p string").alias("m")).select(
-        "symbol", F.timestamp_millis("m.E").alias("timestamp"), F.col("m.r").cast("double").alias("funding_rate"),
-        F.col("m.p").cast("double").alias("mark_price"))
-    kept = jobs.minute_stream(parsed, "timestamp", ["symbol"], ["funding_rate", "mark_price"])
-    jobs.write_epochs(kept, path, checkpoint).awaitTermination()
-    return present(jobs.newest_rows(spark, path, ["symbol", "minute"]))
-
-
-@query("""SELECT event_type AS symbol, CAST(ts AS VARCHAR) AS open_time, value AS close FROM events
-  QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY ts DESC) <= 48""")
+    """Funding messages, at most one row per symbol and minute; messages of one time count by offset."""
+    path = scratch_path(spark, "funding")
+    body = F.to_json(F.struct(_millis().alias("E"), F.col("symbol").alias("s"), (F.col("close") / 10_000).cast("string").alias("r"),
+                              F.col("close").cast("string").alias("p")))
+    ticks = landing.parse_funding_messages(_messages(spark, sf, body)[1], carry=["offset"])
+    kept = jobs.minute_stream(ticks, "timestamp", ["symbol"], ["funding_rate", "mark_price"], tie="offset")
+    _twice(spark, lambda state: jobs.write_keyed(kept, path, state, ["symbol", "minute"], "minute", "n_ticks"))
+    return present(spark.read.parquet(path).drop("date", "n_ticks"))
+
+
+@query("""SELECT event_type AS symbol, CAST(date_trunc('minute', ts) AS VARCHAR) AS open_time, value AS close FROM events
+  QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY date_trunc('minute', ts) DESC, event_id DESC) <= 48""")
 def stream_last_bars(spark: SparkSession, sf: str) -> DataFrame:
-    path, checkpoint = scratch_path(spark, "buffer"), scratch_path(spark, "buffer-state")
-    jobs.write_epochs(jobs.last_bars_stream(_tick_stream(spark, sf)), path, checkpoint).awaitTermination()
-    return present(spark.read.parquet(path).drop("epoch"))
+    """The newest 48 bars of each symbol, over several micro-batches and a lost checkpoint."""
+    path, bars = scratch_path(spark, "buffer"), jobs.last_bars_stream(_candle_messages(spark, sf), tie="offset")
+    _twice(spark, lambda state: jobs.write_newest(bars, path, state, ["open_time", "offset"], 48))
+    return present(spark.read.parquet(path).select("symbol", "open_time", "close"))
+
+
+def _bar_files(spark: SparkSession, bars: DataFrame, first_day: str) -> tuple[DataFrame, str]:
+    """Stored bars before a day, and the later ones as one file per span of days."""
+    stored = materialized(bars, "bars")
+    day = F.lit(first_day).cast("timestamp_ntz")
+    path = scratch_path(spark, "bar-files")
+    _files(stored.filter(F.col("open_time") >= day), F.col("open_time"), path)
+    return stored.filter(F.col("open_time") < day), path
 
 
 @query()
 def stream_score(spark: SparkSession, sf: str) -> DataFrame:
-    """A model fitted on the first days scores the newest bar of each symbol."""
-    stored = scratch_path(spark, "bars")
-    indicators.with_daily_zscore(t.bars(spark, sf), t.shifted_zscores(spark, sf), lag_days=1).write.parquet(stored)
-    history = spark.read.parquet(stored).filter("open_time < timestamp_ntz '2024-01-21'")
+    """A model fitted on the first days scores the later bars as they come, on the bars in state."""
+    history, path = _bar_files(spark, indicators.with_daily_zscore(t.bars(spark, sf), t.shifted_zscores(spark, sf), lag_days=1), "2024-01-21")
     model = models.fit_classifier(indicators.feature_matrix(history), trees=5)
-    stream = spark.readStream.schema(history.schema).parquet(stored).filter("open_time >= timestamp_ntz '2024-01-21'")
-    path, checkpoint = scratch_path(spark, "scores"), scratch_path(spark, "scores-state")
-    jobs.score_stream(stream, lambda: history, lambda bars: models.score(model, indicators.feature_matrix(bars)),
-                      path, checkpoint).awaitTermination()
-    return present(spark.read.parquet(path).select("symbol", "open_time", "close", "probability", "signal"))
+    stream = spark.readStream.schema(history.schema).option("maxFilesPerTrigger", 1).json(path)
+    out = scratch_path(spark, "scores")
+    jobs.score_ring(stream, history, lambda bars: models.score(model, indicators.feature_matrix(bars)), None, out,
+                    scratch_path(spark, "scores-state")).awaitTermination()
+    return present(spark.read.parquet(out).select("symbol", "open_time", "close", "probability", "signal"))
+
+
+RANGE_BARS = 48
+_SPAN = " ".join(f"WHEN open_time < TIMESTAMP '{end}' THEN {i}" for i, end in enumerate(FILE_ENDS))
+_FEE_DAY = f"CAST(o_orderdate AS DATE) + {t.DAYS_TO_EVENTS}"
+
+
+@query(f"""WITH {t.bars_sql('1 hour')},
+ranged AS (SELECT *, CASE {_SPAN} END AS part, min(low) OVER w AS low48, max(high) OVER w AS high48, count(*) OVER w AS n
+  FROM bars WINDOW w AS (PARTITION BY symbol ORDER BY open_time ROWS BETWEEN {RANGE_BARS - 1} PRECEDING AND CURRENT ROW)),
+fees AS (SELECT {_FEE_DAY} AS day, o_totalprice AS fee FROM orders),
+parts AS (SELECT * FROM (VALUES {", ".join(f"({i}, DATE '{end}')" for i, end in enumerate(FILE_ENDS))}) p(part, stop)),
+today AS (SELECT part, max(day) AS day FROM parts JOIN fees ON day < stop GROUP BY 1),
+z AS (SELECT part, (avg(fee) FILTER (WHERE f.day = t.day) - avg(fee)) / stddev_pop(fee) AS zscore
+  FROM today t JOIN fees f ON f.day BETWEEN t.day - 30 AND t.day GROUP BY 1),
+scored AS (SELECT symbol, open_time, close, (close - low48) / (high48 - low48) AS probability, zscore FROM ranged JOIN z USING (part)
+  WHERE n = {RANGE_BARS} AND high48 > low48 AND open_time >= TIMESTAMP '2024-01-09')
+SELECT symbol, CAST(open_time AS VARCHAR) AS open_time, close, {r('probability')} AS probability, {r('coalesce(zscore, 0)')} AS live_zscore,
+  CASE WHEN probability >= 0.6 AND coalesce(zscore, 0) > 0 THEN 'LONG' ELSE 'WAIT' END AS signal FROM scored""")
+def stream_live_gate(spark: SparkSession, sf: str) -> DataFrame:
+    """Signals need the live fee z-score, whose table grows between the micro-batches.
+
+    The score is the close's place in the range of the last 48 bars, so most of what
+    a new bar needs comes from earlier micro-batches.
+    """
+    history, path = _bar_files(spark, t.bars(spark, sf), FILE_ENDS[0])
+    fee_path, out, state = (scratch_path(spark, n) for n in ("fees", "gated", "gated-state"))
+    fee = t.orders(spark, sf).select(F.date_add(F.to_date("o_orderdate"), t.DAYS_TO_EVENTS).alias("day"), F.col("o_totalprice").alias("fee"))
+    ends = [F.lit(e).cast("date") for e in FILE_ENDS]
+    files = spark.read.schema(history.schema).json(path)
+
+    def place(bars: DataFrame) -> DataFrame:
+        w = Window.partitionBy("symbol").orderBy("open_time").rowsBetween(1 - RANGE_BARS, 0)
+        low, high = F.min("low").over(w), F.max("high").over(w)
+        return bars.withColumns({"probability": ratio(F.col("close") - low, high - low), "_n": F.count("*").over(w)}).filter(
+            (F.col("_n") == RANGE_BARS) & F.col("probability").isNotNull()).drop("_n")
+
+    def live() -> DataFrame:
+        fees = spark.read.parquet(fee_path)
+        return fees_of.live_zscore(fees, F.col("day"), F.col("fee"), F.lit(fees.agg(F.max("day")).first()[0]))
+
+    landed = scratch_path(spark, "landed-bars")
+    fee.filter(F.col("day") < ends[0]).write.mode("append").parquet(fee_path)
+    for before, end in zip(ends, ends[1:]):
+        fee.filter((F.col("day") >= before) & (F.col("day") < end)).write.mode("append").parquet(fee_path)
+        files.filter((F.col("open_time") >= before) & (F.col("open_time") < end)).coalesce(1).write.mode("append").json(landed)
+        stream = spark.readStream.schema(history.schema).option("maxFilesPerTrigger", 1).json(landed)
+        jobs.score_ring(stream, history, place, live, out, state, z_floor=0.0).awaitTermination()
+    return present(spark.read.parquet(out).select("symbol", "open_time", "close", "probability", "live_zscore", "signal"))

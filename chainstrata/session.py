@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -66,3 +68,11 @@ def materialized(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def at_once(calls: Iterable[Callable[[], None]]) -> None:
+    """Run independent jobs from threads of their own, so that small ones share the cluster; errors are raised."""
+    calls = list(calls)
+    with ThreadPoolExecutor(max(1, len(calls))) as pool:
+        for running in [pool.submit(call) for call in calls]:
+            running.result()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from chainstrata.functions import money
@@ -79,10 +81,11 @@ def parse_candles(landed: DataFrame, body: str = "value") -> DataFrame:
     )
 
 
-def parse_candle_messages(messages: DataFrame, body: str = "value") -> DataFrame:
-    """Candle stream messages; only closed candles pass."""
+def parse_candle_messages(messages: DataFrame, body: str = "value", carry: Sequence[str] = ()) -> DataFrame:
+    """Candle stream messages; only closed candles pass. ``carry`` names columns to keep, such as an offset."""
     schema = "k struct<t:bigint,o:string,h:string,l:string,c:string,v:string,q:string,n:bigint,x:boolean,s:string>"
-    return messages.select(F.from_json(body, schema).alias("m")).select("m.k.*").filter("x").select(
+    return messages.select(*carry, F.from_json(body, schema).alias("m")).select(*carry, "m.k.*").filter("x").select(
+        *carry,
         F.coalesce("s", F.lit("BTCUSDT")).alias("symbol"),
         F.timestamp_millis("t").alias("open_time"),
         *[F.col(c).cast("double").alias(n) for c, n in
@@ -91,11 +94,13 @@ def parse_candle_messages(messages: DataFrame, body: str = "value") -> DataFrame
     )
 
 
-def parse_funding_messages(messages: DataFrame, body: str = "value", symbol: str = "BTCUSDT") -> DataFrame:
-    """Mark-price messages to funding ticks."""
-    return messages.select(F.from_json(body, "E bigint, r string, p string").alias("m")).select(
+def parse_funding_messages(messages: DataFrame, body: str = "value", symbol: str = "BTCUSDT",
+                           carry: Sequence[str] = ()) -> DataFrame:
+    """Mark-price messages to funding ticks; ``symbol`` stands in where a message names none."""
+    return messages.select(*carry, F.from_json(body, "E bigint, s string, r string, p string").alias("m")).select(
+        *carry,
         F.timestamp_millis("m.E").alias("timestamp"),
-        F.lit(symbol).alias("symbol"),
+        F.coalesce("m.s", F.lit(symbol)).alias("symbol"),
         F.col("m.r").cast("double").alias("funding_rate"),
         F.col("m.p").cast("double").alias("mark_price"),
     )

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from chainstrata.operators.candles import keep_one
-from chainstrata.session import scratch_path
+from chainstrata.session import at_once, scratch_path
+from chainstrata.sources import versions
 
 # Fixed value: blocks per batch.
 BATCH_BLOCKS = 250
@@ -53,9 +55,41 @@ def replace_partitions(df: DataFrame, path: str, by: Sequence[str], sort: Sequen
      .partitionBy(*by).parquet(path))
 
 
-def write_batches(df: DataFrame, path: str) -> None:
-    """Height-keyed table in batches of blocks; rerunning a batch replaces it."""
-    replace_partitions(df.withColumn("batch_id", batch_id(F.col("height"))), path, ["batch_id"], ["height"])
+def write_batches(df: DataFrame, path: str, batches: Sequence[int] | None = None,
+                  built_from: dict[int, dict[str, str]] | None = None) -> None:
+    """Height-keyed table in batches of blocks; rerunning a batch replaces it.
+
+    ``batches`` names the batches ``df`` stands for; those without rows are removed.
+    Left out, they are found by a pass over the heights of ``df``.
+    """
+    spark, rows = df.sparkSession, df.withColumn("batch_id", batch_id(F.col("height")))
+    if batches is None:
+        batches = [r.batch_id for r in rows.select("batch_id").distinct().collect()]
+    versions.begin(spark, path, batches)
+    _replace_batches(rows, path, batches, ["height"])
+    versions.commit(spark, path, batches, built_from)
+
+
+def _part_files(spark: SparkSession, path: str, batches: Iterable[int]) -> dict[int, set[str]]:
+    out = {}
+    for batch in batches:
+        fs, where = _hadoop(spark, f"{path}/batch_id={batch}")
+        out[batch] = {s.getPath().getName() for s in fs.listStatus(where)} if fs.exists(where) else set()
+    return out
+
+
+def _replace_batches(df: DataFrame, path: str, batches: Sequence[int], sort: Sequence[str]) -> None:
+    """``replace_partitions`` that also removes batches ``df`` has no rows for: their files stay the same."""
+    spark = df.sparkSession
+    before = _part_files(spark, path, batches)
+    replace_partitions(df, path, ["batch_id"], sort)
+    after = _part_files(spark, path, batches)
+    _drop_batches(spark, path, [b for b in batches if before[b] and before[b] == after[b]])
+
+
+def _drop_batches(spark: SparkSession, path: str, batches: Iterable[int]) -> None:
+    for batch in batches:
+        reset(spark, f"{path}/batch_id={batch}")
 
 
 def read_heights(spark: SparkSession, path: str, first: int, last: int) -> DataFrame:
@@ -82,82 +116,115 @@ def _partition_filter(values: Sequence, by: Sequence[str]) -> Column:
 
 
 def upsert_partitions(new: DataFrame, path: str, keys: Sequence[str], by: Sequence[str],
-                      newest_wins: bool = True, staged: str | None = None) -> None:
+                      newest_wins: bool = True, staged: str | None = None, arrived: DataFrame | None = None,
+                      touched: Sequence[tuple] | None = None, progress: str | None = None,
+                      keep: Callable[[DataFrame], DataFrame] | None = None) -> None:
     """Merge rows into the partitions they touch.
 
     With ``newest_wins`` all stored rows whose key arrives again give way, so a
     key may stand for a group of rows (a block's transactions). Otherwise the
-    stored row stays and ``new`` adds one row per unknown key.
+    stored row stays and ``new`` adds one row per unknown key. ``arrived`` may name
+    the keys that give way, as some may have no rows any more, and ``touched`` the
+    partitions. With ``progress`` a key has one row, the one with the largest value
+    in that column, stored or new: a partial row never replaces a fuller one. ``keep``
+    may choose among the merged rows of the partitions.
 
     The merged partitions are first written to ``staged`` (by default a fresh
     path in the shared folder) and then swapped in. A rerun with the same path
     after a failure finds that copy and only repeats the swap, so no row is lost
-    in between. Only partition values (directory names) reach the driver.
+    in between. Only partition values (directory names) reach the driver. Batch
+    tables (``by`` batch_id) record a version of every batch touched.
     """
     spark = new.sparkSession
     staged = staged or scratch_path(spark, "upsert")
+    touched = touched if touched is not None else [tuple(r) for r in new.select(*by).distinct().collect()]
     if not exists(spark, f"{staged}/_SUCCESS"):
-        touched = [tuple(r) for r in new.select(*by).distinct().collect()]
         if not touched:
             return
         old = read_or_empty(spark, path, new).filter(_partition_filter(touched, by))
-        if newest_wins:
-            merged = old.join(new.select(*keys).distinct(), list(keys), "left_anti").unionByName(new)
+        if progress:
+            rest = F.xxhash64(*[c for c in new.columns if c not in keys])
+            merged = keep_one(old.unionByName(new), keys, [F.desc(progress), rest])
+        elif newest_wins:
+            keyed = (new if arrived is None else arrived).select(*keys).distinct()
+            merged = old.join(keyed, list(keys), "left_anti").unionByName(new)
         else:
             both = old.withColumn("_age", F.lit(0)).unionByName(new.withColumn("_age", F.lit(1)))
             rest = F.xxhash64(*[c for c in new.columns if c not in keys])
             merged = keep_one(both, keys, [F.col("_age"), rest]).drop("_age")
+        if keep:
+            merged = keep(merged)
         merged.write.mode("overwrite").parquet(staged)
-    replace_partitions(spark.read.schema(new.schema).parquet(staged), path, by, list(keys))
+    batches = [v[0] for v in touched] if list(by) == ["batch_id"] else []
+    versions.begin(spark, path, batches)
+    rows = spark.read.schema(new.schema).parquet(staged)
+    if batches:
+        _replace_batches(rows, path, batches, list(keys))
+    else:
+        replace_partitions(rows, path, by, list(keys))
+    versions.commit(spark, path, batches)
     reset(spark, staged)
 
 
 def rollback(spark: SparkSession, path: str, last_height: int) -> None:
-    """Remove everything above ``last_height``: later batches go, the cut one is rewritten."""
+    """Remove everything above ``last_height``: later batches go, a cut one is rewritten.
+
+    Tables built from this one follow with their next ``refresh_batches``.
+    """
     cut = last_height // BATCH_BLOCKS
     fs, where = _hadoop(spark, path)
     later = [s.getPath() for s in fs.listStatus(where) if s.getPath().getName().startswith("batch_id=")
              and int(s.getPath().getName().split("=")[1]) > cut]
-    table = spark.read.parquet(path)
-    kept = table.filter((F.col("batch_id") == cut) & (F.col("height") <= last_height))
-    staged = scratch_path(spark, "rollback")
-    kept.write.parquet(staged)
-    rest = spark.read.schema(kept.schema).parquet(staged)
-    if rest.isEmpty():
+    gone = {int(p.getName().split("=")[1]) for p in later} | {b for b in versions.state(spark, path) if b > cut}
+    edge = spark.read.parquet(path).filter(F.col("batch_id") == cut)
+    above = not edge.filter(F.col("height") > last_height).isEmpty()
+    changed = {cut} if above else set()
+    if above:
+        kept, staged = edge.filter(F.col("height") <= last_height), scratch_path(spark, "rollback")
+        kept.write.parquet(staged)
+        rest = spark.read.schema(kept.schema).parquet(staged)
+    versions.begin(spark, path, changed | gone)
+    if above and rest.isEmpty():
         reset(spark, f"{path}/batch_id={cut}")
-    else:
+        gone.add(cut)
+    elif above:
         replace_partitions(rest, path, ["batch_id"], ["height"])
+    if above:
+        reset(spark, staged)
     for folder in later:
         fs.delete(folder, True)
+    versions.commit(spark, path, changed - gone, gone=gone)
     spark.catalog.refreshByPath(path)
 
 
-def pending_batches(source: DataFrame, target: DataFrame) -> list[int]:
-    """Batches whose newest height in ``source`` is not yet in ``target``: new and grown ones."""
-    have = source.groupBy("batch_id").agg(F.max("height").alias("top"))
-    done = target.groupBy("batch_id").agg(F.max("height").alias("done"))
-    missing = have.join(done, "batch_id", "left").filter(F.col("done").isNull() | (F.col("done") < F.col("top")))
-    return sorted(r.batch_id for r in missing.select("batch_id").collect())
+def rollback_all(spark: SparkSession, paths: Iterable[str], last_height: int) -> None:
+    """``rollback`` of several tables at once."""
+    at_once(partial(rollback, spark, path, last_height) for path in paths)
 
 
 def refresh_batches(spark: SparkSession, sources: dict[str, str], lead: str, target: str,
                     build: Callable[[dict[str, DataFrame]], DataFrame]) -> list[int]:
     """Bring a derived table up to date with its sources, whole batches at a time.
 
-    ``lead`` names the source that decides which batches are due. A batch is
-    always rebuilt completely and replaced, so reruns and grown tail batches
-    neither lose nor repeat rows.
+    ``lead`` names the source whose batches the table has. Built are the batches of
+    which any source has another version than at the last build, so late rows,
+    replaced blocks and cut tails arrive; batches gone from ``lead`` are removed. A
+    batch is always rebuilt completely and replaced, so reruns neither lose nor
+    repeat rows. Which batches are due is known without reading data.
     """
-    frames = {name: spark.read.parquet(path) for name, path in sources.items()}
-    if exists(spark, target):
-        due = pending_batches(frames[lead], spark.read.parquet(target))
-    else:
-        due = sorted(r.batch_id for r in frames[lead].select("batch_id").distinct().collect())
+    due, gone = versions.due(spark, sources, lead, target)
+    if gone:
+        versions.begin(spark, target, gone)
+        _drop_batches(spark, target, gone)
+        versions.commit(spark, target, [], gone=gone)
     if due:
-        part = {name: f.filter(F.col("batch_id").isin(*due)) for name, f in frames.items()}
-        write_batches(build(part), target)
+        batches = sorted(due)
+        frames = {name: spark.read.parquet(path) for name, path in sources.items()}
+        part = {name: f.filter(F.col("batch_id").isin(*batches)) for name, f in frames.items()}
+        write_batches(build(part), target, batches, due)
+    if due or gone:
         spark.catalog.refreshByPath(target)
-    return due
+    return sorted(due)
 
 
 def with_month(candles: DataFrame) -> DataFrame:
