@@ -7,7 +7,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from chainstrata.functions.ratios import MIN_CONFIDENCE, ratio
 
@@ -100,18 +100,35 @@ def trades(scored: DataFrame, keys: Sequence[str] = ("symbol", "period"),
     )
 
 
-def equity(done: DataFrame, keys: Sequence[str] = ("symbol", "period"), size: float = POSITION_SIZE) -> DataFrame:
+def equity(done: DataFrame, keys: Sequence[str] = ("symbol", "period"), size: float = POSITION_SIZE,
+           piece: Column | None = None) -> DataFrame:
     """Capital after each trade and its distance from the highest capital so far.
 
-    The running product is a sum of logs. A period bounds the rows of a window.
+    The running product is a sum of logs. Trades are scanned in pieces (by default
+    days; ``piece`` must not fall as time goes on), and a piece passes on the pair
+    (sum of logs, highest running sum), which combines associatively. So a dominant
+    symbol is spread over as many tasks as it has pieces, and only the pairs, one row
+    a piece, are scanned per symbol and period.
     """
-    w = Window.partitionBy(*keys).orderBy("open_time").rowsBetween(Window.unboundedPreceding, 0)
-    growth = F.exp(F.sum(F.log1p(F.col("pnl_pct") * size)).over(w))
+    keys = list(keys)
+    step = F.log1p(F.col("pnl_pct") * size)
+    inside = Window.partitionBy(*keys, "_piece").orderBy("open_time").rowsBetween(Window.unboundedPreceding, 0)
+    scanned = (
+        done.withColumn("_piece", F.to_date("open_time") if piece is None else piece)
+        .withColumn("_sum", F.sum(step).over(inside)).withColumn("_high", F.max("_sum").over(inside))
+    )
+    before = Window.partitionBy(*[f"_key_{k}" for k in keys]).orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    pairs = scanned.groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys], F.col("_piece").alias("_at")).agg(
+        F.sum(step).alias("_total"), F.max("_sum").alias("_top"))
+    started = pairs.withColumn("_start", F.coalesce(F.sum("_total").over(before), F.lit(0.0)))
+    carried = started.withColumn("_peak", F.greatest(F.max(F.col("_start") + F.col("_top")).over(before), F.lit(0.0)))
+    same = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys] + [F.col("_piece") == F.col("_at")]
+    joined = scanned.join(carried.drop("_total", "_top"), same)
+    peak = F.lit(INITIAL_CAPITAL) * F.exp(F.greatest("_peak", F.col("_start") + F.col("_high")))
     return (
-        done.withColumn("capital", INITIAL_CAPITAL * growth)
-        .withColumn("_peak", F.greatest(F.max("capital").over(w), F.lit(INITIAL_CAPITAL)))
-        .withColumn("drawdown", (F.col("capital") - F.col("_peak")) / F.col("_peak"))
-        .drop("_peak")
+        joined.withColumn("capital", F.lit(INITIAL_CAPITAL) * F.exp(F.col("_start") + F.col("_sum")))
+        .withColumn("drawdown", (F.col("capital") - peak) / peak)
+        .select(*done.columns, "capital", "drawdown")
     )
 
 

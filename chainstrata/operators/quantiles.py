@@ -17,7 +17,8 @@ from chainstrata.session import materialized
 
 ACCURACY = 10_000
 MARGIN = 2.0 / ACCURACY
-SPLITS = 64
+# Distinct values of one piece of an ordered scan.
+PIECE_ROWS = 100_000
 
 
 def _cut_at(rows: DataFrame, sample: DataFrame, keys: list[str], probes: list[float]) -> DataFrame:
@@ -79,25 +80,41 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, wanted: dict
     ])
 
 
-def ranked_values(df: DataFrame, value: str) -> DataFrame:
+def ordered_pieces(df: DataFrame, value: str, piece_rows: int = PIECE_ROWS) -> DataFrame:
+    """``df``, stored, with ``_bucket``: pieces of about ``piece_rows`` rows in order of ``value``.
+
+    Equal values share a piece. Splitters are sampled, so their number grows with the
+    rows and pieces stay small. Stores the input too, as it is sampled and then dealt.
+    """
+    stored = materialized(df, "unordered")
+    count = max(1, -(-stored.count() // piece_rows))
+    return materialized(stored.repartitionByRange(count, value).withColumn("_bucket", F.spark_partition_id()), "ordered-pieces")
+
+
+def ordered_numbers(df: DataFrame, value: str, name: str, piece_rows: int = PIECE_ROWS) -> DataFrame:
+    """Number rows of distinct values from 0 in their order, without one task seeing all of them."""
+    placed = ordered_pieces(df, value, piece_rows)
+    starts = placed.groupBy("_bucket").agg(F.count("*").alias("_rows")).select("_bucket", _before("_rows", []).alias("_start"))
+    inside = Window.partitionBy("_bucket").orderBy(value)
+    return placed.join(starts, "_bucket").withColumn(name, F.col("_start") + F.row_number().over(inside) - 1).drop("_bucket", "_start")
+
+
+def ranked_values(df: DataFrame, value: str, piece_rows: int = PIECE_ROWS) -> DataFrame:
     """Distinct values in order with exact running counts and sums.
 
     Adds ``below_n`` and ``below_sum`` (rows and sum of all smaller values) and
     the totals ``total_n`` and ``total_sum``. Repeats collapse before the
-    shuffle; the values are cut in even pieces, and each task scans one piece.
-    Runs an action for the cuts.
+    shuffle; the values are cut in pieces of bounded size, and each task scans one.
     """
     rows = df.filter(F.col(value).isNotNull()).select(F.col(value).alias("value"))
-    counted = rows.groupBy("value").agg(F.count("*").alias("n"))
-    placed = _cut_at(counted, rows, [], [i / SPLITS for i in range(1, SPLITS)])
+    placed = ordered_pieces(rows.groupBy("value").agg(F.count("*").alias("n")), "value", piece_rows)
     amount = F.col("n") * F.col("value")
     pieces = placed.groupBy("_bucket").agg(F.sum("n").alias("_rows"), F.sum(amount).alias("_sum")).select(
         "_bucket", _before("_rows", []).alias("_rows_below"), _before("_sum", []).alias("_sum_below"),
         F.sum("_rows").over(Window.partitionBy()).alias("total_n"),
         F.sum("_sum").over(Window.partitionBy()).alias("total_sum"))
     inside = Window.partitionBy("_bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-    # at most SPLITS rows
-    return placed.join(F.broadcast(pieces), "_bucket").select(
+    return placed.join(pieces, "_bucket").select(
         "value", "n", "total_n", "total_sum",
         (F.col("_rows_below") + F.coalesce(F.sum("n").over(inside), F.lit(0))).alias("below_n"),
         (F.col("_sum_below") + F.coalesce(F.sum(amount).over(inside), F.lit(0))).alias("below_sum"))

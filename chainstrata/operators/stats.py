@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from chainstrata.functions.ratios import ratio
-from chainstrata.operators.quantiles import exact_quantiles, ranked_values
+from chainstrata.operators.quantiles import PIECE_ROWS, exact_quantiles, ordered_numbers, ranked_values
 from chainstrata.session import materialized
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
@@ -43,15 +43,14 @@ def boxes(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     )
 
 
-def alphabetical_codes(df: DataFrame, label: str, code: str) -> DataFrame:
+def alphabetical_codes(df: DataFrame, label: str, code: str, piece_rows: int = PIECE_ROWS) -> DataFrame:
     """Replace a label by its 0-based alphabetical position, null by -1.
 
-    Stores the dictionary of distinct labels first (an action).
+    Distinct labels are dealt by range; each piece is numbered on its own, after the
+    labels of the pieces before it. Stores the dictionary first (an action).
     """
-    labels = (
-        df.filter(F.col(label).isNotNull()).select(label).distinct()
-        .withColumn(code, (F.dense_rank().over(Window.partitionBy().orderBy(label)) - 1).cast("double"))
-    )
+    distinct = df.filter(F.col(label).isNotNull()).select(label).distinct()
+    labels = ordered_numbers(distinct, label, code, piece_rows).withColumn(code, F.col(code).cast("double"))
     return df.join(materialized(labels, "labels"), label, "left").withColumn(code, F.coalesce(code, F.lit(-1.0)))
 
 

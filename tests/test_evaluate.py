@@ -1,12 +1,13 @@
 import datetime as dt
 import math
+import random
 
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from chainstrata.operators import evaluate, models
+from chainstrata.operators import evaluate, models, quantiles, stats
 from chainstrata.plans.models import fee_frame
 
 T0 = dt.datetime(2024, 1, 1)
@@ -144,3 +145,34 @@ def test_normal_days_keep_their_share_at_every_size(spark):
     kept = F.avg((F.col("fees_btc") < models.NORMAL_DAY_COINS).cast("double"))
     small, large = (fee_frame(spark, f"/root/testdata/{size}").agg(kept).first()[0] for size in ("sf0.01", "sf0.1"))
     assert small > 0.95 and large == pytest.approx(small, abs=0.05)
+
+
+def test_equity_scan_equals_a_plain_loop(spark):
+    """One dominant symbol over many pieces, a null symbol, several trades a day, and highs in earlier pieces."""
+    rng = random.Random(4)
+    rows = [("a", 1, dt.datetime(2024, 1, 1) + dt.timedelta(hours=5 * i), rng.uniform(-0.3, 0.3)) for i in range(400)]
+    rows += [(None, 1, dt.datetime(2024, 1, 1, i), rng.uniform(-0.3, 0.3)) for i in range(9)] + [("a", 2, dt.datetime(2024, 1, 1), -0.2)]
+    done = spark.createDataFrame(rows, "symbol string, period int, open_time timestamp_ntz, pnl_pct double").repartition(4)
+    for piece in (None, F.year("open_time"), F.col("open_time")):
+        got = {(r.symbol, r.period, r.open_time): (r.capital, r.drawdown) for r in evaluate.equity(done, piece=piece).collect()}
+        capital, top = {}, {}
+        for symbol, period, at, pnl in rows:
+            key = symbol, period
+            capital[key] = capital.get(key, evaluate.INITIAL_CAPITAL) * (1 + pnl * evaluate.POSITION_SIZE)
+            top[key] = max(top.get(key, evaluate.INITIAL_CAPITAL), capital[key])
+            assert got[(*key, at)] == pytest.approx((capital[key], capital[key] / top[key] - 1), rel=1e-9, abs=1e-12)
+        assert len(got) == len(rows)
+
+
+def test_ordered_scans_use_as_many_pieces_as_rows_need(spark):
+    values = spark.createDataFrame([(i * 7919 % 1000, f"k{i * 31 % 500:03d}") for i in range(3000)], "v bigint, s string").repartition(5)
+    sizes = [quantiles.ordered_pieces(values.select("v").distinct(), "v", n).select("_bucket").distinct().count() for n in (2000, 250, 50)]
+    assert sizes[0] == 1 and 3 <= sizes[1] <= 4 and 15 <= sizes[2] <= 20
+    for n in (2000, 50):
+        ranked = {r.value: r for r in quantiles.ranked_values(values, "v", n).collect()}
+        below = 0
+        for v in range(1000):
+            assert (ranked[v].below_n, ranked[v].below_sum, ranked[v].total_n) == (3 * v, 3 * below, 3000)
+            below += v
+        coded = stats.alphabetical_codes(values, "s", "code", n).select("s", "code").distinct().collect()
+        assert sorted((r.s, r.code) for r in coded) == [(f"k{i:03d}", float(i)) for i in range(500)]
