@@ -33,8 +33,13 @@ def rotation(dim: int, seed: int = SEED) -> np.ndarray:
 
 def encode(rows: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(packed sign bits, lengths, inner products of unit vectors with their unit codes) of non-zero rows."""
-    length = np.linalg.norm(rows, axis=1)
-    turned = (rows / length[:, None]) @ turn
+    # Scaled by a power of two first, as squares of large components overflow and those of small ones vanish.
+    power = np.frexp(np.abs(rows).max(axis=1))[1]
+    scaled = np.ldexp(rows, -power[:, None])
+    size = np.linalg.norm(scaled, axis=1)
+    turned = (scaled / size[:, None]) @ turn
+    with np.errstate(over="ignore"):
+        length = np.ldexp(size, power)
     return np.packbits(turned > 0, axis=1), length, np.abs(turned).sum(1) / np.sqrt(rows.shape[1])
 
 
@@ -43,18 +48,26 @@ def estimates(queries: np.ndarray, bits: np.ndarray, length: np.ndarray, fit: np
     """Estimated inner products of queries and coded rows, and the half width of their bounds."""
     dim = queries.shape[1]
     signs = np.unpackbits(bits, axis=1, count=dim).astype(np.float32) * 2 - 1
-    near = ((queries @ turn).astype(np.float32) @ signs.T) / np.sqrt(dim)
-    reach = np.linalg.norm(queries, axis=1)
+    power = np.frexp(np.abs(queries).max(axis=1, initial=0))[1]
+    scaled = np.ldexp(queries, -power[:, None])
+    near = ((scaled @ turn).astype(np.float32) @ signs.T).astype(float) / np.sqrt(dim)
+    reach = np.linalg.norm(scaled, axis=1)
     spread = np.sqrt(np.maximum(1 - fit * fit, 0)) / fit / np.sqrt(max(dim - 1, 1))
-    return near * (length / fit), sigmas * reach[:, None] * (length * spread)
+    with np.errstate(over="ignore", invalid="ignore"):
+        middle = np.ldexp(near * (length / fit), power[:, None])
+        width = np.ldexp(sigmas * reach[:, None] * (length * spread), power[:, None])
+    # A bound that cannot be told is no bound: such rows are looked at.
+    lost = ~np.isfinite(middle) | ~np.isfinite(width)
+    return np.where(lost, 0.0, middle), np.where(lost, np.inf, width)
 
 
 def exact(queries: np.ndarray, rows: np.ndarray, q: np.ndarray, r: np.ndarray) -> np.ndarray:
     """Inner products of chosen pairs in double precision, added component by component from the first."""
     out = np.zeros(len(q))
-    for j in range(queries.shape[1]):
-        out += queries[q, j] * rows[r, j]
-    return out
+    with np.errstate(over="ignore", invalid="ignore"):
+        for j in range(queries.shape[1]):
+            out += queries[q, j] * rows[r, j]
+    return np.where(np.isnan(out), -np.inf, out)
 
 
 def _index(seed: int):
@@ -68,7 +81,7 @@ def _index(seed: int):
                 bits, length, fit = encode(rows, turns[rows.shape[1]])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(j).slice(i, 1) for j in range(3)]
-                    + [pa.array([x.tobytes()], pa.binary()) for x in (bits, length.astype(np.float32), fit.astype(np.float32))],
+                    + [pa.array([x.tobytes()], pa.binary()) for x in (bits, length, fit)],
                     ["block", "ids", "vectors", "bits", "lengths", "fits"])
     return run
 
@@ -86,6 +99,7 @@ class _Best:
         self.k = k
         self.scores = np.full((queries, k), -np.inf)
         self.ids = np.full((queries, k), np.iinfo(np.int64).max)
+        self.free = np.ones((queries, k), bool)
 
     def add(self, q: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
         order = np.lexsort((ids, -scores, q))
@@ -94,10 +108,11 @@ class _Best:
         nth = np.arange(len(q)) - first[q]
         q, scores, ids, nth = (x[nth < self.k] for x in (q, scores, ids, nth))
         wide_scores, wide_ids = np.full_like(self.scores, -np.inf), np.full_like(self.ids, np.iinfo(np.int64).max)
-        wide_scores[q, nth], wide_ids[q, nth] = scores, ids
-        both_scores, both_ids = np.hstack((self.scores, wide_scores)), np.hstack((self.ids, wide_ids))
-        keep = np.lexsort((both_ids, -both_scores), axis=1)[:, :self.k]
-        self.scores, self.ids = np.take_along_axis(both_scores, keep, 1), np.take_along_axis(both_ids, keep, 1)
+        wide_free = np.ones_like(self.free)
+        wide_scores[q, nth], wide_ids[q, nth], wide_free[q, nth] = scores, ids, False
+        both = [np.hstack(x) for x in ((self.scores, wide_scores), (self.ids, wide_ids), (self.free, wide_free))]
+        keep = np.lexsort((both[1], -both[0], both[2]), axis=1)[:, :self.k]
+        self.scores, self.ids, self.free = (np.take_along_axis(x, keep, 1) for x in both)
 
 
 def _search(k: int, seed: int, sigmas: float):
@@ -105,7 +120,7 @@ def _search(k: int, seed: int, sigmas: float):
         held, best, ids, turns = None, None, None, {}
 
         def rows() -> pa.RecordBatch:
-            q, nth = np.nonzero(best.scores > -np.inf)
+            q, nth = np.nonzero(~best.free)
             return pa.RecordBatch.from_arrays([pa.array(ids[q]), pa.array(best.ids[q, nth]), pa.array(best.scores[q, nth])],
                                               ["query_id", "vec_id", "score"])
 
@@ -124,10 +139,9 @@ def _search(k: int, seed: int, sigmas: float):
                 others = v.ids_of(one["c_ids"])
                 offered = v.matrix(one["c_vectors"], len(others))
                 bits = np.frombuffer(one["c_bits"], np.uint8).reshape(len(others), -1)
-                near, wide = estimates(queries, bits, np.frombuffer(one["c_lengths"], np.float32),
-                                       np.frombuffer(one["c_fits"], np.float32), turns[dim], sigmas)
-                near[ids[:, None] == others[None, :]] = -np.inf
-                if not np.isfinite(best.scores[:, -1]).all():
+                near, wide = estimates(queries, bits, np.frombuffer(one["c_lengths"]), np.frombuffer(one["c_fits"]), turns[dim], sigmas)
+                near[ids[:, None] == others[None, :]] = -np.inf  # never looked at, nor looked at again
+                if best.free[:, -1].any():
                     # No k-th score yet: rerank the most promising ones first.
                     top = min(3 * k, len(others))
                     chosen = np.argpartition(-near, top - 1, axis=1)[:, :top]
@@ -136,7 +150,8 @@ def _search(k: int, seed: int, sigmas: float):
                     q, r = q[real], r[real]
                     best.add(q, exact(queries, offered, q, r), others[r])
                     near[q, r] = -np.inf
-                q, r = np.nonzero((near + wide >= best.scores[:, -1:]) & np.isfinite(near))
+                open_ = np.isfinite(near)
+                q, r = np.nonzero(open_ & (np.where(open_, near, 0.0) + wide >= best.scores[:, -1:]))
                 for cut in range(0, len(q), 1 << 18):
                     some = slice(cut, cut + (1 << 18))
                     best.add(q[some], exact(queries, offered, q[some], r[some]), others[r[some]])
@@ -153,7 +168,9 @@ def nearest(rows: DataFrame, is_query: Column, k: int = K, vec_id: str = "vec_id
     and ``sigmas`` sets how rarely a bound misses. A query's candidates are all rows
     but those of its own id; ties go to the smaller id, equal rows may both appear.
     Vectors null, zero or holding null or non-finite components, and rows without an
-    id, take no part; vectors of another length are no candidates.
+    id, take no part; vectors of another length are no candidates. Products beyond a
+    double are infinite, sums of opposite infinities rank last. Query rows equal in id
+    and vector are one query; different vectors of one id are ranked together.
     """
     given = rows.select(F.col(vec_id).cast("bigint").alias("id"),
                         F.transform(embedding, lambda x: x.cast("double")).alias("vector"), is_query.alias("asked"))
@@ -161,7 +178,7 @@ def nearest(rows: DataFrame, is_query: Column, k: int = K, vec_id: str = "vec_id
     found = None
     for length in lengths(good):
         same = good.filter(F.size("vector") == length)
-        queries, n_queries = v.blocks(same.filter("asked").select("id", "vector"), QUERY_BLOCK)
+        queries, n_queries = v.blocks(same.filter("asked").select("id", "vector").distinct(), QUERY_BLOCK)
         codes, n_codes = index(same.select("id", "vector"), seed)
         part = v.meet(queries, n_queries, codes, n_codes, GROUP, _search(k, seed, sigmas), "query_id bigint, vec_id bigint, score double")
         found = part if found is None else found.unionByName(part)

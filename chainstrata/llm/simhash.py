@@ -18,7 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from chainstrata.llm.columns import LOWER, UPPER, in_small_batches
+from chainstrata.llm.columns import LOWER, ROW_KEY, UPPER, in_small_batches, row_key
 from chainstrata.llm.components import components
 from chainstrata.session import materialized
 
@@ -60,17 +60,19 @@ def fingerprint(text: str | None, words: int = WORDS, seed: int = SEED) -> int:
 
 
 def _fingerprints(words: int, seed: int):
+    """The fingerprint of the last column's texts in place of them; other columns pass."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints = np.fromiter((fingerprint(t.as_py(), words, seed) for t in batch.column(1)), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], ["doc_id", "print"])
+            prints = np.fromiter((fingerprint(t.as_py(), words, seed) for t in batch.columns[-1]), np.uint64, batch.num_rows)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(prints.view(np.int64))], [*batch.schema.names[:-1], "print"])
     return run
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, seed: int = SEED) -> DataFrame:
-    """(doc_id, print) with the fingerprint as a signed long."""
-    given = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    return in_small_batches(given).mapInArrow(_fingerprints(words, seed), "doc_id bigint, print bigint")
+    """(doc_id, row key, print) with the fingerprint as a signed long."""
+    given = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), *row_key(F.col(doc_id), F.col(text)), F.col(text).alias("text"))
+    return in_small_batches(given).mapInArrow(
+        _fingerprints(words, seed), "doc_id bigint, _no_id boolean, _id bigint, _text_hash bigint, print bigint")
 
 
 def radii(bits: int, segments: int) -> list[int]:
@@ -119,6 +121,18 @@ def near_pairs(prints: DataFrame, bits: int = BITS, segments: int = SEGMENTS) ->
     return joined.select("a", "b")
 
 
+def classes(prints: DataFrame, bits: int = BITS, segments: int = SEGMENTS) -> DataFrame:
+    """(print, root, component_id, links) per distinct fingerprint of a stored frame; ``root`` names its component."""
+    nodes = materialized(prints.groupBy("print").agg(F.min("doc_id").alias("smallest")), "nodes")
+    pairs = materialized(near_pairs(nodes.select("print"), bits, segments).distinct(), "pairs")
+    rooted = nodes.join(components(pairs).select(F.col("node").alias("print"), "root"), "print", "left").select(
+        "print", "smallest", F.coalesce("root", "print").alias("root"))
+    smallest = rooted.groupBy("root").agg(F.min("smallest").alias("component_id"))
+    degree = pairs.select(F.explode(F.array("a", "b")).alias("print")).groupBy("print").agg(F.count("*").alias("links"))
+    return materialized(rooted.join(smallest, "root").join(degree, "print", "left").select(
+        "print", "root", "component_id", F.coalesce("links", F.lit(0)).alias("links")), "classes")
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bits: int = BITS,
                     segments: int = SEGMENTS) -> DataFrame:
     """(doc_id, fingerprint, component_id, links) for every row.
@@ -127,16 +141,22 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     doc_id reachable over links of at most ``bits`` differing bits, the row's own
     included (null if the component has no id); ``links`` the number of other
     fingerprints the row's own links to. Null, empty and blank texts have
-    fingerprint zero and link like any other.
+    fingerprint zero and link like any other. Texts of any length are read whole.
     """
-    prints = materialized(fingerprints(docs, doc_id, text), "prints")
-    nodes = materialized(prints.groupBy("print").agg(F.min("doc_id").alias("smallest")), "nodes")
-    pairs = materialized(near_pairs(nodes.select("print"), bits, segments).distinct(), "pairs")
-    rooted = nodes.join(components(pairs).select(F.col("node").alias("print"), "root"), "print", "left").select(
-        "print", "smallest", F.coalesce("root", "print").alias("root"))
-    smallest = rooted.groupBy("root").agg(F.min("smallest").alias("component_id"))
-    degree = pairs.select(F.explode(F.array("a", "b")).alias("print")).groupBy("print").agg(F.count("*").alias("links"))
-    classes = materialized(rooted.join(smallest, "root").join(degree, "print", "left").select(
-        "print", "component_id", F.coalesce("links", F.lit(0)).alias("links")), "classes")
-    return prints.join(classes, "print").select(
+    prints = materialized(fingerprints(docs, doc_id, text).select("doc_id", "print"), "prints")
+    return prints.join(classes(prints, bits, segments), "print").select(
         "doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id", "links")
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bits: int = BITS, segments: int = SEGMENTS) -> DataFrame:
+    """Of each component the row of the smallest key, once: by id, rows without an id last, then by text hash.
+
+    An id that repeats with different texts names different rows, each judged by its
+    own text, so no text is lost unless it duplicates another. Rows equal in id and
+    text count as one.
+    """
+    prints = materialized(fingerprints(docs, doc_id, text), "prints")
+    heads = prints.join(classes(prints, bits, segments).select("print", "root"), "print").groupBy("root").agg(
+        F.min(F.struct(*ROW_KEY)).alias("head")).select("head.*")
+    keyed = docs.select(F.struct("*").alias("_row"), *row_key(F.col(doc_id), F.col(text)))
+    return keyed.join(heads, ROW_KEY, "left_semi").dropDuplicates(ROW_KEY).select("_row.*")

@@ -9,6 +9,8 @@ scores again, keeps what reaches the value, and breaks ties by id.
 
 from __future__ import annotations
 
+import math
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,11 +26,12 @@ STEP_BITS = 8
 ENOUGH = 4  # stop refining once every query has at most this many times k scores left
 _EXACT = float(1 << 53)
 _LOW, _HIGH = -(1 << 63), (1 << 63) - 1
+_LARGEST = sys.float_info.max
 
 
 def quantized(vector: Column, scale: int = SCALE) -> Column:
-    """floor(scale * x) of every component as double, computed in double precision."""
-    return F.transform(vector, lambda x: _floor(x.cast("double") * scale))
+    """floor(scale * x) of every component as double, computed in double precision and held at the largest one."""
+    return F.transform(vector, lambda x: _floor(F.greatest(F.least(x.cast("double") * scale, F.lit(_LARGEST)), F.lit(-_LARGEST))))
 
 
 def _floor(x: Column) -> Column:
@@ -154,7 +157,7 @@ def _one_length(rows: DataFrame, asked: DataFrame, k: int) -> DataFrame:
     offered, n_rows = v.blocks(rows, ROW_BLOCK)
     places = materialized(queries.mapInArrow(_places, "block bigint, query_id bigint").distinct(), "query-places")
     norms = rows.agg(F.max(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))).first()[0] or 0.0
-    top = max(1, min(63, int(norms).bit_length() + 1))  # |score| is at most the largest squared length
+    top = max(1, min(63, int(norms).bit_length() + 1)) if math.isfinite(norms) else 63  # |score| is at most the largest squared length
     state = places.select("query_id", F.lit(k).cast("bigint").alias("want")).distinct()
     above, inside = 0, queries.withColumn("bins", F.lit(b"").cast("binary"))
     shift = max(0, top - STEP_BITS)
@@ -193,7 +196,8 @@ def top_k(rows: DataFrame, is_query: Column, k: int = K, scale: int = SCALE, vec
     of its own id; ties go to the smaller id, equal rows may both appear. Vectors
     null or holding null or non-finite components, and rows without an id, take no
     part; vectors of another length are no candidates. Scores beyond a long are
-    held at its limits. Fewer candidates than ``k``: all of them.
+    held at its limits. Fewer candidates than ``k``: all of them. Query rows equal in
+    id and vector are one query; different vectors of one id are ranked together.
     """
     given = rows.select(F.col(vec_id).cast("bigint").alias("id"), F.col(embedding).alias("vector"), is_query.alias("asked"))
     good = materialized(given.filter(F.col("id").isNotNull() & v.usable(F.col("vector"))).select(
@@ -201,7 +205,7 @@ def top_k(rows: DataFrame, is_query: Column, k: int = K, scale: int = SCALE, vec
     found = None
     for length in lengths(good):
         same = good.filter(F.size("vector") == length)
-        part = _one_length(same.select("id", "vector"), same.filter("asked").select("id", "vector"), k)
+        part = _one_length(same.select("id", "vector"), same.filter("asked").select("id", "vector").distinct(), k)
         found = part if found is None else found.unionByName(part)
     if found is None:
         return given.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")

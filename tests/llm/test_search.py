@@ -66,6 +66,39 @@ def test_bounds_hold_for_most_estimates():
     assert np.mean(np.abs(near - queries @ rows.T) <= wide) > 0.98
 
 
+def test_repeated_queries_and_huge_components(spark):
+    schema = "vec_id bigint, embedding array<double>"
+    rows = [(0, [2.0, 1.0]), (0, [2.0, 1.0]), (1, [3.0, 1.0]), (2, [1e200, 1.0]), (3, [-1e300, 2.0]), (4, [1e-200, 0.0]), (100, [1e200, 1e200]), (5, [1.7e308, 0.0])]
+    frame = spark.createDataFrame(rows, schema).repartition(2)
+    found = ann.nearest(frame, F.col("vec_id") % 20 == 0, k=4)
+    got = {q: [r.vec_id for r in sorted(found.collect(), key=lambda r: r["rank"]) if r.query_id == q] for q in (0, 100)}
+    assert got[0] == [5, 100, 2, 1] and got[100] == [2, 5, 1, 0]  # infinite products tie
+    every = ann.nearest(frame, F.col("vec_id") == 100, k=10).collect()
+    assert sorted(r.vec_id for r in every) == [0, 0, 1, 2, 3, 4, 5]
+    best = topk.top_k(frame, F.col("vec_id") % 50 == 0, k=3)
+    got = {q: [r.vec_id for r in sorted(best.collect(), key=lambda r: r["rank"]) if r.query_id == q] for q in (0, 100)}
+    assert got == {0: [2, 5, 100], 100: [0, 0, 1]}
+
+
+def test_recall_on_clustered_vectors_over_several_blocks(spark, monkeypatch):
+    """64 dimensions, 6,000 rows around 40 centres, in blocks of 512: at least 0.9 of the true neighbours."""
+    monkeypatch.setattr(ann, "ROW_BLOCK", 512)
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(40, 64))
+    rows = (centres[rng.integers(0, 40, 6000)] + 0.4 * rng.normal(size=(6000, 64))).astype(np.float32)
+    frame = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(rows)], "vec_id bigint, embedding array<float>").repartition(3)
+    found = {}
+    for r in ann.nearest(frame, F.col("vec_id") % 200 == 0).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    wide = rows.astype(float)
+    recalls = []
+    for q in range(0, 6000, 200):
+        score = wide @ wide[q]
+        score[q] = -np.inf
+        recalls.append(len(found[q] & set(np.argsort(-score)[:20].tolist())) / 20)
+    assert np.mean(recalls) >= 0.9
+
+
 PAGES = [
     (1, "https://Good.ORG/x?q#f", '<a href="http://Middle.net/">m</a> <a href="/own">o</a>'),
     (2, "http://middle.net/a", "<a href='//far.net/z'>f</a><a href=http://bad.com/de/>b</a>"),
