@@ -16,13 +16,15 @@ from chainstrata.session import materialized
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents the line field does not reject."""
+    """Documents the line field does not reject; null and empty texts are scored like any other."""
     scored = quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
     return scored.filter(F.col("score") >= quality.THRESHOLD).select("row.*")
 
 
 def first_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that an earlier document holds; ``n_chars`` is counted anew."""
+    """Documents without the lines that an earlier document holds; ``n_chars`` is counted anew.
+
+    Every row stays, null texts as null; rows of equal id share what they hold."""
     lines = line_dedup.dedup_lines(docs)
     kept = F.when(F.col("row.text").isNotNull(), F.col("kept_text"))
     own = {"text": kept, "n_chars": F.when(F.col("n_dropped") > 0, F.char_length("kept_text").cast("bigint")).otherwise(F.col("row.n_chars"))}
@@ -30,21 +32,18 @@ def first_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document of the smallest id, once; documents without an id stay."""
-    found = simhash.near_duplicates(docs)
-    heads = found.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_head")).distinct()
-    named = docs.filter(F.col("doc_id").isNotNull()).join(heads, F.col("doc_id") == F.col("_head"), "left_semi")
-    return named.dropDuplicates(["doc_id"]).unionByName(docs.filter(F.col("doc_id").isNull()))
+    """Of each group of near-duplicates one row, the one of the smallest id; texts under one id are told apart."""
+    return simhash.one_of_each(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
+    """Documents as often as the mix takes them; rows without words weigh nothing and may come at any number."""
     copies = mixing.mix(docs).filter(F.col("copies") > 0)
     return copies.select("row", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select("row.*")
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of every document of the mix."""
+    """Token counts and digests of every document of the mix, a null text as an empty one."""
     return bpe.token_digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
