@@ -1,4 +1,4 @@
-"""Model jobs on ``pyspark.ml`` and density regimes on grid cells.
+"""Model jobs on ``pyspark.ml`` and density regimes.
 
 Fits are distributed; only fitted parameters and fixed-length feature lists
 reach the driver.
@@ -6,6 +6,7 @@ reach the driver.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import math
 from collections.abc import Sequence
@@ -195,51 +196,161 @@ def connected_components(edges: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
 
 
+def _squared(gaps) -> Column:
+    """Sum of squares, written out so that it stays in generated code."""
+    return functools.reduce(lambda total, x: total + x, [gap * gap for gap in gaps])
+
+
+def _distance(p: str, q: str, dims: int) -> Column:
+    """Squared distance of two points."""
+    return _squared(F.col(p)[i] - F.col(q)[i] for i in range(dims))
+
+
+def _box(p: str, dims: int) -> list[Column]:
+    """Smallest box around the points of a group."""
+    return [F.array(*[bound(F.col(p)[i]) for i in range(dims)]).alias(name) for name, bound in (("lo", F.min), ("hi", F.max))]
+
+
+def _least(a: str, b: str, dims: int) -> Column:
+    """Squared distance of two boxes where they are closest."""
+    lo_a, hi_a, lo_b, hi_b = (F.col(c) for c in (f"{a}lo", f"{a}hi", f"{b}lo", f"{b}hi"))
+    return _squared(F.greatest(lo_a[i] - hi_b[i], lo_b[i] - hi_a[i], F.lit(0.0)) for i in range(dims))
+
+
+def _most(a: str, b: str, dims: int) -> Column:
+    """Squared distance of the two points of two boxes that are farthest apart."""
+    lo_a, hi_a, lo_b, hi_b = (F.col(c) for c in (f"{a}lo", f"{a}hi", f"{b}lo", f"{b}hi"))
+    return _squared(F.greatest(hi_a[i] - lo_b[i], hi_b[i] - lo_a[i]) for i in range(dims))
+
+
+def _as(df: DataFrame, side: str) -> DataFrame:
+    return df.select(*[F.col(c).alias(side + c) for c in df.columns])
+
+
+def _cell_pairs(cells: DataFrame, dims: int, reach: int, limit: float) -> DataFrame:
+    """Ordered pairs of cells whose boxes come within the radius, each cell with itself included.
+
+    Cells are dealt to blocks ``reach`` cells wide; partners lie in the same or an
+    adjacent block.
+    """
+    block = F.transform("at", lambda x: F.floor(x / reach))
+    steps = (f"array({', '.join(map(str, step))})" for step in itertools.product((-1, 0, 1), repeat=dims))
+    offsets = F.expr(f"array({', '.join(steps)})")
+    left = _as(cells, "a_").withColumn("block", F.explode(F.transform(
+        offsets, lambda step: F.zip_with(F.transform("a_at", lambda x: F.floor(x / reach)), step, lambda x, o: x + o))))
+    right = _as(cells.withColumn("block", block), "b_").withColumnRenamed("b_block", "block")
+    return left.join(right, "block").filter(_least("a_", "b_", dims) <= limit).select(
+        "a_cell", "b_cell", "b_n", "b_lo", "b_hi", (_most("a_", "b_", dims) <= limit).alias("whole"))
+
+
+def _masses(sparse: DataFrame, points: DataFrame, pairs: DataFrame, dims: int, limit: float) -> DataFrame:
+    """(p, mass): rows within the radius of each point, itself included.
+
+    Boxes that lie inside the radius count as a whole; only points of boxes that the
+    radius cuts are met one by one.
+    """
+    met = sparse.select("p", F.col("cell").alias("a_cell")).join(pairs, "a_cell")
+    met = met.withColumns({"lo": F.col("p"), "hi": F.col("p")}).filter(_least("", "b_", dims) <= limit)
+    met = met.withColumn("inside", F.col("whole") | (_most("", "b_", dims) <= limit))
+    whole = met.filter("inside").select("p", F.col("b_n").alias("mass"))
+    cut = met.filter("not inside").select("p", "b_cell").join(_as(points.select("cell", "p", "n"), "b_"), "b_cell")
+    return whole.unionByName(cut.filter(_distance("p", "b_p", dims) <= limit).select("p", F.col("b_n").alias("mass"))).groupBy("p").agg(
+        F.sum("mass").alias("mass"))
+
+
+def _core_links(core: DataFrame, pairs: DataFrame, dims: int, side: float, limit: float, levels: int) -> DataFrame:
+    """(a, b) of cells, a before b, that hold core points within the radius of each other.
+
+    Boxes around the core points settle most pairs. An open pair is halved along
+    every axis, level by level: parts too far apart go, parts that lie inside the
+    radius or whose first points do link the cells. Points meet points only in
+    parts still open after the last level.
+    """
+    def parts(level: int) -> DataFrame:
+        place = F.transform("p", lambda x: F.floor(x * 2.0**level / side))
+        return core.withColumn("part", place).groupBy("cell", "part").agg(*_box("p", dims), F.min("p").alias("first")).withColumn(
+            "above", F.transform("part", lambda x: F.shiftright(x, 1)))
+
+    whole = parts(0)
+    ends = whole.select("cell", "part")
+    open_pairs = (pairs.filter("a_cell < b_cell").select("a_cell", "b_cell")
+                  .join(_as(ends, "a_"), "a_cell").join(_as(ends, "b_"), "b_cell"))
+    links = []
+    for level in range(levels + 1):
+        own = materialized(parts(level), "regime-parts")
+        if level == 0:
+            own = own.withColumn("above", F.col("part"))
+        above = open_pairs.withColumnRenamed("a_part", "a_above").withColumnRenamed("b_part", "b_above")
+        met = above.join(_as(own, "a_"), ["a_cell", "a_above"]).join(_as(own, "b_"), ["b_cell", "b_above"])
+        met = materialized(met.filter(_least("a_", "b_", dims) <= limit).select(
+            "a_cell", "b_cell", "a_part", "b_part",
+            ((_most("a_", "b_", dims) <= limit) | (_distance("a_first", "b_first", dims) <= limit)).alias("near")), "regime-open")
+        links.append(met.filter("near").select("a_cell", "b_cell").distinct())
+        open_pairs = met.join(links[-1], ["a_cell", "b_cell"], "left_anti").select("a_cell", "b_cell", "a_part", "b_part")
+        if open_pairs.isEmpty():
+            break
+    else:
+        place = F.transform("p", lambda x: F.floor(x * 2.0**levels / side))
+        placed = core.select("cell", place.alias("part"), "p")
+        met = open_pairs.join(_as(placed, "a_"), ["a_cell", "a_part"]).join(_as(placed, "b_"), ["b_cell", "b_part"])
+        links.append(met.filter(_distance("a_p", "b_p", dims) <= limit).select("a_cell", "b_cell").distinct())
+    every = links[0]
+    for more in links[1:]:
+        every = every.unionByName(more)
+    return every.select(F.col("a_cell").alias("a"), F.col("b_cell").alias("b"))
+
+
 def density_regimes(df: DataFrame, columns: Sequence[str], radius: float = 0.5, min_samples: int = 10,
-                    min_cluster_size: int = 30) -> DataFrame:
+                    min_cluster_size: int = 30, levels: int = 2) -> DataFrame:
     """Density clusters of standardised columns; sparse rows and small clusters get -1.
 
-    Rows fold into grid cells of diagonal ``radius`` first, so any two rows of a
-    cell are neighbours and a crowded cell costs one row from there on. Cells
-    whose mean points lie within the radius are neighbours, dense cells connect,
-    and clusters are their connected components. Clusters are numbered by the
-    hash of their smallest cell. For up to five columns.
+    A row with at least ``min_samples`` rows within ``radius``, itself included, is
+    core; core rows within the radius of each other share a cluster; any other row
+    within the radius of core rows joins the nearest one's. Rows with a null value
+    belong to none. Exact, and without meeting all rows of a crowd: equal rows are one
+    point, points fold into grid cells whose diagonal is the radius, so all of a
+    crowded cell are core at once, and boxes decide most of the rest. Clusters are
+    numbered by the hash of their smallest cell. For up to five columns.
     """
     if len(columns) > 5:
         raise ValueError("grid neighbourhoods are built for at most five columns")
-    side = radius / math.sqrt(len(columns))
-    cell = F.concat_ws(",", *[F.floor(F.col(c) / side).cast("string") for c in columns])
-    placed = df.withColumn("_cell", cell)
-    cells = checkpointed(placed.groupBy("_cell").agg(
-        F.count("*").alias("n"), F.array(*[F.avg(c) for c in columns]).alias("p")))
-
-    # A block is as wide as the radius: neighbours lie in the same or an adjacent block.
-    block = F.transform("p", lambda x: F.floor(x / radius))
-    offsets = F.array(*[F.array(*[F.lit(o) for o in combo])
-                        for combo in itertools.product((-1, 0, 1), repeat=len(columns))])
-    left = cells.select(F.col("_cell").alias("a"), F.col("p").alias("pa"), F.explode(
-        F.transform(offsets, lambda o: F.zip_with(block, o, lambda b, d: b + d))).alias("block"))
-    right = cells.select(F.col("_cell").alias("b"), F.col("p").alias("pb"), F.col("n").alias("nb"), block.alias("block"))
-    squared = F.aggregate(F.zip_with("pa", "pb", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
-    near = checkpointed(left.join(right, "block").filter(squared <= radius * radius).select("a", "b", "nb"))
-
-    dense = near.groupBy("a").agg(F.sum("nb").alias("mass")).filter(F.col("mass") >= min_samples).select("a")
-    links = (
-        near.join(dense, "a", "left_semi")
-        .join(dense.select(F.col("a").alias("b")), "b", "left_semi").select("a", "b")
-    )
-    alone = dense.select(F.col("a").alias("node"), F.col("a").alias("lone"))
-    joined = connected_components(links)
-    member = alone.join(joined, "node", "left").select(
-        F.col("node").alias("_cell"), F.coalesce("component", "lone").alias("_component"))
-    sizes = (
-        cells.select("_cell", "n").join(member, "_cell")
-        .groupBy("_component").agg(F.sum("n").alias("_size")).filter(F.col("_size") >= min_cluster_size)
-    )
-    kept = member.join(sizes.select("_component"), "_component", "left_semi")
-    number = F.shiftrightunsigned(F.xxhash64("_component"), 1)  # of a null it would be a number too
-    return placed.join(kept, "_cell", "left").withColumn(
-        "cluster", F.when(F.col("_component").isNotNull(), number).otherwise(-1)).drop("_cell", "_component")
+    dims, limit = len(columns), radius * radius
+    side = radius / math.sqrt(dims) * (1 - 1e-9)  # no two points of a cell are farther apart than the radius
+    coordinates = F.array(*[F.col(c).cast("double") + F.lit(0.0) for c in columns])
+    keyed = df.withColumn("_p", F.when(~F.exists(coordinates, lambda x: x.isNull() | F.isnan(x)), coordinates))
+    points = keyed.filter("_p is not null").groupBy(F.col("_p").alias("p")).agg(F.count("*").alias("n"))
+    points = points.withColumn("at", F.transform("p", lambda x: F.floor(x / side)))
+    points = materialized(points.withColumn("cell", F.concat_ws(",", F.transform("at", lambda x: x.cast("string")))), "regime-points")
+    cells = materialized(points.groupBy("cell", "at").agg(F.sum("n").alias("n"), *_box("p", dims)), "regime-cells")
+    pairs = materialized(_cell_pairs(cells, dims, math.floor(radius / side) + 1, limit), "regime-pairs")
+
+    sized = points.select("cell", "p", "n").join(cells.select("cell", F.col("n").alias("crowd")), "cell")
+    sparse = sized.filter(F.col("crowd") < min_samples)
+    masses = _masses(sparse, points, pairs, dims, limit)
+    judged = materialized(
+        sized.filter(F.col("crowd") >= min_samples).select("cell", "p", "n", F.lit(True).alias("core")).unionByName(
+            sparse.join(masses, "p").select("cell", "p", "n", (F.col("mass") >= min_samples).alias("core"))), "regime-cores")
+    core = judged.filter("core").select("cell", "p", "n")
+
+    links = materialized(_core_links(core, pairs, dims, side, limit, levels), "regime-links")
+    members = core.select("cell").distinct().join(
+        connected_components(links).withColumnRenamed("node", "cell"), "cell", "left").select(
+        "cell", F.coalesce("component", "cell").alias("component"))
+    members = materialized(members, "regime-members")
+
+    # A point beside core points takes the nearest one's cluster; of equally near ones that of the smaller cell.
+    beside = judged.filter("not core").select("p", "n", F.col("cell").alias("a_cell")).join(
+        pairs.select("a_cell", "b_cell", "b_lo", "b_hi"), "a_cell")
+    beside = beside.withColumns({"lo": F.col("p"), "hi": F.col("p")}).filter(_least("", "b_", dims) <= limit)
+    beside = beside.select("p", "n", "b_cell").join(_as(core.select("cell", "p"), "b_"), "b_cell")
+    nearest = beside.withColumn("gap", _distance("p", "b_p", dims)).filter(F.col("gap") <= limit).groupBy("p", "n").agg(
+        F.min(F.struct("gap", "b_cell"))["b_cell"].alias("cell"))
+    placed = materialized(core.select("p", "n", "cell").unionByName(nearest.select("p", "n", "cell")).join(members, "cell")
+                          .select("p", "n", "component"), "regime-placed")
+    large = placed.groupBy("component").agg(F.sum("n").alias("size")).filter(F.col("size") >= min_cluster_size)
+    number = F.shiftrightunsigned(F.xxhash64("component"), 1)
+    labels = placed.join(large, "component", "left_semi").select(F.col("p").alias("_p"), number.alias("_cluster"))
+    return keyed.join(labels, "_p", "left").withColumn("cluster", F.coalesce("_cluster", F.lit(-1))).drop("_p", "_cluster")
 
 
 def cluster_profiles(df: DataFrame, columns: Sequence[str], cluster: str = "cluster") -> DataFrame:

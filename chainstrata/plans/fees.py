@@ -76,6 +76,8 @@ def fees_with_volume(spark: SparkSession, sf: str) -> DataFrame:
                    fees_btc=2, ma30=3, btc_price=8)
 
 
+NORMAL_DAY = 1.25  # of the mean day
+
 STREAKS = t.JOINED + """,
 flagged AS (
   SELECT *, sum(changed) OVER (ORDER BY date ROWS UNBOUNDED PRECEDING) AS streak_id FROM (
@@ -105,11 +107,14 @@ def regime_share(spark: SparkSession, sf: str) -> DataFrame:
     return present(cohorts.label_share(fees.momentum(t.daily_fees(spark, sf)), "regime").orderBy("regime"))
 
 
-@query(f"""WITH {t.DAILY} SELECT count(*) AS n, count(*) FILTER (fees_btc < 1500000) AS kept,
-  {r('count(*) FILTER (fees_btc < 1500000) * 100.0 / count(*)')} AS kept_pct FROM daily""")
+@query(f"""WITH {t.DAILY} SELECT count(*) AS n, count(*) FILTER (low) AS kept,
+  {r('count(*) FILTER (low) * 100.0 / count(*)')} AS kept_pct
+  FROM (SELECT fees_btc < {NORMAL_DAY} * avg(fees_btc) OVER () AS low FROM daily)""")
 def normal_day_share(spark: SparkSession, sf: str) -> DataFrame:
-    """Share of days below a fee level."""
-    return present(cohorts.predicate_share(t.daily_fees(spark, sf), F.col("fees_btc") < 1_500_000))
+    """Share of days below a fee level, set by the mean day so that it means the same at every size."""
+    daily = t.daily_fees(spark, sf)
+    level = daily.agg(F.avg("fees_btc") * NORMAL_DAY).scalar()
+    return present(cohorts.predicate_share(daily, F.col("fees_btc") < level))
 
 
 @query(f"""WITH {t.DAILY} SELECT count(*) AS days, {r('avg(fees_btc)', 3)} AS mean_fees,

@@ -96,15 +96,83 @@ def _cluster_rows(spark: SparkSession, sf: str) -> DataFrame:
     return models.standardize(models.cluster_frame(_market_days(spark, sf)), models.CLUSTER_FEATURES)
 
 
-@query()
+# Standardised market days in SQL.
+CLUSTER_ROWS = t.DAILY + f""",
+day_bars AS (
+  SELECT date, arg_min(price, k) AS open, max(price) AS high, min(price) AS low, arg_max(price, k) AS close
+  FROM (SELECT CAST(l_shipdate AS DATE) AS date, l_extendedprice AS price, l_orderkey * 10 + l_linenumber AS k FROM lineitem) GROUP BY 1),
+day_returns AS (
+  SELECT *, ln(nullif(close / nullif(lag(close) OVER (ORDER BY date), 0), 0)) AS log_return FROM day_bars),
+day_measures AS (
+  SELECT date, close AS btc_price, log_return, (high - low) / nullif(open, 0) * 100 AS range_pct,
+         CASE WHEN count(log_return) OVER w = 30 THEN stddev_samp(log_return) OVER w * sqrt(365) END AS volatility
+  FROM day_returns WINDOW w AS (ORDER BY date ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)),
+market AS (
+  SELECT *, ln(1 + fees_btc) AS fees_log, ln(btc_price) AS price_log
+  FROM (SELECT m.*, coalesce(d.fee_units / 1e8, 0) AS fees_btc FROM day_measures m LEFT JOIN daily d ON d.date = m.date)
+  WHERE btc_price > 0 AND log_return IS NOT NULL AND range_pct IS NOT NULL AND volatility IS NOT NULL),
+z AS (
+  SELECT date, fees_btc, btc_price, volatility, {", ".join(
+      f"({c} - avg({c}) OVER ()) / CASE WHEN stddev_pop({c}) OVER () = 0 THEN 1 ELSE stddev_pop({c}) OVER () END AS z{i}"
+      for i, c in enumerate(models.CLUSTER_FEATURES))}
+  FROM market)"""
+REGIME_ROUNDS = 100
+_GAP = " + ".join(f"(a.z{i} - b.z{i}) * (a.z{i} - b.z{i})" for i in range(len(models.CLUSTER_FEATURES)))
+
+
+@query(f"""WITH RECURSIVE {CLUSTER_ROWS},
+near AS (SELECT a.date AS a, b.date AS b, {_GAP} AS gap FROM z a, z b WHERE {_GAP} <= 0.25),
+core AS (SELECT a AS day FROM near GROUP BY 1 HAVING count(*) >= 10),
+links AS (SELECT a, b FROM near WHERE a IN (FROM core) AND b IN (FROM core)),
+spread(i, day, root) AS (
+  SELECT 0, day, day FROM core UNION ALL
+  SELECT max(s.i) + 1, l.a, min(s.root) FROM spread s JOIN links l ON l.b = s.day WHERE s.i < {REGIME_ROUNDS} GROUP BY l.a),
+roots AS (SELECT day, root FROM spread WHERE i = {REGIME_ROUNDS}),
+placed AS (
+  SELECT day, root FROM roots UNION ALL
+  SELECT n.a, arg_min(r.root, n.gap) FROM near n JOIN roots r ON r.day = n.b WHERE n.a NOT IN (FROM core) GROUP BY 1),
+large AS (SELECT root FROM placed GROUP BY 1 HAVING count(*) >= 30),
+labelled AS (SELECT z.*, l.root FROM z LEFT JOIN placed p ON p.day = z.date LEFT JOIN large l ON l.root = p.root),
+overall AS (SELECT avg(fees_btc) AS f, avg(btc_price) AS p, avg(volatility) AS v FROM z)
+SELECT CASE WHEN root IS NULL THEN -1 ELSE row_number() OVER (ORDER BY root IS NULL, count(*) DESC, min(date)) END AS cluster,
+  count(*) AS n, CAST(min(date) AS VARCHAR) AS first_date, CAST(max(date) AS VARCHAR) AS last_date,
+  {r('avg(fees_btc)')} AS mean_fees_btc, {r('avg(btc_price)')} AS mean_btc_price, {r('avg(volatility)')} AS mean_volatility,
+  {r('count(*) * 100.0 / sum(count(*)) OVER ()')} AS pct, {r('(avg(fees_btc) - max(f)) / max(f) * 100')} AS dev_fees_btc,
+  {r('(avg(btc_price) - max(p)) / max(p) * 100')} AS dev_btc_price, {r('(avg(volatility) - max(v)) / max(v) * 100')} AS dev_volatility
+FROM labelled, overall GROUP BY root""")
 def regime_clusters(spark: SparkSession, sf: str) -> DataFrame:
+    """Profiles of the density regimes, numbered by size; -1 is noise."""
     columns = [f"{c}_z" for c in models.CLUSTER_FEATURES]
     rows = materialized(_cluster_rows(spark, sf), "regimes")
     labelled = models.density_regimes(rows, columns)
-    return present(models.cluster_profiles(labelled, ["fees_btc", "btc_price", "volatility"]))
-
-
-@query()
+    profiles = models.cluster_profiles(labelled, ["fees_btc", "btc_price", "volatility"])
+    nth = F.row_number().over(Window.orderBy(F.col("cluster") == -1, F.desc("n"), "first_date"))
+    return present(profiles.withColumn("cluster", F.when(F.col("cluster") == -1, -1).otherwise(nth)))
+
+
+def _component_sql(nth: int, of: str) -> str:
+    """Leading component of a covariance table by repeated squaring: the powers tend to the component times itself."""
+    return f"""power{nth}(step, i, j, c) AS (
+  SELECT 0, i, j, c FROM {of} UNION ALL
+  SELECT step + 1, i, j, c / max(abs(c)) OVER () FROM (
+    SELECT max(x.step) AS step, x.i, y.j, sum(x.c * y.c) AS c FROM power{nth} x JOIN power{nth} y ON x.j = y.i WHERE x.step < 40 GROUP BY x.i, y.j)),
+column{nth} AS (
+  SELECT i, c FROM power{nth} WHERE step = 40 AND j = (SELECT arg_max(i, c) FROM power{nth} WHERE step = 40 AND i = j)),
+loading{nth} AS (
+  SELECT i, c / sqrt(sum(c * c) OVER ()) * sign(first_value(c) OVER (ORDER BY abs(c) DESC)) AS x FROM column{nth}),
+value{nth} AS (SELECT sum(a.x * {of}.c * b.x) AS v FROM {of} JOIN loading{nth} a USING (i) JOIN loading{nth} b ON b.i = {of}.j)"""
+
+
+@query(f"""WITH RECURSIVE {CLUSTER_ROWS},
+long AS (SELECT date, unnest([0, 1, 2, 3, 4]) AS k, unnest([z0, z1, z2, z3, z4]) AS v FROM z),
+covariance AS (SELECT a.k AS i, b.k AS j, covar_samp(a.v, b.v) AS c FROM long a JOIN long b USING (date) GROUP BY 1, 2),
+{_component_sql(1, "covariance")},
+rest AS (SELECT s.i, s.j, s.c - v * a.x * b.x AS c FROM covariance s JOIN loading1 a USING (i) JOIN loading1 b ON b.i = s.j, value1),
+{_component_sql(2, "rest")},
+total AS (SELECT sum(c) AS v FROM covariance WHERE i = j)
+SELECT CAST(date AS VARCHAR) AS date, {r('sum(v * a.x)')} AS pca1, {r('sum(v * b.x)')} AS pca2,
+  (SELECT {r('value1.v / total.v')} FROM value1, total) AS explained1, (SELECT {r('value2.v / total.v')} FROM value2, total) AS explained2
+FROM long JOIN loading1 a ON a.i = k JOIN loading2 b ON b.i = k GROUP BY date""")
 def pca_2d(spark: SparkSession, sf: str) -> DataFrame:
     rows = materialized(_cluster_rows(spark, sf), "pca")
     projected, shares = models.principal_components(rows, [f"{c}_z" for c in models.CLUSTER_FEATURES])

@@ -99,6 +99,45 @@ def test_density_regimes(spark):
     assert set(labels[415:]) == {-1}      # dense, but smaller than a cluster may be
 
 
+def _plain_regimes(points, radius, least, smallest):
+    """Every point against every other; clusters by walking from core point to core point."""
+    gaps = ((points[:, None] - points[None]) ** 2).sum(-1)
+    near = gaps <= radius * radius
+    core = near.sum(1) >= least
+    label = np.full(len(points), -1)
+    for start in np.flatnonzero(core):
+        walk = [start] if label[start] < 0 else []
+        while walk:
+            at = walk.pop()
+            if label[at] < 0:
+                label[at] = start
+                walk.extend(np.flatnonzero(near[at] & core & (label < 0)))
+    for at in np.flatnonzero(~core):
+        beside = np.flatnonzero(near[at] & core)
+        if len(beside):
+            label[at] = label[beside[gaps[at, beside].argmin()]]
+    sizes = np.bincount(label[label >= 0], minlength=len(points))
+    return np.where((label >= 0) & (sizes[label] >= smallest), label, -1)
+
+
+@pytest.mark.parametrize("levels", [0, 2])
+def test_density_regimes_equal_plain_clustering(spark, levels):
+    rng = np.random.default_rng(12)
+    ring = np.stack([3 * np.cos(np.linspace(0, 6, 500)), 3 * np.sin(np.linspace(0, 6, 500)), np.zeros(500)], axis=1)
+    points = np.concatenate([
+        rng.normal(0, 0.4, (700, 3)), ring + rng.normal(0, 0.15, (500, 3)), rng.uniform(-4, 4, (400, 3)),
+        np.tile([[2.0, -2.0, 2.0]], (400, 1)), np.tile([[2.3, -2.3, 2.2]], (9, 1)), np.round(rng.normal(-3, 0.5, (300, 3)), 1)])
+    rows = [(i, *map(float, p)) for i, p in enumerate(points)] + [(-1, None, 0.0, 0.0)]
+    df = spark.createDataFrame(rows, "i int, x double, y double, z double")
+    got = {r.i: r.cluster for r in models.density_regimes(df, ["x", "y", "z"], levels=levels).collect()}
+    assert len(got) == len(rows) and got.pop(-1) == -1
+    got = np.array([got[i] for i in range(len(points))])
+    want = _plain_regimes(points, 0.5, 10, 30)
+    assert len(set(want)) > 3 and (want == -1).any()
+    assert ((got == -1) == (want == -1)).all()
+    assert len(set(zip(got, want))) == len(set(got)) == len(set(want))
+
+
 def test_standardize_and_components(spark):
     rng = np.random.default_rng(6)
     base = rng.normal(0, 3, 200)

@@ -35,8 +35,7 @@ def test_every_query_is_checked_or_listed():
     assert set(SQL) <= set(QUERIES)
     assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
     assert set(QUERIES) - set(SQL) == {
-        "script_addresses", "fee_gbt_cv", "fee_residuals", "fee_importance", "regime_clusters", "pca_2d",
-        "walk_forward_gbt", "stream_score"}
+        "fee_gbt_cv", "fee_residuals", "fee_importance", "walk_forward_gbt", "stream_score"}
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
