@@ -43,7 +43,7 @@ SELECT doc_id, size, source_size, target, CAST(floor(step * nth + start) - floor
 
 
 def _url_sql() -> str:
-    """Rules by CASE, scores by a recursive query with as many rounds as the operator has at most."""
+    """Rules by CASE, scores by a recursive query of a fixed number of rounds, compared as the operator does."""
     longest_first = sorted(url_trust.RULES, key=lambda r: -len(r[1] + r[2]))
     fits = [f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')" for _, h, p in longest_first]
     rule = " ".join(f"WHEN {f} THEN '{h}{p}'" for f, (_, h, p) in zip(fits, longest_first))
@@ -56,7 +56,7 @@ def _url_sql() -> str:
   SELECT i + 1, host, sum(score) FROM (SELECT i, e.target AS host, e.weight * r.score * {url_trust.STAY} AS score FROM {name}_rounds r
     JOIN {edges} e ON e.source = r.host UNION ALL SELECT x.i, s.host, s.base FROM (SELECT DISTINCT i FROM {name}_rounds) x, {name}_seed s)
   WHERE i < {url_trust.ROUNDS} GROUP BY i, host),
-{name} AS (SELECT host, round(score, 12) AS score FROM {name}_rounds WHERE i = {url_trust.ROUNDS})"""
+{name} AS (SELECT host, score FROM {name}_rounds WHERE i = {url_trust.ROUNDS})"""
                    for name, decision, edges in (("trust", "allow", "links"), ("distrust", "block", "back")))
     return f"""
 WITH RECURSIVE u AS (SELECT page_id, html, coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), '{UPPER}', '{LOWER}'), '') AS host,
@@ -66,7 +66,7 @@ found AS (SELECT host AS source, unnest(regexp_extract_all(html, '{link}', 1)) A
 counted AS (SELECT source, translate(target, '{UPPER}', '{LOWER}') AS target, count(*) AS n FROM found GROUP BY 1, 2),
 links AS (SELECT source, target, n / sum(n) OVER (PARTITION BY source) AS weight FROM counted WHERE source <> target),
 back AS (SELECT target AS source, source AS target, 1.0 / count(*) OVER (PARTITION BY target) AS weight FROM links){flow}
-SELECT page_id, p.host, path, rule, coalesce(ruled, CASE WHEN coalesce(d.score, 0) > {url_trust.RATIO} * coalesce(t.score, 0) THEN 'block' ELSE 'allow' END) AS verdict,
+SELECT page_id, p.host, path, rule, coalesce(ruled, CASE WHEN coalesce(d.score, 0) > {url_trust.RATIO * (1 + url_trust.ALIKE)} * coalesce(t.score, 0) THEN 'block' ELSE 'allow' END) AS verdict,
   round(coalesce(t.score, 0.0), 6) AS trust, round(coalesce(d.score, 0.0), 6) AS distrust
 FROM p LEFT JOIN trust t ON t.host = p.host LEFT JOIN distrust d ON d.host = p.host"""
 

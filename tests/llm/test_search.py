@@ -1,10 +1,13 @@
 """Vector search and url judgements against plain versions."""
 
+from collections import Counter
+
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from chainstrata.llm import ann, topk, url_trust
+from chainstrata.llm import QUERIES, SQL, ann, topk, url_trust
 
 
 @pytest.fixture(scope="module")
@@ -129,7 +132,7 @@ def test_propagation_matches_a_plain_loop(spark):
     edges = [("a", "b", 0.5), ("a", "c", 0.5), ("b", "c", 1.0), ("c", "a", 1.0)]
     got = {r.host: r.score for r in url_trust.propagate(
         spark.createDataFrame([("a", 1.0)], "host string, seed double"),
-        spark.createDataFrame(edges, "source string, target string, weight double"), rounds=200).collect()}
+        spark.createDataFrame(edges, "source string, target string, weight double")).collect()}
     score = {"a": 0.15, "b": 0.0, "c": 0.0}
     for _ in range(200):
         score = {h: 0.15 * (h == "a") + 0.85 * sum(w * score[s] for s, t, w in edges if t == h) for h in score}
@@ -146,7 +149,17 @@ def test_tiny_and_late_distrust_still_blocks(spark):
     assert 0 < by[5000].distrust < 5e-9 and {by[i].verdict for i in (3000, 4000, 5000, 5001)} == {"block"}
 
 
-def test_scores_that_do_not_settle_are_an_error(spark):
-    edges = spark.createDataFrame([("a", "b", 1.0), ("b", "a", 1.0)], "source string, target string, weight double")
-    with pytest.raises(RuntimeError):
-        url_trust.propagate(spark.createDataFrame([("a", 1.0)], "host string, seed double"), edges, rounds=5)
+def test_sql_twin_agrees_where_links_carry_scores(spark, tmp_path):
+    """Rules, chains and branches, with scores that decide verdicts."""
+    branches = [(100 + i, f"https://r{i}.net/", f'<a href="https://r{i + 1}.net/">x</a><a href="//p{i}.com/">y</a>') for i in range(7)]
+    into = [(200 + i, f"https://p{i}.com/{'de/' if i % 3 else 'fr/'}", f'<a href="https://c{i}.net/">x</a>') for i in range(7)]
+    chain = [(300 + i, f"https://c{i}.net/", f'<a href="https://c{i + 1}.net/">x</a>') for i in range(12)]
+    last = [(400, "https://c12.net/", '<a href="https://end.com/">x</a>'), (401, "https://end.com/de/", "")]
+    rows = [p for p in PAGES if p[0] is not None] + branches + into + chain + last
+    spark.createDataFrame(rows, "page_id bigint, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = Counter(map(tuple, QUERIES["op1_url_trust"](spark, str(tmp_path)).collect()))
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    assert got == Counter(connection.execute(SQL["op1_url_trust"]).fetchall())
+    assert {"block", "allow"} == {verdict for _, _, _, rule, verdict, _, _ in got if rule is None}
+    assert sum(trust > 0 and distrust > 0 for *_, trust, distrust in got) > 5
