@@ -16,6 +16,7 @@ from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import StructType
 
 from chainstrata.functions.calendar import days_to_next
 from chainstrata.functions.ratios import percent
@@ -23,7 +24,7 @@ from chainstrata.operators import series
 from chainstrata.operators.evaluate import FOLDS, Period, time_folds, with_periods
 from chainstrata.operators.fees import by_date
 from chainstrata.operators.indicators import FEATURES
-from chainstrata.session import checkpointed, materialized
+from chainstrata.session import at_once, checkpointed, materialized, scratch_path
 
 # Fee model inputs and the fee level of a normal day, in coins.
 FEE_FEATURES = (
@@ -35,6 +36,8 @@ FEE_FEATURES = (
 )
 NORMAL_DAY_COINS = 100.0
 LEARNING_RATE = 0.05
+TREES = 200
+MIN_TRAIN, MIN_TEST = 100, 10
 CLUSTER_FEATURES = ("fees_log", "price_log", "volatility", "log_return", "range_pct")
 
 
@@ -67,29 +70,45 @@ def _vectors(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(columns), outputCol="features").transform(df)
 
 
-def fee_cross_validation(frame: DataFrame, normal_below: float = NORMAL_DAY_COINS, trees: int = 200,
+def _stored_parts(rows: DataFrame, by: Sequence[str], name: str) -> tuple[DataFrame, dict[tuple, int]]:
+    """Rows in one folder per value of ``by``, and the rows of each, so that a fit reads its part only."""
+    spark, path = rows.sparkSession, scratch_path(rows.sparkSession, name)
+    rows.hint("rebalance", *by).write.partitionBy(*by).parquet(path)
+    kept = [rows.schema[c] for c in rows.columns if c not in by] + [rows.schema[c] for c in by]
+    parts = spark.read.schema(StructType(kept)).parquet(path)
+    counted = parts.groupBy(*by).agg(F.count("*").alias("n")).collect()
+    return parts, {tuple(r[c] for c in by): r["n"] for r in counted}
+
+
+def _together(frames: Sequence[DataFrame]) -> DataFrame:
+    return functools.reduce(DataFrame.unionByName, frames)
+
+
+def fee_cross_validation(frame: DataFrame, normal_below: float = NORMAL_DAY_COINS, trees: int = TREES,
                          k: int = FOLDS) -> tuple[DataFrame, DataFrame]:
     """Out-of-fold predictions in coins, and mean feature importance.
 
-    Runs one distributed fit per fold. The folded frame is written once, so the
-    fits do not recompute it.
+    Runs one distributed fit per fold, all at once; each reads its own part of the
+    stored folds. The result can be stored with ``model_store.stored_once``, so that
+    error, residuals and importance share the fits.
     """
     normal = frame.filter(F.col("fees_btc") < normal_below)
-    folded = materialized(_vectors(time_folds(normal, "date", k), FEE_FEATURES)
-                          .select("date", "fold", "role", "features", "target_log"), "fee-folds")
-    predictions, importances = [], []
-    for fold in range(1, k + 1):
-        part = folded.filter(F.col("fold") == fold)
-        model = GBTRegressor(labelCol="target_log", maxIter=trees, stepSize=LEARNING_RATE, maxDepth=5,
-                             minInstancesPerNode=20, seed=42).fit(part.filter("role = 'train'"))
-        scored = model.transform(part.filter("role = 'test'"))
-        predictions.append(scored.select("date", "fold", F.expm1("target_log").alias("actual"),
-                                         F.expm1("prediction").alias("predicted")))
-        importances.append(model.featureImportances.toArray())
-    every = predictions[0]
-    for more in predictions[1:]:
-        every = every.unionByName(more)
-    rows = [(name, float(sum(i[at] for i in importances) / k)) for at, name in enumerate(FEE_FEATURES)]
+    folded, _ = _stored_parts(_vectors(time_folds(normal, "date", k), FEE_FEATURES)
+                              .select("date", "fold", "role", "features", "target_log"), ["fold", "role"], "fee-folds")
+    fitted = {}
+
+    def fit(fold: int) -> None:
+        part = folded.filter((F.col("fold") == fold) & (F.col("role") == "train"))
+        fitted[fold] = GBTRegressor(labelCol="target_log", maxIter=trees, stepSize=LEARNING_RATE, maxDepth=5,
+                                    minInstancesPerNode=20, seed=42).fit(part)
+
+    at_once([functools.partial(fit, fold) for fold in range(1, k + 1)])
+    every = _together([
+        fitted[fold].transform(folded.filter((F.col("fold") == fold) & (F.col("role") == "test")))
+        .select("date", "fold", F.expm1("target_log").alias("actual"), F.expm1("prediction").alias("predicted"))
+        for fold in sorted(fitted)])
+    gains = [fitted[fold].featureImportances.toArray() for fold in sorted(fitted)]
+    rows = [(name, float(sum(g[at] for g in gains) / k)) for at, name in enumerate(FEE_FEATURES)]
     return every, frame.sparkSession.createDataFrame(rows, "feature string, importance double")
 
 
@@ -100,7 +119,7 @@ def balanced_weights(df: DataFrame, label: str) -> DataFrame:
     return df.withColumn("weight", totals["n"] / (2.0 * of_class))
 
 
-def fit_classifier(rows: DataFrame, trees: int = 200, features: Sequence[str] = FEATURES, label: str = "target"):
+def fit_classifier(rows: DataFrame, trees: int = TREES, features: Sequence[str] = FEATURES, label: str = "target"):
     """Gradient-boosted next-bar classifier on class-balanced rows."""
     ready = balanced_weights(_vectors(rows, features), label).select("features", label, "weight")
     return GBTClassifier(labelCol=label, weightCol="weight", maxIter=trees, stepSize=LEARNING_RATE, maxDepth=5,
@@ -113,27 +132,47 @@ def score(model, rows: DataFrame, features: Sequence[str] = FEATURES) -> DataFra
     return out.withColumn("probability", vector_to_array("probability")[1]).drop("features", "rawPrediction", "prediction")
 
 
-def walk_forward(matrix: DataFrame, periods: Sequence[Period], trees: int = 200,
-                 min_train: int = 100, min_test: int = 10) -> DataFrame:
-    """Fit on each period's training span and score its test span.
+def walk_forward(matrix: DataFrame, periods: Sequence[Period], trees: int = TREES,
+                 min_train: int = MIN_TRAIN, min_test: int = MIN_TEST) -> tuple[DataFrame, DataFrame]:
+    """Scored test spans, and a row per period with its sizes and whether it was fitted.
 
-    One distributed fit per period; periods with too few rows are left out.
+    One distributed fit per period on its training span, all at once; each reads its
+    own part of the stored spans. A period with too few rows is not fitted, and said
+    to be skipped. A training span of one class has no fit either.
     """
-    rows = materialized(with_periods(matrix, periods), "walk-forward")
-    sizes = {(r.period, r.role): r["n"] for r in rows.groupBy("period", "role").agg(F.count("*").alias("n")).collect()}
-    scored = []
-    for p in periods:
-        if sizes.get((p.name, "train"), 0) < min_train or sizes.get((p.name, "test"), 0) < min_test:
-            continue
-        own = rows.filter(F.col("period") == p.name)
-        model = fit_classifier(own.filter("role = 'train'"), trees)
-        scored.append(score(model, own.filter("role = 'test'")))
-    if not scored:
-        return rows.filter("false").withColumn("probability", F.lit(None).cast("double"))
-    every = scored[0]
-    for more in scored[1:]:
-        every = every.unionByName(more)
-    return every
+    rows, sizes = _stored_parts(with_periods(matrix, periods), ["period", "role"], "walk-forward")
+    spans = walk_forward_spans(rows, periods, min_train, min_test)
+    able = [p for p in periods if sizes.get((p.name, "train"), 0) >= min_train and sizes.get((p.name, "test"), 0) >= min_test]
+    fitted = {}
+
+    def fit(name: str) -> None:
+        fitted[name] = fit_classifier(rows.filter((F.col("period") == name) & (F.col("role") == "train")), trees)
+
+    classes = {r.period: r.n for r in rows.filter("role = 'train'").groupBy("period").agg(
+        F.count_distinct("target").alias("n")).collect()}
+    able = [p.name for p in able if classes[p.name] > 1]
+    at_once([functools.partial(fit, name) for name in able])
+    if not able:
+        return rows.filter("false").withColumn("probability", F.lit(None).cast("double")), spans
+    return _together([score(fitted[name], rows.filter((F.col("period") == name) & (F.col("role") == "test")))
+                      for name in able]), spans
+
+
+def walk_forward_spans(rows: DataFrame, periods: Sequence[Period], min_train: int = MIN_TRAIN,
+                       min_test: int = MIN_TEST) -> DataFrame:
+    """Per period the rows of its two spans, the classes of the training span, and ``fit`` or ``skipped``.
+
+    ``rows`` are spans as ``with_periods`` gives them. A period without any row is listed too.
+    """
+    of = lambda role, value: F.count(F.when(F.col("role") == role, value))
+    found = rows.groupBy(F.col("period").alias("_period")).agg(
+        of("train", F.lit(1)).alias("_train"), of("test", F.lit(1)).alias("_test"),
+        F.count_distinct(F.when(F.col("role") == "train", F.col("target"))).alias("_classes"))
+    named = rows.sparkSession.createDataFrame([(p.name,) for p in periods], "period string")
+    out = named.join(found, F.col("period") == F.col("_period"), "left").select(
+        "period", *[F.coalesce(f"_{c}", F.lit(0)).alias(c) for c in ("train", "test", "classes")])
+    able = (F.col("train") >= min_train) & (F.col("test") >= min_test) & (F.col("classes") > 1)
+    return out.withColumn("status", F.when(able, "fit").otherwise("skipped"))
 
 
 def cluster_frame(joined: DataFrame) -> DataFrame:

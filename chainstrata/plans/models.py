@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from chainstrata.operators import candles, evaluate, fees, indicators, models, stats
+from chainstrata.operators.evaluate import Period
 from chainstrata.plans import standins as t
 from chainstrata.plans.market import PERIODS
 from chainstrata.plans.registry import present, query, r
 from chainstrata.session import materialized
+from chainstrata.sources import model_store
 
 DIMENSIONS = tuple(f"e{i:02d}" for i in range(64))
+# A period before the tables begin: it has no rows and is skipped.
+EARLY = Period("first", "2023-11-01", "2023-12-01", "2023-12-01", "2024-01-01")
 MEAN_DAY_COINS = 20.0  # mean daily fees of the stand-in series
 
 
@@ -64,10 +68,22 @@ def fee_frame(spark: SparkSession, sf: str) -> DataFrame:
     return models.fee_model_frame(daily.withColumn("fees_btc", level * MEAN_DAY_COINS))
 
 
+def _fee_fit(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """Predictions and importance of the published fit, done once per content of the frame."""
+    frame = materialized(fee_frame(spark, sf), "fee-frame")
+
+    def build() -> dict[str, DataFrame]:
+        predictions, importance = models.fee_cross_validation(frame)
+        return {"predictions": predictions, "importance": importance}
+
+    key = f"{models.TREES}-{evaluate.FOLDS}-{model_store.fingerprint(frame)}"
+    return model_store.stored_once(spark, "fee-fit", key, build)
+
+
 @query()
 def fee_gbt_cv(spark: SparkSession, sf: str) -> DataFrame:
     """Error per fold and overall (fold null) of the next-day fee model."""
-    predictions, _ = models.fee_cross_validation(fee_frame(spark, sf), trees=10)
+    predictions = _fee_fit(spark, sf)["predictions"]
     by_fold = evaluate.regression_metrics(predictions, ["fold"], "actual", "predicted")
     overall = evaluate.regression_metrics(predictions, [], "actual", "predicted")
     return present(by_fold.unionByName(overall.withColumn("fold", F.lit(None).cast("int"))))
@@ -76,10 +92,9 @@ def fee_gbt_cv(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def fee_residuals(spark: SparkSession, sf: str) -> DataFrame:
     """Histogram of residuals beside their mean and deviation."""
-    predictions, _ = models.fee_cross_validation(fee_frame(spark, sf), trees=5)
-    stored = materialized(predictions.withColumn("residual", F.col("actual") - F.col("predicted")), "residuals")
-    summary = evaluate.residual_summary(stored, "actual", "predicted")
-    bars = stats.histogram(stored, "residual", 80)
+    rated = _fee_fit(spark, sf)["predictions"].withColumn("residual", F.col("actual") - F.col("predicted"))
+    summary = evaluate.residual_summary(rated, "actual", "predicted")
+    bars = stats.histogram(rated, "residual", 80)
     return present(bars.withColumns({
         "mean_residual": summary.select("mean_residual").scalar(),
         "std_residual": summary.select("std_residual").scalar(),
@@ -88,8 +103,7 @@ def fee_residuals(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def fee_importance(spark: SparkSession, sf: str) -> DataFrame:
-    _, importance = models.fee_cross_validation(fee_frame(spark, sf), trees=5)
-    return present(importance.orderBy(F.desc("importance")))
+    return present(_fee_fit(spark, sf)["importance"].orderBy(F.desc("importance")))
 
 
 def _cluster_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -180,10 +194,20 @@ def pca_2d(spark: SparkSession, sf: str) -> DataFrame:
         F.lit(share).alias(f"explained{i}") for i, share in enumerate(shares, 1)]))
 
 
+def _walk_forward(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    bars = indicators.with_daily_zscore(t.stored_bars(spark, sf), t.shifted_zscores(spark, sf), lag_days=1)
+    matrix = materialized(indicators.feature_matrix(bars), "matrix")
+
+    def build() -> dict[str, DataFrame]:
+        scored, spans = models.walk_forward(matrix, (EARLY, *PERIODS))
+        return {"scored": scored, "spans": spans}
+
+    key = f"{models.TREES}-{model_store.fingerprint(matrix)}"
+    return model_store.stored_once(spark, "walk-forward-fit", key, build)
+
+
 @query()
 def walk_forward_gbt(spark: SparkSession, sf: str) -> DataFrame:
     """Metrics per symbol and period of the fitted next-bar model."""
-    bars = indicators.with_daily_zscore(t.stored_bars(spark, sf), t.shifted_zscores(spark, sf), lag_days=1)
-    scored = models.walk_forward(indicators.feature_matrix(bars), PERIODS, trees=5)
-    curve = evaluate.equity(evaluate.trades(scored, min_confidence=0.5))
+    curve = evaluate.equity(evaluate.trades(_walk_forward(spark, sf)["scored"]))
     return present(evaluate.period_metrics(curve))
