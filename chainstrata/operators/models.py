@@ -112,6 +112,12 @@ def fee_cross_validation(frame: DataFrame, normal_below: float = NORMAL_DAY_COIN
     return every, frame.sparkSession.createDataFrame(rows, "feature string, importance double")
 
 
+def fee_persistence(frame: DataFrame, normal_below: float = NORMAL_DAY_COINS, k: int = FOLDS) -> DataFrame:
+    """Predictions of the same folds by today's fees, which a fitted model has to beat."""
+    folded = time_folds(frame.filter(F.col("fees_btc") < normal_below), "date", k).filter("role = 'test'")
+    return folded.select("date", "fold", F.col("target").alias("actual"), F.col("fees_btc").alias("predicted"))
+
+
 def balanced_weights(df: DataFrame, label: str) -> DataFrame:
     """Row weight n / (2 * rows of the class), so both classes weigh the same."""
     totals = df.agg(F.struct(F.count("*").alias("n"), F.sum(label).alias("ones")).alias("t")).scalar()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -15,7 +16,7 @@ from chainstrata.operators.quantiles import exact_quantiles
 from chainstrata.plans import standins as t
 from chainstrata.plans.registry import present, query, r
 from chainstrata.session import materialized, scratch_path
-from chainstrata.sources import tables
+from chainstrata.sources import catalog, tables
 
 # Cents per coin for cohort tables, so that the published edges divide the data.
 COHORT_UNITS = 100_000.0
@@ -343,6 +344,59 @@ def pruned_scan(spark: SparkSession, sf: str) -> DataFrame:
     return present(tables.read_heights(spark, path, 300, 2200))
 
 
+PREFIX_RANGES = (("0000", "3fff"), ("4000", "7fff"), ("8000", "bfff"), ("c000", "ffff"))
+
+
+@query(f"""WITH {t.CREATES}, {", ".join(f"part{i} AS (SELECT * FROM creates WHERE substr(txid, 1, 4) BETWEEN '{a}' AND '{b}')"
+    for i, (a, b) in enumerate(PREFIX_RANGES))}
+  {" UNION ALL ".join(f"SELECT 'creates_{i}' AS layer, count(*) AS n, CAST(sum(value_sats) AS BIGINT) AS total_sats, min(substr(txid, 1, 4)) AS first_prefix, max(substr(txid, 1, 4)) AS last_prefix, count(DISTINCT txid) AS n_txs FROM part{i} HAVING count(*) > 0"
+    for i in range(len(PREFIX_RANGES)))}""")
+def prefix_layers(spark: SparkSession, sf: str) -> DataFrame:
+    """Outputs stored by key range with small row groups, one file set a range, and read back by a glob.
+
+    The outputs are stored once, sorted by prefix, so a range opens only the files that hold it.
+    """
+    stored, layers = scratch_path(spark, "creates"), scratch_path(spark, "layers")
+    tables.write_clustered(utxo.creates(_narrow(spark, sf)), stored, "prefix")
+    for i, (low, high) in enumerate(PREFIX_RANGES):
+        part = utxo.prefix_range(spark.read.parquet(stored), low, high)
+        tables.write_query(part, f"{layers}/creates_{i}", block_bytes=8 * 1024 * 1024)
+    tables.write_query(utxo.spends(_narrow(spark, sf)), f"{layers}/spends_0")
+    found = catalog.read_matching(spark, f"{layers}/creates_*", "part-*.parquet")
+    layer = F.regexp_extract(F.col("_metadata.file_path"), "/(creates_[0-9]+)/", 1)
+    return found.groupBy(layer.alias("layer")).agg(
+        F.count("*").alias("n"), F.sum("value_sats").alias("total_sats"), F.min("prefix").alias("first_prefix"),
+        F.max("prefix").alias("last_prefix"), F.count_distinct("txid").alias("n_txs"))
+
+
+@query(f"""WITH {t.CREATES}, cut AS (SELECT max(height) // 2 AS h FROM creates)
+  SELECT 'first load' AS step, max(height) AS tip, count(*) AS n, CAST(sum(value_sats) AS BIGINT) AS total_sats FROM creates, cut WHERE height <= h
+  UNION ALL SELECT 'after reset', CAST(NULL AS BIGINT), 0, CAST(NULL AS BIGINT)
+  UNION ALL SELECT 'second load', max(height), count(*), CAST(sum(value_sats) AS BIGINT) FROM creates
+  UNION ALL SELECT 'rollback', max(height), count(*), CAST(sum(value_sats) AS BIGINT) FROM creates, cut WHERE height <= h""")
+def layer_reset(spark: SparkSession, sf: str) -> DataFrame:
+    """Tip of a layer after its first load, after a reset, after a full load and after a rollback."""
+    path = scratch_path(spark, "layer")
+    outputs = materialized(utxo.creates(_narrow(spark, sf)).select("height", "txid", "vout", "value_sats"), "outputs")
+    middle = outputs.agg(F.max("height")).first()[0] // 2
+    steps = []
+
+    def note(step: str) -> None:
+        held = tables.read_or_empty(spark, path, outputs)
+        tip = tables.tip_height(held).crossJoin(held.agg(F.count("*").alias("n"), F.sum("value_sats").alias("total_sats")))
+        steps.append(materialized(tip.select(F.lit(step).alias("step"), "*"), "tip"))
+
+    tables.write_batches(outputs.filter(F.col("height") <= middle), path)
+    note("first load")
+    tables.reset(spark, path)
+    note("after reset")
+    tables.write_batches(outputs, path)
+    note("second load")
+    tables.rollback(spark, path, middle)
+    note("rollback")
+    return functools.reduce(DataFrame.unionByName, steps)
+
+
 @query(f"""WITH {t.CREATES} SELECT substr(txid, 1, 2) AS lead, count(*) AS n, min(substr(txid, 1, 4)) AS first_prefix,
   max(substr(txid, 1, 4)) AS last_prefix FROM creates GROUP BY 1""")
 def clustered_layout(spark: SparkSession, sf: str) -> DataFrame:

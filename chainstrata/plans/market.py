@@ -26,6 +26,18 @@ def ohlcv_5m(spark: SparkSession, sf: str) -> DataFrame:
     return present(t.bars(spark, sf, "5m"), quote_volume=3)
 
 
+@query(f"""WITH {t.bars_sql('5 minutes')}, {t.ZSCORES},
+  fine AS (SELECT b.*, coalesce(m.fees_zscore, 0) AS z FROM bars b LEFT JOIN momentum m ON m.date + 8217 = CAST(b.open_time AS DATE))
+  SELECT symbol, CAST(time_bucket(INTERVAL '4 hours', open_time, TIMESTAMP '2000-01-01') AS VARCHAR) AS open_time, arg_min(open, open_time) AS open,
+    max(high) AS high, min(low) AS low, arg_max(close, open_time) AS close, sum(volume) AS volume, {r('sum(quote_volume)', 3)} AS quote_volume,
+    CAST(sum(trades) AS BIGINT) AS trades, count(*) AS num_candles, {r('arg_max(z, open_time)')} AS fees_zscore
+  FROM fine GROUP BY symbol, time_bucket(INTERVAL '4 hours', open_time, TIMESTAMP '2000-01-01')""")
+def ohlcv_with_zscore(spark: SparkSession, sf: str) -> DataFrame:
+    """Fine bars, each with its day's fee z-score, to longer bars that keep the last score."""
+    fine = indicators.with_daily_zscore(t.bars(spark, sf, "5m"), t.shifted_zscores(spark, sf))
+    return present(candles.resample(fine.drop("num_candles"), "4h", extra_last=["fees_zscore"]), quote_volume=3)
+
+
 def _window(rows: int) -> str:
     return f"(PARTITION BY symbol ORDER BY open_time ROWS BETWEEN {rows - 1} PRECEDING AND CURRENT ROW)"
 
@@ -157,12 +169,13 @@ f AS (SELECT z.symbol, z.open_time, z.close,
 
 MEASURES = tuple(c for c in indicators.FEATURES if c not in (
     "sma_cross", "zscore_regime", "funding_rate", "funding_signal", "hour", "minute", "day_of_week", "is_weekend"))
+COMPLETE = " AND ".join(f"{c} IS NOT NULL" for c in (*MEASURES, "log_return", "sma_50"))
 
 
 @query(f"""WITH RECURSIVE {FEATURES} SELECT {KEY}, target, {", ".join(f"{r(c, 8 if c == 'volume_ratio' else 6)} AS {c}" for c in MEASURES)},
   sma_cross, CAST(zscore_regime AS BIGINT) AS zscore_regime, 0e0 AS funding_rate, CAST(0 AS BIGINT) AS funding_signal, hour(f.open_time) AS hour, minute(f.open_time) AS minute,
   isodow(f.open_time) - 1 AS day_of_week, CAST(isodow(f.open_time) >= 6 AS BIGINT) AS is_weekend
-  FROM f WHERE {" AND ".join(f"{c} IS NOT NULL" for c in (*MEASURES, "log_return", "sma_50"))}""")
+  FROM f WHERE {COMPLETE}""")
 def feature_matrix(spark: SparkSession, sf: str) -> DataFrame:
     matrix = indicators.feature_matrix(_bars_with_z(spark, sf))
     return present(matrix.select("symbol", "open_time", "target", *indicators.FEATURES), volume_ratio=8)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from chainstrata.operators import candles, evaluate, fees, indicators, models, stats
 from chainstrata.operators.evaluate import Period
 from chainstrata.plans import standins as t
-from chainstrata.plans.market import PERIODS
+from chainstrata.plans.market import COMPLETE, FEATURES, PERIODS
 from chainstrata.plans.registry import present, query, r
 from chainstrata.session import materialized
 from chainstrata.sources import model_store
@@ -68,6 +68,82 @@ def fee_frame(spark: SparkSession, sf: str) -> DataFrame:
     return models.fee_model_frame(daily.withColumn("fees_btc", level * MEAN_DAY_COINS))
 
 
+# Market days in SQL.
+MARKET_DAYS = t.DAILY + """,
+day_bars AS (
+  SELECT date, arg_min(price, k) AS open, max(price) AS high, min(price) AS low, arg_max(price, k) AS close
+  FROM (SELECT CAST(l_shipdate AS DATE) AS date, l_extendedprice AS price, l_orderkey * 10 + l_linenumber AS k FROM lineitem) GROUP BY 1),
+day_returns AS (
+  SELECT *, ln(nullif(close / nullif(lag(close) OVER (ORDER BY date), 0), 0)) AS log_return FROM day_bars),
+day_measures AS (
+  SELECT date, close AS btc_price, log_return, (high - low) / nullif(open, 0) * 100 AS range_pct,
+         CASE WHEN count(log_return) OVER w = 30 THEN stddev_samp(log_return) OVER w * sqrt(365) END AS volatility
+  FROM day_returns WINDOW w AS (ORDER BY date ROWS BETWEEN 29 PRECEDING AND CURRENT ROW))"""
+
+# Rows of the fee model in SQL, and their folds.
+FEE_FOLDS = MARKET_DAYS + f""",
+levels AS (
+  SELECT *, f / avg(f) OVER () * {MEAN_DAY_COINS} AS fees
+  FROM (SELECT m.*, coalesce(d.fee_units / 1e8, 0) AS f FROM day_measures m LEFT JOIN daily d ON d.date = m.date WHERE btc_price > 0)),
+inputs AS (
+  SELECT date, fees, lead(fees) OVER w AS target, lag(fees, 7) OVER w AS week_before, log_return, volatility, range_pct,
+         avg(fees) OVER w30 AS mean30, stddev_samp(fees) OVER w30 AS std30, count(*) OVER w30 AS n30
+  FROM levels WINDOW w AS (ORDER BY date), w30 AS (ORDER BY date ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)),
+numbered AS (
+  SELECT *, (fees - mean30) / std30 AS zscore, row_number() OVER (ORDER BY date) - 1 AS place, count(*) OVER () AS n
+  FROM inputs WHERE target IS NOT NULL AND n30 = 30 AND std30 > 0 AND fees < {models.NORMAL_DAY_COINS}
+    AND log_return IS NOT NULL AND volatility IS NOT NULL AND range_pct IS NOT NULL),
+blocks AS (
+  SELECT *, n - ({evaluate.FOLDS + 1} - fold) * (n // {evaluate.FOLDS + 1}) AS test_from
+  FROM numbered, (SELECT CAST(unnest(range(1, {evaluate.FOLDS + 1})) AS BIGINT) AS fold)),
+folds AS (
+  SELECT *, CASE WHEN place < test_from THEN 'train' ELSE 'test' END AS role FROM blocks WHERE place < test_from + n // {evaluate.FOLDS + 1}),
+naive AS (SELECT fold, target AS actual, fees AS predicted, target - fees AS residual FROM folds WHERE role = 'test')"""
+_METRICS = f"""count(*) AS n, {r('avg(abs(residual))')} AS mae,
+  {r('1 - sum(residual * residual) / (var_pop(actual) * count(*))')} AS r2 FROM naive"""
+
+
+@query(f"""WITH {FEE_FOLDS} SELECT fold, role, count(*) AS n, CAST(min(date) AS VARCHAR) AS first_date, CAST(max(date) AS VARCHAR) AS last_date,
+  {r('avg(ln(1 + target))')} AS mean_target, {r('avg(ln(1 + week_before))')} AS mean_lag7, {r('avg(zscore)', 5)} AS mean_zscore FROM folds GROUP BY 1, 2""")
+def fee_folds(spark: SparkSession, sf: str) -> DataFrame:
+    """The spans the fee model learns from and is tested on."""
+    frame = fee_frame(spark, sf)
+    folded = evaluate.time_folds(frame.filter(F.col("fees_btc") < models.NORMAL_DAY_COINS), "date")
+    return present(folded.groupBy("fold", "role").agg(
+        F.count("*").alias("n"), F.min("date").alias("first_date"), F.max("date").alias("last_date"),
+        F.avg("target_log").alias("mean_target"), F.avg("fees_lag7_log").alias("mean_lag7"),
+        F.avg("fees_zscore").alias("mean_zscore")), mean_zscore=5)
+
+
+@query(f"""WITH {FEE_FOLDS} SELECT fold, {_METRICS} GROUP BY 1
+  UNION ALL SELECT CAST(NULL AS BIGINT), {_METRICS}""")
+def fee_persistence_cv(spark: SparkSession, sf: str) -> DataFrame:
+    """Error of the forecast a fitted model has to beat: tomorrow is as today."""
+    predictions = models.fee_persistence(fee_frame(spark, sf))
+    by_fold = evaluate.regression_metrics(predictions, ["fold"], "actual", "predicted")
+    overall = evaluate.regression_metrics(predictions, [], "actual", "predicted")
+    return present(by_fold.unionByName(overall.withColumn("fold", F.lit(None).cast("int"))))
+
+
+@query(f"""WITH {FEE_FOLDS}, ends AS (SELECT min(residual) AS lo, max(residual) AS hi, avg(residual) AS m, stddev_pop(residual) AS s FROM naive),
+  hits AS (SELECT least(floor((residual - lo) / (hi - lo) * 80), 79) AS bin, count(*) AS n FROM naive, ends GROUP BY 1)
+  SELECT CAST(g.range AS BIGINT) AS bin, {r('lo + g.range * ((hi - lo) / 80)')} AS bin_low, {r('lo + (g.range + 1) * ((hi - lo) / 80)')} AS bin_high,
+  coalesce(n, 0) AS n, {r('m')} AS mean_residual, {r('s')} AS std_residual FROM range(80) g LEFT JOIN hits ON hits.bin = g.range, ends""")
+def fee_persistence_residuals(spark: SparkSession, sf: str) -> DataFrame:
+    return _residual_bars(models.fee_persistence(fee_frame(spark, sf)))
+
+
+def _residual_bars(predictions: DataFrame) -> DataFrame:
+    rated = predictions.withColumn("residual", F.col("actual") - F.col("predicted"))
+    stored = materialized(rated, "residuals")
+    summary = evaluate.residual_summary(stored, "actual", "predicted")
+    bars = stats.histogram(stored, "residual", 80)
+    return present(bars.withColumns({
+        "mean_residual": summary.select("mean_residual").scalar(),
+        "std_residual": summary.select("std_residual").scalar(),
+    }))
+
+
 def _fee_fit(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     """Predictions and importance of the published fit, done once per content of the frame."""
     frame = materialized(fee_frame(spark, sf), "fee-frame")
@@ -92,13 +168,7 @@ def fee_gbt_cv(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def fee_residuals(spark: SparkSession, sf: str) -> DataFrame:
     """Histogram of residuals beside their mean and deviation."""
-    rated = _fee_fit(spark, sf)["predictions"].withColumn("residual", F.col("actual") - F.col("predicted"))
-    summary = evaluate.residual_summary(rated, "actual", "predicted")
-    bars = stats.histogram(rated, "residual", 80)
-    return present(bars.withColumns({
-        "mean_residual": summary.select("mean_residual").scalar(),
-        "std_residual": summary.select("std_residual").scalar(),
-    }))
+    return _residual_bars(_fee_fit(spark, sf)["predictions"])
 
 
 @query()
@@ -111,16 +181,7 @@ def _cluster_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # Standardised market days in SQL.
-CLUSTER_ROWS = t.DAILY + f""",
-day_bars AS (
-  SELECT date, arg_min(price, k) AS open, max(price) AS high, min(price) AS low, arg_max(price, k) AS close
-  FROM (SELECT CAST(l_shipdate AS DATE) AS date, l_extendedprice AS price, l_orderkey * 10 + l_linenumber AS k FROM lineitem) GROUP BY 1),
-day_returns AS (
-  SELECT *, ln(nullif(close / nullif(lag(close) OVER (ORDER BY date), 0), 0)) AS log_return FROM day_bars),
-day_measures AS (
-  SELECT date, close AS btc_price, log_return, (high - low) / nullif(open, 0) * 100 AS range_pct,
-         CASE WHEN count(log_return) OVER w = 30 THEN stddev_samp(log_return) OVER w * sqrt(365) END AS volatility
-  FROM day_returns WINDOW w AS (ORDER BY date ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)),
+CLUSTER_ROWS = MARKET_DAYS + f""",
 market AS (
   SELECT *, ln(1 + fees_btc) AS fees_log, ln(btc_price) AS price_log
   FROM (SELECT m.*, coalesce(d.fee_units / 1e8, 0) AS fees_btc FROM day_measures m LEFT JOIN daily d ON d.date = m.date)
@@ -206,6 +267,21 @@ def _walk_forward(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     return model_store.stored_once(spark, "walk-forward-fit", key, build)
 
 
+@query(f"""WITH RECURSIVE {FEATURES}, periods AS (SELECT * FROM (VALUES {", ".join(
+      f"('{p.name}', TIMESTAMP '{p.train_start}', TIMESTAMP '{p.train_end}', TIMESTAMP '{p.test_start}', TIMESTAMP '{p.test_end}')"
+      for p in (EARLY, *PERIODS))}) p(period, a, b, c, d)),
+  sizes AS (SELECT period, count(open_time) FILTER (open_time >= a AND open_time < b) AS train,
+    count(open_time) FILTER (open_time >= c AND open_time < d) AS test,
+    count(DISTINCT target) FILTER (open_time >= a AND open_time < b) AS classes
+    FROM periods LEFT JOIN (SELECT * FROM f WHERE {COMPLETE}) ON open_time >= a AND open_time < d GROUP BY 1)
+  SELECT *, CASE WHEN train >= {models.MIN_TRAIN} AND test >= {models.MIN_TEST} AND classes > 1 THEN 'fit' ELSE 'skipped' END AS status FROM sizes""")
+def walk_forward_spans(spark: SparkSession, sf: str) -> DataFrame:
+    """Sizes of every period and whether the model is fitted on it."""
+    bars = indicators.with_daily_zscore(t.stored_bars(spark, sf), t.shifted_zscores(spark, sf), lag_days=1)
+    periods = (EARLY, *PERIODS)
+    return present(models.walk_forward_spans(evaluate.with_periods(indicators.feature_matrix(bars), periods), periods))
+
+
 @query()
 def walk_forward_gbt(spark: SparkSession, sf: str) -> DataFrame:
     """Metrics per symbol and period of the fitted next-bar model."""
