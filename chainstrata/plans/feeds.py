@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from chainstrata.functions.ratios import ratio
 from chainstrata.operators import fees as fees_of, indicators, models, utxo
 from chainstrata.plans import standins as t
 from chainstrata.plans.registry import present, query, r
-from chainstrata.session import materialized, scratch_path
-from chainstrata.sources import landing, tables
+from chainstrata.session import materialized, scratch_path, shared_dir
+from chainstrata.sources import landing, model_store, tables
 from chainstrata.streaming import jobs
 
 CENTS = "CAST(round(o_totalprice * 100) AS BIGINT)"
@@ -226,9 +227,13 @@ def _bar_files(spark: SparkSession, bars: DataFrame, first_day: str) -> tuple[Da
 
 @query()
 def stream_score(spark: SparkSession, sf: str) -> DataFrame:
-    """A model fitted on the first days scores the later bars as they come, on the bars in state."""
+    """The newest stored model, fitted on the first days, scores the later bars as they come, on the bars in state."""
     history, path = _bar_files(spark, indicators.with_daily_zscore(t.bars(spark, sf), t.shifted_zscores(spark, sf), lag_days=1), "2024-01-21")
-    model = models.fit_classifier(indicators.feature_matrix(history), trees=5)
+    matrix = materialized(indicators.feature_matrix(history), "matrix")
+    folder = f"{shared_dir(spark)}/next-bar-{models.TREES}-{model_store.fingerprint(matrix)}"
+    if not model_store.versions(spark, folder):
+        model_store.save_model(models.fit_classifier(matrix), folder, "2024-01-21")
+    model = model_store.newest_model(spark, folder, GBTClassificationModel)
     stream = spark.readStream.schema(history.schema).option("maxFilesPerTrigger", 1).json(path)
     out = scratch_path(spark, "scores")
     jobs.score_ring(stream, history, lambda bars: models.score(model, indicators.feature_matrix(bars)), None, out,

@@ -164,7 +164,13 @@ def test_walk_forward_and_fee_model(spark):
     matrix = spark.createDataFrame(rows, schema)
     fit = evaluate.Period("fit", "2024-01-01", "2024-01-13", "2024-01-13", "2024-01-18")
     short = evaluate.Period("short", "2023-01-01", "2023-02-01", "2024-01-13", "2024-01-18")
-    scored = models.walk_forward(matrix, [fit, short], trees=3)
+    scored, spans = models.walk_forward(matrix, [fit, short], trees=3)
+    assert {tuple(r) for r in spans.collect()} == {("fit", 288, 120, 2, "fit"), ("short", 0, 120, 0, "skipped")}
+    nothing, spans = models.walk_forward(matrix, [short], trees=3)
+    assert nothing.isEmpty() and "probability" in nothing.columns and spans.first().status == "skipped"
+    one_class = matrix.withColumn("target", F.lit(1))
+    nothing, spans = models.walk_forward(one_class, [fit], trees=3)
+    assert nothing.isEmpty() and tuple(spans.first()) == ("fit", 288, 120, 1, "skipped")
     assert scored.select("period").distinct().collect()[0][0] == "fit"  # too few rows: left out
     hit = scored.agg(F.avg(((F.col("probability") >= 0.5).cast("int") == F.col("target")).cast("double"))).first()[0]
     assert scored.count() == 120 and hit > 0.9
