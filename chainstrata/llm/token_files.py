@@ -38,22 +38,15 @@ EVENT_BITS, ID_BITS = 12, 13
 BITS = EVENT_BITS + ID_BITS
 _SLOTS = 4096         # contexts of order 1 and of order 2 in a block
 _STATES = 32
+IDS = 1 << 28         # ids must be smaller, as a slot counts up from four times an id in 32 bits
+ESCAPE = 0xFFFF       # in place of 16 plain bits, for an id of more
 _FULL, _LEAST, _WORD = np.uint64((1 << 64) - 1), np.uint64(1 << 32), np.uint64(32)
 
 
-class _Model:
-    """Predictions of many blocks; coder and decoder move it alike.
-
-    A context's slot holds the id that followed it last, times 4, plus how often
-    in a row that was right (0 to 3); an empty slot holds -4.
-    """
+class _Chances:
+    """What blocks learn on the fixed schedule: chances of the guesses, and frequencies of ids."""
 
     def __init__(self, lanes: int):
-        self.row, self.state_row = np.arange(lanes) * _SLOTS, np.arange(lanes) * _STATES
-        self.slots1 = np.full(lanes * _SLOTS, -4, np.int32)
-        self.slots2 = np.full(lanes * _SLOTS, -4, np.int32)
-        self.last = np.zeros(lanes, np.int64)
-        self.echo = np.zeros(lanes, np.int64)  # hash of the id before the last
         # How often order 2 was right, else order 1, else neither, by state of confidence.
         self.seen = np.ones(3 * lanes * _STATES, np.int64)
         self.known: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0, np.int64), np.empty(0, np.int64))] * lanes
@@ -66,24 +59,6 @@ class _Model:
         self.cut1 = 1 + seen[:, 0] * free // total
         self.cut2 = self.cut1 + 1 + seen[:, 1] * free // total
 
-    def predict(self, n: int) -> tuple[np.ndarray, ...]:
-        """Contexts, their slots' contents, both guesses and the confidence state of the first ``n`` blocks."""
-        mixed = self.last[:n] * 0x9E3779B1
-        at1 = self.row[:n] + ((mixed >> 11) & (_SLOTS - 1))
-        at2 = self.row[:n] + (((mixed + self.echo[:n]) >> 15) & (_SLOTS - 1))
-        held1, held2 = self.slots1[at1], self.slots2[at2]
-        guess1, guess2 = held1 >> 2, held2 >> 2
-        state = self.state_row[:n] + (held2 & 3) * 8 + (held1 & 3) * 2 + (guess1 == guess2)
-        return at1, at2, held1, held2, guess1, guess2, state
-
-    def learn(self, ids: np.ndarray, event: np.ndarray, at1, at2, held1, held2, guess1, guess2, state) -> None:
-        n, fresh = len(ids), ids << 2
-        self.slots1[at1] = np.where(guess1 == ids, np.minimum(held1 + 1, fresh | 3), fresh)
-        self.slots2[at2] = np.where(event == 0, np.minimum(held2 + 1, fresh | 3), fresh)
-        self.seen[state * 3 + event] += 1
-        self.echo[:n] = self.last[:n] * 0x85EBCA77
-        self.last[:n] = ids
-
     def refresh(self, spans: list[np.ndarray]) -> None:
         """Take the ids of a span into each block's frequencies.
 
@@ -104,6 +79,84 @@ class _Model:
         self._cut_events()
 
 
+class _Model(_Chances):
+    """Predictions of many blocks, moved id by id.
+
+    A context's slot holds the id that followed it last, times 4, plus how often
+    in a row that was right (0 to 3); an empty slot holds -4.
+    """
+
+    def __init__(self, lanes: int):
+        super().__init__(lanes)
+        self.row, self.state_row = np.arange(lanes) * _SLOTS, np.arange(lanes) * _STATES
+        self.slots1 = np.full(lanes * _SLOTS, -4, np.int32)
+        self.slots2 = np.full(lanes * _SLOTS, -4, np.int32)
+        self.last = np.zeros(lanes, np.int64)
+        self.before = np.zeros(lanes, np.int64)
+
+    def predict(self, n: int) -> tuple[np.ndarray, ...]:
+        """Contexts, their slots' contents, both guesses and the confidence state of the first ``n`` blocks."""
+        slot1, slot2 = _slots(self.last[:n], self.before[:n])
+        at1, at2 = self.row[:n] + slot1, self.row[:n] + slot2
+        held1, held2 = self.slots1[at1], self.slots2[at2]
+        guess1, guess2 = held1 >> 2, held2 >> 2
+        state = self.state_row[:n] + (held2 & 3) * 8 + (held1 & 3) * 2 + (guess1 == guess2)
+        return at1, at2, held1, held2, guess1, guess2, state
+
+    def learn(self, ids: np.ndarray, event: np.ndarray, at1, at2, held1, held2, guess1, guess2, state) -> None:
+        n, fresh = len(ids), ids << 2
+        self.slots1[at1] = np.where(guess1 == ids, np.minimum(held1 + 1, fresh | 3), fresh)
+        self.slots2[at2] = np.where(event == 0, np.minimum(held2 + 1, fresh | 3), fresh)
+        self.seen[state * 3 + event] += 1
+        self.before[:n] = self.last[:n]
+        self.last[:n] = ids
+
+
+def _slots(last: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Slots of the contexts of order 1 and order 2, from the last id and the one before."""
+    mixed = last * 0x9E3779B1
+    return (mixed >> 11) & (_SLOTS - 1), ((mixed + before * 0x85EBCA77) >> 15) & (_SLOTS - 1)
+
+
+def _guesses(slots: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What each position's slot holds when all ids are known: the id that followed last (-1: none) and its confidence.
+
+    One row a block. Positions sorted by slot, then place, stand next to the one
+    that wrote their slot before; three neighbours tell a confidence of at most 3.
+    """
+    order = np.argsort(slots.astype(np.uint16), axis=1, kind="stable")
+    slots, value = np.take_along_axis(slots, order, 1), np.take_along_axis(ids, order, 1)
+    met = np.zeros(ids.shape, bool)
+    met[:, 1:] = slots[:, 1:] == slots[:, :-1]
+    guess = np.full(ids.shape, -1, np.int64)
+    guess[:, 1:] = np.where(met[:, 1:], value[:, :-1], -1)
+    right = met & (guess == value)
+    twice = right.copy()
+    twice[:, 1:] &= right[:, :-1]
+    thrice = twice.copy()
+    thrice[:, 1:] &= twice[:, :-1]
+    sure = np.zeros(ids.shape, np.int64)
+    sure[:, 1:] = np.where(met[:, 1:], right[:, :-1] + twice[:, :-1].astype(np.int64) + thrice[:, :-1], 0)
+    out = np.empty_like(guess), np.empty_like(sure)
+    for placed, found in zip(out, (guess, sure)):
+        np.put_along_axis(placed, order, found, 1)
+    return out
+
+
+def _events(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """State of confidence and event (0: order 2 is right, 1: order 1, 2: neither) of every position, one row a block."""
+    state, event = np.empty(ids.shape, np.int8), np.empty(ids.shape, np.int8)
+    for at in range(0, len(ids), 32):  # a few blocks at a time stay in the processor's cache
+        part = ids[at:at + 32]
+        last, before = np.zeros_like(part), np.zeros_like(part)
+        last[:, 1:], before[:, 2:] = part[:, :-1], part[:, :-2]
+        slot1, slot2 = _slots(last, before)
+        (guess1, sure1), (guess2, sure2) = _guesses(slot1, part), _guesses(slot2, part)
+        state[at:at + 32] = sure2 * 8 + sure1 * 2 + (guess1 == guess2)
+        event[at:at + 32] = np.where(guess2 == part, 0, np.where(guess1 == part, 1, 2))
+    return state, event
+
+
 def _blocks_by_length(blocks: list[np.ndarray]) -> list[int]:
     return sorted(range(len(blocks)), key=lambda i: -len(blocks[i]))
 
@@ -132,7 +185,7 @@ class _Writer:
     def put(self, at, start: np.ndarray, width: np.ndarray, bits: int) -> None:
         """``at`` selects blocks: a slice or an array of numbers."""
         unit, before = self.range[at] >> np.uint64(bits), self.low[at]
-        low, span = before + unit * start.view(np.uint64), unit * width.view(np.uint64)
+        low, span = before + unit * start, unit * width
         over, used = low < before, self.used[at]
         if over.any():
             self.words[used[over] - 1] += np.uint64(1)
@@ -158,47 +211,67 @@ class _Writer:
 
 
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
-    """Each block's code. Blocks are non-empty arrays of ids below 65,536."""
+    """Each block's code. Blocks are non-empty arrays of ids below 2^28.
+
+    All ids are known, so guesses, chances and shares of a span between refreshes
+    come at once; only the range coder goes from id to id.
+    """
     if not blocks:
         return []
+    if max(int(b.max()) for b in blocks) >= IDS or min(int(b.min()) for b in blocks) < 0:
+        raise ValueError(f"token ids must be from 0 to {IDS - 1}")
     order = _blocks_by_length(blocks)
     lengths = np.array([len(blocks[i]) for i in order])
-    ids = np.zeros((lengths[0], len(order)), np.int64)
+    longest, lanes = int(lengths[0]), len(order)
+    ids = np.zeros((lanes, longest), np.int64)
     for lane, i in enumerate(order):
-        ids[:len(blocks[i]), lane] = blocks[i]
-    model, out, alive = _Model(len(order)), _Writer(len(order), 2 * int(lengths[0]) + 4), _alive(lengths).tolist()
-    for begin, end in _steps(int(lengths[0])):
-        # Shares hold until the next refresh, so those of the whole span are looked up at once.
-        start, width = np.zeros((end - begin, len(order)), np.int64), np.zeros((end - begin, len(order)), np.int64)
-        spans = [ids[begin:min(end, int(lengths[lane])), lane] for lane in range(alive[begin])]
+        ids[lane, :len(blocks[i])] = blocks[i]
+    state, event = _events(ids)
+    state_row = (np.arange(lanes) * _STATES)[:, None]
+    words = 4 if int(ids.max()) >= ESCAPE else 2
+    chances, out, alive = _Chances(lanes), _Writer(lanes, words * longest + 4), _alive(lengths).tolist()
+    for begin, end in _steps(longest):
+        size, met = alive[begin], event[:alive[begin], begin:end]
+        at = state_row[:size] + state[:size, begin:end]
+        start, width = np.zeros(met.shape, np.int64), np.zeros(met.shape, np.int64)
+        spans = [ids[lane, begin:min(end, int(lengths[lane]))] for lane in range(size)]
         for lane, span in enumerate(spans):
-            start[:len(span), lane], width[:len(span), lane] = _shares(model.tables[lane], span)
-        unknown = width <= 0
-        width = np.abs(width)
-        any_unknown = unknown.any(1).tolist()
+            start[lane, :len(span)], width[lane, :len(span)] = _shares(chances.tables[lane], span)
+        fresh = ((width <= 0) & (met == 2)).T.copy()
+        cut1, cut2 = chances.cut1[at], chances.cut2[at]
+        rest = (1 << EVENT_BITS) - cut2
+        first = np.where(met == 2, (cut2 << ID_BITS) + start * rest, np.where(met == 1, cut1 << ID_BITS, 0))
+        wide = np.where(met == 2, np.abs(width) * rest, np.where(met == 1, cut2 - cut1, cut1) << ID_BITS)
+        first, wide = first.T.astype(np.uint64, order="C"), wide.T.astype(np.uint64, order="C")
+        any_fresh = fresh.any(1).tolist()
         for t in range(begin, end):
             n = alive[t]
-            now = ids[t, :n]
-            context = model.predict(n)
-            guess1, guess2, state = context[4:]
-            cut1, cut2 = model.cut1[state], model.cut2[state]
-            event = np.where(guess2 == now, 0, np.where(guess1 == now, 1, 2))
-            rest = (1 << EVENT_BITS) - cut2
-            first = np.where(event == 2, (cut2 << ID_BITS) + start[t - begin, :n] * rest, np.where(event == 1, cut1 << ID_BITS, 0))
-            wide = np.where(event == 2, width[t - begin, :n] * rest, np.where(event == 1, cut2 - cut1, cut1) << ID_BITS)
-            out.put(slice(0, n), first, wide, BITS)
-            if any_unknown[t - begin]:
-                new = np.flatnonzero(unknown[t - begin, :n] & (event == 2))
-                if len(new):
-                    out.put(new, now[new], np.ones(len(new), np.int64), 16)
-            model.learn(now, event, *context)
-        model.refresh(spans)
+            out.put(slice(0, n), first[t - begin, :n], wide[t - begin, :n], BITS)
+            if any_fresh[t - begin]:
+                new = np.flatnonzero(fresh[t - begin, :n])
+                _put_plain(out, new, ids[new, t])
+        if end < longest:
+            inside = np.arange(begin, end) < lengths[:size, None]
+            chances.seen += np.bincount((at * 3 + met)[inside], minlength=len(chances.seen))
+            chances.refresh(spans)
     result: list[bytes] = [b""] * len(blocks)
     for code, i in zip(out.close(), order):
         result[i] = code
     return result
 
 
+def _put_plain(out: _Writer, lanes: np.ndarray, ids: np.ndarray) -> None:
+    """Ids as 16 bits; those that do not fit as an escape and two halves."""
+    if not len(lanes):
+        return
+    one = lambda n: np.ones(n, np.uint64)
+    out.put(lanes, np.minimum(ids, ESCAPE).astype(np.uint64), one(len(ids)), 16)
+    large = ids >= ESCAPE
+    if large.any():
+        for half in (ids[large] >> 16, ids[large] & 0xFFFF):
+            out.put(lanes[large], half.astype(np.uint64), one(len(half)), 16)
+
+
 def _shares(table, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Start and width of each id's share; a negative width is that of unknown ids, all there is before the first refresh."""
     if table is None:
@@ -235,6 +308,20 @@ class _Reader:
         self.used[at] = used + small
         self.range[at] = np.maximum(span << shift, _LEAST)
 
+    def plain(self, at: np.ndarray) -> np.ndarray:
+        """Ids of blocks that hold an unknown one next."""
+        def half(of: np.ndarray) -> np.ndarray:
+            value, unit = self.peek(of, 16)
+            self.take(of, unit, value, np.ones(len(of), np.int64))
+            return value
+
+        ids = half(at)
+        large = np.flatnonzero(ids == ESCAPE)
+        if len(large):
+            # a damaged code may hold any bits; only those of an id are kept
+            ids[large] = (half(at[large]) << 16 | half(at[large])) & (IDS - 1)
+        return ids
+
 
 def decode_blocks(codes: list[bytes], counts: list[int]) -> list[np.ndarray]:
     """The ids of each block, from its code and its number of ids."""
@@ -265,11 +352,11 @@ def decode_blocks(codes: list[bytes], counts: list[int]) -> list[np.ndarray]:
             now = np.where(literal, values[nth], np.where(event == 1, guess1, guess2))
             new = np.flatnonzero(now < 0)
             if len(new):
-                plain, unit = source.peek(new, 16)
-                source.take(new, unit, plain, np.ones(len(new), np.int64))
-                now[new] = plain
+                now[new] = source.plain(new)
             ids[t, :n] = now
             model.learn(now, event, *context)
+        if end == int(lengths[0]):
+            break
         model.refresh([ids[begin:min(end, int(lengths[lane])), lane] for lane in range(alive[begin])])
         place, values, start, width, first = _slot_tables(model)
     result: list[np.ndarray] = [np.empty(0, np.int64)] * len(codes)
@@ -363,7 +450,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end: int, doc_
     Documents are dealt by ranges of (id, text hash), without id last; a task codes
     its range frame by frame, so memory holds one frame. Spark's committer makes
     the files whole if a task is lost. Strings of special tokens are ordinary text.
-    Ids below 65,536 only.
+    An id of 2^28 or more is an error.
     """
     with open(tokenizer_path, encoding="utf-8") as given:
         model = given.read()

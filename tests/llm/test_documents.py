@@ -171,6 +171,33 @@ def test_coder_round_trips():
     assert token_files.encode_blocks([]) == [] and token_files.decode_blocks([], []) == []
 
 
+def test_wide_ids_round_trip_and_larger_ones_are_refused():
+    rng = np.random.default_rng(5)
+    top = token_files.IDS - 1
+    blocks = [rng.integers(0, token_files.IDS, 3000), rng.integers(65_530, 65_545, 4096), np.array([65_534, 65_535, 65_536, 0, top]),
+              np.full(token_files.BLOCK, top), np.arange(token_files.BLOCK) * 70, np.tile(rng.integers(0, 200_000, 37), 100)]
+    codes = token_files.encode_blocks(blocks)
+    for block, back in zip(blocks, token_files.decode_blocks(codes, list(map(len, blocks)))):
+        assert (block == back).all()
+    # a block does not depend on those coded beside it
+    assert codes == [token_files.encode_blocks([b])[0] for b in blocks]
+    for wrong in (top + 1, -1):
+        with pytest.raises(ValueError, match="token ids"):
+            token_files.encode_blocks([np.array([1, wrong])])
+
+
+def test_states_and_events_equal_those_met_id_by_id():
+    rng = np.random.default_rng(6)
+    ids = np.stack([rng.integers(0, high, 700) for high in (1, 2, 5, 40, 50_000)] + [np.tile(rng.integers(0, 50_000, 7), 100)])
+    state, event = token_files._events(ids)
+    model = token_files._Model(len(ids))
+    for t in range(ids.shape[1]):
+        now, context = ids[:, t], model.predict(len(ids))
+        met = np.where(context[5] == now, 0, np.where(context[4] == now, 1, 2))
+        assert (context[6] - model.state_row == state[:, t]).all() and (met == event[:, t]).all()
+        model.learn(now, met, *context)
+
+
 def test_damage_is_found():
     ids = np.arange(9000) % 700
     codes, counts, checksums = token_files.pack(ids)
