@@ -13,6 +13,9 @@ from chainstrata.session import materialized, scratch_path, shared_dir
 from chainstrata.sources import landing, model_store, tables
 from chainstrata.streaming import jobs
 
+# Blocks a landed file holds at most.
+LANDED_ROWS = 50_000
+
 CENTS = "CAST(round(o_totalprice * 100) AS BIGINT)"
 
 
@@ -42,10 +45,15 @@ def _raw_blocks(orders: DataFrame, height: Column) -> DataFrame:
 
 def _landed_blocks(spark: SparkSession, sf: str) -> str:
     path = scratch_path(spark, "landed-blocks")
-    _raw_blocks(t.orders(spark, sf), t.height_of(F.col("o_orderdate"))).write.text(path)
+    _land(_raw_blocks(t.orders(spark, sf), t.height_of(F.col("o_orderdate"))), path)
     return path
 
 
+def _land(blocks: DataFrame, path: str) -> None:
+    """Compressed files, many enough to be read in parallel: such a file is not split."""
+    blocks.write.mode("append").option("maxRecordsPerFile", LANDED_ROWS).text(path, compression="lz4")
+
+
 @query(f"""WITH o AS (SELECT md5(CAST(o_orderkey AS VARCHAR)) AS id, md5(o_orderkey || 'b') AS id2, {CENTS} AS sats,
     CAST(CAST(o_orderdate AS DATE) - DATE '1995-01-01' AS BIGINT) AS height FROM orders)
   SELECT height, id AS block_hash, id AS txid, true AS is_coinbase, CAST(NULL AS VARCHAR) AS prev_txid, CAST(NULL AS BIGINT) AS prev_vout,

@@ -1,9 +1,11 @@
 import datetime as dt
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from chainstrata.plans import feeds
 from chainstrata.session import checkpointed, materialized, scratch_path, shared_dir
 from chainstrata.sources import catalog, landing, tables
 
@@ -36,6 +38,21 @@ def test_flatten_blocks(spark):
     assert [(r.vout, r.value_sats, r.script_type) for r in outputs] == [(0, 29_000_000, "pubkeyhash"), (1, 150_000_000, None)]
 
 
+def orders(spark, keys):
+    rows = [(k, "O", 10.0 + k % 97, dt.datetime(1996, 1, 1) + dt.timedelta(days=k % 50)) for k in keys]
+    return spark.createDataFrame(rows, "o_orderkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz")
+
+
+def test_landed_blocks_are_small_and_read_in_parts(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(feeds, "LANDED_ROWS", 400)
+    orders(spark, range(1000)).coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    path = feeds._landed_blocks(spark, str(tmp_path))
+    raw = spark.read.text(path)
+    assert sum(f.stat().st_size for f in Path(path).glob("part-*")) < raw.agg(F.sum(F.length("value"))).first()[0] / 2
+    assert len(list(Path(path).glob("part-*"))) == 3
+    assert feeds.flatten_blocks(spark, str(tmp_path)).count() == 2000
+
+
 def test_parse_feeds(spark):
     body = json.dumps([[1700000000000, "1.5", "2", "1", "1.7", "10", 1700000059999, "16.5", 42, "0", "0", "0"]])
     row = landing.parse_candles(spark.createDataFrame([(body,)], "value string")).first()
