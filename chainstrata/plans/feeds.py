@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -13,8 +15,9 @@ from chainstrata.session import materialized, scratch_path, shared_dir
 from chainstrata.sources import landing, model_store, tables
 from chainstrata.streaming import jobs
 
-# Blocks a landed file holds at most.
+# Blocks a landed file holds at most, and about as many batches as the loaded tables have, however long the chain.
 LANDED_ROWS = 50_000
+BATCHES = 32
 
 CENTS = "CAST(round(o_totalprice * 100) AS BIGINT)"
 
@@ -89,7 +92,10 @@ def _delivered_ledger(spark: SparkSession, sf: str) -> str:
     late, again = F.expr(LATE), F.expr(AGAIN)
     doubled = orders.filter(again).withColumn("o_totalprice", F.col("o_totalprice") * 2)
     early = key < top * 0.55
-    bottom = orders.agg(F.max("o_orderkey")).first()[0] * 9 // 10
+    highest = orders.agg(F.max("o_orderkey")).first()[0]
+    bottom = highest * 9 // 10
+    # The blocks are small, so a batch takes many, and the number of folders does not grow with the tables.
+    wide = tables.BATCH_BLOCKS * max(1, math.ceil((highest + 1) / tables.BATCH_BLOCKS / BATCHES))
 
     def follow() -> None:
         tables.refresh_batches(spark, sources, "outputs", f"{warehouse}/utxo_events",
@@ -97,8 +103,8 @@ def _delivered_ledger(spark: SparkSession, sf: str) -> str:
 
     for delivery in (orders.filter(early & ~late), orders.filter((key >= top * 0.5) & ~(early & late)),
                      orders.filter(early & late & ~again).unionByName(doubled)):
-        _raw_blocks(delivery, key).write.mode("append").text(landed)
-        jobs.ingest_blocks(spark, landed, warehouse, checkpoint).awaitTermination()
+        _land(_raw_blocks(delivery, key), landed)
+        jobs.ingest_blocks(spark, landed, warehouse, checkpoint, blocks=wide).awaitTermination()
         follow()
     tables.rollback_all(spark, [f"{warehouse}/{n}" for n in ("blocks", "txs", "inputs", "outputs")], bottom)
     follow()
@@ -111,7 +117,7 @@ def _delivered_ledger(spark: SparkSession, sf: str) -> str:
 def incremental_ingest(spark: SparkSession, sf: str) -> DataFrame:
     """Late, replaced and rolled back blocks all reach the derived events."""
     stored = spark.read.parquet(f"{_delivered_ledger(spark, sf)}/utxo_events")
-    return present(stored.groupBy("batch_id").agg(
+    return present(stored.groupBy(tables.batch_id(F.col("height")).alias("batch_id")).agg(
         F.count_if(F.col("event_type") == "create").alias("n_outputs"), F.sum("value_sats").alias("value_sats"),
         F.count_if(F.col("event_type") == "spend").alias("n_spends"),
         F.min("height").alias("first_height"), F.max("height").alias("last_height")))

@@ -11,13 +11,13 @@ from chainstrata.operators.candles import keep_one
 from chainstrata.session import at_once, scratch_path
 from chainstrata.sources import versions
 
-# Fixed value: blocks per batch.
+# Fixed value: blocks per batch, where a table is not made with another width.
 BATCH_BLOCKS = 250
 SIGNAL_SCHEMA = "timestamp string, price double, signal string, confidence double, zscore double, rsi double"
 
 
-def batch_id(height: Column) -> Column:
-    return F.floor(height / F.lit(BATCH_BLOCKS)).cast("bigint")
+def batch_id(height: Column, blocks: int = BATCH_BLOCKS) -> Column:
+    return F.floor(height / F.lit(blocks)).cast("bigint")
 
 
 def _hadoop(spark: SparkSession, path: str):
@@ -56,13 +56,16 @@ def replace_partitions(df: DataFrame, path: str, by: Sequence[str], sort: Sequen
 
 
 def write_batches(df: DataFrame, path: str, batches: Sequence[int] | None = None,
-                  built_from: dict[int, dict[str, str]] | None = None) -> None:
+                  built_from: dict[int, dict[str, str]] | None = None, blocks: int | None = None) -> None:
     """Height-keyed table in batches of blocks; rerunning a batch replaces it.
 
     ``batches`` names the batches ``df`` stands for; those without rows are removed.
-    Left out, they are found by a pass over the heights of ``df``.
+    Left out, they are found by a pass over the heights of ``df``. A batch is a folder:
+    ``blocks`` gives a new table wider ones, so that small blocks fill them. The table
+    keeps its width.
     """
-    spark, rows = df.sparkSession, df.withColumn("batch_id", batch_id(F.col("height")))
+    blocks = versions.keep_width(df.sparkSession, path, blocks, BATCH_BLOCKS)
+    spark, rows = df.sparkSession, df.withColumn("batch_id", batch_id(F.col("height"), blocks))
     if batches is None:
         batches = [r.batch_id for r in rows.select("batch_id").distinct().collect()]
     versions.begin(spark, path, batches)
@@ -94,7 +97,8 @@ def _drop_batches(spark: SparkSession, path: str, batches: Iterable[int]) -> Non
 
 def read_heights(spark: SparkSession, path: str, first: int, last: int) -> DataFrame:
     """Rows of a closed height range: whole batches are pruned, then row groups."""
-    batches = F.col("batch_id").between(first // BATCH_BLOCKS, last // BATCH_BLOCKS)
+    blocks = versions.width(spark, path, BATCH_BLOCKS)
+    batches = F.col("batch_id").between(first // blocks, last // blocks)
     return spark.read.parquet(path).filter(batches & F.col("height").between(first, last))
 
 
@@ -171,7 +175,7 @@ def rollback(spark: SparkSession, path: str, last_height: int) -> None:
 
     Tables built from this one follow with their next ``refresh_batches``.
     """
-    cut = last_height // BATCH_BLOCKS
+    cut = last_height // versions.width(spark, path, BATCH_BLOCKS)
     fs, where = _hadoop(spark, path)
     later = [s.getPath() for s in fs.listStatus(where) if s.getPath().getName().startswith("batch_id=")
              and int(s.getPath().getName().split("=")[1]) > cut]
@@ -206,7 +210,7 @@ def refresh_batches(spark: SparkSession, sources: dict[str, str], lead: str, tar
                     build: Callable[[dict[str, DataFrame]], DataFrame]) -> list[int]:
     """Bring a derived table up to date with its sources, whole batches at a time.
 
-    ``lead`` names the source whose batches the table has. Built are the batches of
+    ``lead`` names the source whose batches the table has; all sources have its width. Built are the batches of
     which any source has another version than at the last build, so late rows,
     replaced blocks and cut tails arrive; batches gone from ``lead`` are removed. A
     batch is always rebuilt completely and replaced, so reruns neither lose nor
@@ -221,7 +225,7 @@ def refresh_batches(spark: SparkSession, sources: dict[str, str], lead: str, tar
         batches = sorted(due)
         frames = {name: spark.read.parquet(path) for name, path in sources.items()}
         part = {name: f.filter(F.col("batch_id").isin(*batches)) for name, f in frames.items()}
-        write_batches(build(part), target, batches, due)
+        write_batches(build(part), target, batches, due, versions.width(spark, sources[lead], BATCH_BLOCKS))
     if due or gone:
         spark.catalog.refreshByPath(target)
     return sorted(due)

@@ -5,10 +5,11 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from chainstrata.plans import feeds
 from chainstrata.session import scratch_path
 from chainstrata.sources import tables, versions
 from chainstrata.streaming import jobs
-from test_sources import block, land
+from test_sources import block, land, orders
 from test_streaming import T0, TICKS, feed, stream, tick
 
 
@@ -115,6 +116,35 @@ def test_blocks_without_transactions_leave_no_old_rows(spark):
     assert held == {"blocks": [1, 300], "txs": [1], "inputs": [1], "outputs": [1]}
 
 
+def test_wide_batches_keep_their_width(spark):
+    landed, warehouse, state = (scratch_path(spark, n) for n in ("landed", "warehouse", "state"))
+    land(spark, landed, [block(h, 2) for h in (1, 300, 999, 1000, 2600)])
+    jobs.ingest_blocks(spark, landed, warehouse, state, blocks=1000).awaitTermination()
+    source, target = f"{warehouse}/txs", scratch_path(spark, "derived")
+    build = lambda part: part["s"].groupBy("height").agg(F.count("*").alias("v"))
+    follow = lambda: tables.refresh_batches(spark, {"s": source}, "s", target, build)
+    assert follow() == [0, 1, 2] and follow() == []
+    land(spark, landed, [block(300, 1), block(500, 1)])  # replaced and late; the width is found
+    jobs.ingest_blocks(spark, landed, warehouse, state).awaitTermination()
+    assert follow() == [0] and rows_of(spark, target) == [(1, 2), (300, 1), (500, 1), (999, 2), (1000, 2), (2600, 2)]
+    assert [r.height for r in tables.read_heights(spark, source, 999, 2500).select("height").distinct().orderBy("height").collect()] == [999, 1000]
+    tables.rollback(spark, source, 600)
+    assert follow() == [0] and rows_of(spark, target) == [(1, 2), (300, 1), (500, 1)]
+    with pytest.raises(ValueError):
+        tables.write_batches(heights(spark, (1, 1)), source, blocks=250)
+
+
+def test_batches_of_the_ledger_do_not_grow_with_the_chain(spark, tmp_path):
+    """240 batches of the usual width, each with two blocks."""
+    orders(spark, range(0, 60_001, 125)).write.parquet(f"{tmp_path}/orders.parquet")
+    warehouse = feeds._delivered_ledger(spark, str(tmp_path))
+    for name in ("blocks", "txs", "inputs", "outputs", "utxo_events"):
+        stored = spark.read.parquet(f"{warehouse}/{name}")
+        assert stored.select("batch_id").distinct().count() <= feeds.BATCHES
+        held = [r.height for r in stored.select("height").distinct().orderBy("height").collect()]
+        assert held == list(range(0, 54_001, 125))
+
+
 def test_blocks_move_once_at_most(spark):
     """A height delivered twice: only the choice of rows is shuffled apart from one join of the blocks."""
     path = scratch_path(spark, "landed")
