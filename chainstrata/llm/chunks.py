@@ -10,8 +10,14 @@ bounded and only saves time.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Callable, Iterable
+from itertools import chain, repeat
+
+import numpy as np
+import pyarrow as pa
+from tokenizers import Tokenizer
 
 # White space as Unicode has it, and Latin letters; both may be smaller than the
 # pattern's own classes, never larger, except for white space, which is equal.
@@ -23,6 +29,7 @@ PIECE = re.compile(
     f"|[{_SPACE}]*[{_SIGN}]+(?=[{_LETTER}{_SPACE}]|\\Z)"
     f"|[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
 CACHE = 300_000
+HELD = 700_000
 LONG = 64
 
 
@@ -62,3 +69,136 @@ def by_size(texts: Iterable[str | None], chars: int = 1 << 18) -> Iterable[list[
             held, size = [], 0
     if held:
         yield held
+
+
+# Kinds of bytes: blank, other white space, ASCII letter or last byte of a Latin one, digit,
+# sign, apostrophe, first byte of a Latin letter of two bytes, all others.
+_OTHER, _BLANK, _WHITE, _ALPHA, _DIGIT, _PUNCT, _QUOTE, _LEAD = range(8)
+_KIND = bytearray(256)
+for _kind, _held in ((_BLANK, b" "), (_WHITE, b"\t\n\x0b\x0c\r"), (_DIGIT, b"0123456789"), (_QUOTE, b"'"), (_LEAD, range(0xC3, 0xC9)),
+                     (_ALPHA, (*range(65, 91), *range(97, 123))), (_PUNCT, b'!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~')):
+    for _byte in _held:
+        _KIND[_byte] = _kind
+# Whether a match always ends between two bytes, the kind of the first times 16 plus that of the second.
+_CUT = bytearray(256)
+for _kind, _after in ((_ALPHA, (_BLANK, _WHITE, _DIGIT, _PUNCT, _QUOTE)), (_DIGIT, (_BLANK, _WHITE, _ALPHA, _PUNCT, _QUOTE, _LEAD)),
+                      (_PUNCT, (_BLANK, _WHITE, _ALPHA, _DIGIT, _LEAD)), (_QUOTE, (_BLANK, _WHITE, _DIGIT)),
+                      (_WHITE, (_ALPHA, _DIGIT, _PUNCT, _QUOTE, _LEAD))):
+    for _byte in _after:
+        _CUT[_kind * 16 + _byte] = 1
+_KIND, _CUT = bytes(_KIND), bytes(_CUT)
+# Pieces that are one match of the pattern, whatever stands beside them.
+SINGLE = re.compile(f" ?[{_LETTER}]+| ?[{_SIGN}]+| ?[0-9]+")
+_BYTE_SIGNS = {b: chr(b) for b in (*range(33, 127), *range(161, 173), *range(174, 256))}
+_BYTE_SIGNS |= {b: chr(256 + n) for n, b in enumerate(b for b in range(256) if b not in _BYTE_SIGNS)}
+
+
+def cut_marks(data: bytes) -> np.ndarray:
+    """For each byte of UTF-8 text, whether a match of the pattern always ends before it; all at once."""
+    kinds = np.frombuffer(bytearray(data.translate(_KIND)), np.uint8)
+    lead = np.flatnonzero(kinds[:-1] == _LEAD)
+    raw = np.frombuffer(data, np.uint8)
+    letter = (raw[lead] != 0xC3) | (raw[lead + 1] != 0x97) & (raw[lead + 1] != 0xB7)  # not the signs of multiplication and division
+    kinds[lead + 1] = np.where(letter, _ALPHA, _OTHER)
+    kinds[lead[~letter]] = _OTHER
+    marks = np.zeros(len(data), bool)
+    if len(data):
+        marks[1:] = np.frombuffer((kinds[:-1] << 4 | kinds[1:]).tobytes().translate(_CUT), bool)
+    return marks
+
+
+class TokenIds:
+    """Ids of whole texts by a byte-level tokenizer, whose model sees each different piece once while it is held.
+
+    Different pieces of many texts are found with one Arrow dictionary; what is
+    held is bounded and only saves time.
+    """
+
+    def __init__(self, model: str, limit: int = HELD):
+        self.tokenizer = Tokenizer.from_str(model)
+        self.tokenizer.encode_special_tokens = True
+        given = json.loads(model)
+        # The model may be asked for pieces that are one match, if nothing else changes them before it.
+        self.direct = given.get("normalizer") is None and all(t["special"] for t in given.get("added_tokens", ())) and \
+            {k: (given.get("pre_tokenizer") or {}).get(k) for k in ("type", "add_prefix_space", "use_regex")} == \
+            {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+        self.limit, self.known = limit, {}
+        self.ids, self.begin, self.size = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.met = np.empty(0, np.int64)  # in how many calls
+
+    def of(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts (null: none), each closed by ``end``, one text after the other, and the number of each text's ids."""
+        texts = texts.cast(pa.large_string()).fill_null("")
+        bounds = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, texts.offset * 8)
+        size = int(bounds[-1] - bounds[0])
+        data = texts.buffers()[2].slice(int(bounds[0]), size) if size else pa.py_buffer(b"")
+        bounds = bounds - bounds[0]
+        marks = cut_marks(data.to_pybytes())
+        marks[bounds[:-1][bounds[:-1] < size]] = True
+        starts = np.flatnonzero(marks)
+        pieces = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(np.append(starts, size)), data).dictionary_encode()
+        entry = self._entries(pieces.dictionary.to_numpy(zero_copy_only=False).tolist())
+        # The ids of the different pieces, then that of the end; pieces, an end after each text, take theirs.
+        sizes = self.size[entry]
+        ends = np.cumsum(sizes)
+        ids = self.ids.take(np.repeat(self.begin[entry] - ends + sizes, sizes) + np.arange(int(sizes.sum())))
+        lists = pa.LargeListArray.from_arrays(np.concatenate(([0], ends, [len(ids) + 1])), np.append(ids, np.uint32(end)))
+        last = np.searchsorted(starts, bounds[1:])
+        chosen = lists.take(pa.array(np.insert(np.asarray(pieces.indices), last, len(entry))))
+        if len(self.known) > self.limit:
+            self._forget()
+        return chosen.flatten().to_numpy(), np.diff(np.asarray(chosen.offsets)[last + np.arange(1, len(last) + 1)], prepend=0)
+
+    def _entries(self, pieces: list[str]) -> np.ndarray:
+        entries = np.fromiter(map(self.known.get, pieces, repeat(-1)), np.int64, len(pieces))
+        absent = np.flatnonzero(entries < 0)
+        if len(absent):
+            new = [pieces[i] for i in absent.tolist()]
+            ids = self._encode(new)
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+            first = len(self.size)
+            self.begin = np.concatenate((self.begin, len(self.ids) + np.cumsum(sizes) - sizes))
+            self.size = np.concatenate((self.size, sizes))
+            self.met = np.concatenate((self.met, np.zeros(len(ids), np.int64)))
+            self.ids = np.concatenate((self.ids, np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))))
+            self.known.update(zip(new, range(first, first + len(new))))
+            entries[absent] = np.arange(first, first + len(new))
+        self.met[entries] += 1
+        return entries
+
+    def _forget(self) -> None:
+        """Keep the pieces met in several calls, or none if they are too many; long ones go."""
+        keep = self.met > 1
+        if keep.sum() > self.limit // 2:
+            keep[:] = False
+        kept = np.flatnonzero(keep)
+        number = np.where(keep, np.cumsum(keep) - 1, -1).tolist()
+        self.known = {p: number[e] for p, e in self.known.items() if number[e] >= 0}
+        size = self.size[kept]
+        ends = np.cumsum(size)
+        self.ids = self.ids[np.repeat(self.begin[kept] - ends + size, size) + np.arange(int(size.sum()))]
+        self.begin, self.size, self.met = ends - size, size, self.met[kept] // 2
+
+    def _encode(self, pieces: list[str]) -> list[list[int]]:
+        out: list = [None] * len(pieces)
+        if self.direct:
+            tokenize, single = self.tokenizer.model.tokenize, SINGLE.fullmatch
+            for i, p in enumerate(pieces):
+                if single(p):
+                    signs = p.replace(" ", "Ġ") if p.isascii() else p.encode().decode("latin-1").translate(_BYTE_SIGNS)
+                    out[i] = [t.id for t in tokenize(signs)]
+        rest = [i for i, ids in enumerate(out) if ids is None]
+        for i, encoded in zip(rest, self.tokenizer.encode_batch_fast([pieces[i] for i in rest], add_special_tokens=False)):
+            out[i] = encoded.ids
+        return out
+
+
+_HELD: dict[str, TokenIds] = {}
+
+
+def token_ids(model: str) -> TokenIds:
+    """What this worker holds for a tokenizer, kept for its next tasks; one tokenizer at a time."""
+    if model not in _HELD:
+        _HELD.clear()
+        _HELD[model] = TokenIds(model)
+    return _HELD[model]

@@ -22,148 +22,162 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
-from tokenizers import Tokenizer
 
-from chainstrata.llm.chunks import PieceCache, by_size
+from chainstrata.llm.chunks import token_ids
 from chainstrata.llm.columns import shuffle_width
 from chainstrata.session import materialized, scratch_path
 
 BLOCK = 4096          # ids in a block at most
 FRAME = 1 << 21       # ids after which a frame is closed
 LANES = 512           # blocks coded side by side
+WIDE = 2048           # blocks decoded side by side, of several frames
 REFRESH = (128, 512, 1024, 2048, 3072)
 EVENT_BITS, ID_BITS = 12, 13
 BITS = EVENT_BITS + ID_BITS
 _SLOTS = 4096         # contexts of order 1 and of order 2 in a block
 _STATES = 32
-IDS = 1 << 28         # ids must be smaller, as a slot counts up from four times an id in 32 bits
-ESCAPE = 0xFFFF       # in place of 16 plain bits, for an id of more
+IDS = 1 << 28         # ids must be smaller, as their gaps take at most four times 7 bits
+_TABLE = 1 << 20      # ids below are numbered by a table, others by sorting
+_CHUNK = 16           # steps whose chances the encoder looks up at once
 _FULL, _LEAST, _WORD = np.uint64((1 << 64) - 1), np.uint64(1 << 32), np.uint64(32)
+_SHIFT, _TOP = np.uint64(BITS), np.uint64((1 << BITS) - 1)
 
 
-class _Chances:
-    """What blocks learn on the fixed schedule: chances of the guesses, and frequencies of ids."""
-
-    def __init__(self, lanes: int):
-        # How often order 2 was right, else order 1, else neither, by state of confidence.
-        self.seen = np.ones(3 * lanes * _STATES, np.int64)
-        self.known: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0, np.int64), np.empty(0, np.int64))] * lanes
-        self.tables: list = [None] * lanes
-        self._cut_events()
-
-    def _cut_events(self) -> None:
-        seen = self.seen.reshape(-1, 3)
-        free, total = (1 << EVENT_BITS) - 3, seen.sum(1)
-        self.cut1 = 1 + seen[:, 0] * free // total
-        self.cut2 = self.cut1 + 1 + seen[:, 1] * free // total
-
-    def refresh(self, spans: list[np.ndarray]) -> None:
-        """Take the ids of a span into each block's frequencies.
+class _Model:
+    """Guesses of many blocks, moved symbol by symbol.
 
-        The shares of 2^13: one for unknown ids, as if half of the known ones had
-        just appeared, then one for each known id.
-        """
-        for lane, span in enumerate(spans):
-            if not len(span):
-                continue
-            before, counts = self.known[lane]
-            values, place = np.unique(np.concatenate((before, span)), return_inverse=True)
-            total = np.bincount(place[len(before):], minlength=len(values))
-            total[place[:len(before)]] += counts
-            self.known[lane] = values, total
-            share = np.concatenate(([len(values) // 2 + 1], 2 * total))
-            width = 1 + share * ((1 << ID_BITS) - 1 - len(values)) // share.sum()
-            self.tables[lane] = values, np.concatenate(([0], np.cumsum(width)))
-        self._cut_events()
-
-
-class _Model(_Chances):
-    """Predictions of many blocks, moved id by id.
-
-    A context's slot holds the id that followed it last, times 4, plus how often
+    A context's slot holds the symbol that followed it last, times 4, plus how often
     in a row that was right (0 to 3); an empty slot holds -4.
     """
 
-    def __init__(self, lanes: int):
-        super().__init__(lanes)
+    def __init__(self, lanes: int, kind: type = np.int32):
         self.row, self.state_row = np.arange(lanes) * _SLOTS, np.arange(lanes) * _STATES
-        self.slots1 = np.full(lanes * _SLOTS, -4, np.int32)
-        self.slots2 = np.full(lanes * _SLOTS, -4, np.int32)
+        self.slots1 = np.full(lanes * _SLOTS, -4, kind)
+        self.slots2 = np.full(lanes * _SLOTS, -4, kind)
         self.last = np.zeros(lanes, np.int64)
         self.before = np.zeros(lanes, np.int64)
 
     def predict(self, n: int) -> tuple[np.ndarray, ...]:
         """Contexts, their slots' contents, both guesses and the confidence state of the first ``n`` blocks."""
-        slot1, slot2 = _slots(self.last[:n], self.before[:n])
-        at1, at2 = self.row[:n] + slot1, self.row[:n] + slot2
-        held1, held2 = self.slots1[at1], self.slots2[at2]
+        at1, at2 = _slots(self.last[:n], self.before[:n])
+        at1 += self.row[:n]
+        at2 += self.row[:n]
+        held1, held2 = self.slots1.take(at1), self.slots2.take(at2)
         guess1, guess2 = held1 >> 2, held2 >> 2
-        state = self.state_row[:n] + (held2 & 3) * 8 + (held1 & 3) * 2 + (guess1 == guess2)
+        state = ((held2 & 3) << 3) + ((held1 & 3) << 1) + (guess1 == guess2) + self.state_row[:n]
         return at1, at2, held1, held2, guess1, guess2, state
 
     def learn(self, ids: np.ndarray, event: np.ndarray, at1, at2, held1, held2, guess1, guess2, state) -> None:
-        n, fresh = len(ids), ids << 2
-        self.slots1[at1] = np.where(guess1 == ids, np.minimum(held1 + 1, fresh | 3), fresh)
-        self.slots2[at2] = np.where(event == 0, np.minimum(held2 + 1, fresh | 3), fresh)
-        self.seen[state * 3 + event] += 1
+        n, same = len(ids), ids.astype(held1.dtype)
+        fresh = same << 2
+        surest = fresh | 3
+        self.slots1[at1] = np.where(guess1 == same, np.minimum(held1 + 1, surest), fresh)
+        self.slots2[at2] = np.where(event == 0, np.minimum(held2 + 1, surest), fresh)
         self.before[:n] = self.last[:n]
         self.last[:n] = ids
 
 
 def _slots(last: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Slots of the contexts of order 1 and order 2, from the last id and the one before."""
-    mixed = last * 0x9E3779B1
-    return (mixed >> 11) & (_SLOTS - 1), ((mixed + before * 0x85EBCA77) >> 15) & (_SLOTS - 1)
+    """Slots of the contexts of order 1 and order 2, from the last symbol and the one before."""
+    return last & (_SLOTS - 1), ((last * 0x9E3779B1 + before * 0x85EBCA77) >> 15) & (_SLOTS - 1)
 
 
 def _guesses(slots: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """What each position's slot holds when all ids are known: the id that followed last (-1: none) and its confidence.
+    """What each position's slot holds when all symbols are known: the one that followed last (-1: none) and its confidence.
 
     One row a block. Positions sorted by slot, then place, stand next to the one
     that wrote their slot before; three neighbours tell a confidence of at most 3.
     """
     order = np.argsort(slots.astype(np.uint16), axis=1, kind="stable")
-    slots, value = np.take_along_axis(slots, order, 1), np.take_along_axis(ids, order, 1)
-    met = np.zeros(ids.shape, bool)
-    met[:, 1:] = slots[:, 1:] == slots[:, :-1]
-    guess = np.full(ids.shape, -1, np.int64)
-    guess[:, 1:] = np.where(met[:, 1:], value[:, :-1], -1)
+    order += (np.arange(len(ids)) * ids.shape[1])[:, None]
+    order = order.ravel()
+    slot, value = slots.ravel().take(order), ids.ravel().take(order)
+    met = np.empty(len(order), bool)
+    met[1:] = slot[1:] == slot[:-1]
+    met[::ids.shape[1]] = False
+    guess = np.full(len(order), -1, ids.dtype)
+    np.copyto(guess[1:], value[:-1], where=met[1:])
     right = met & (guess == value)
-    twice = right.copy()
-    twice[:, 1:] &= right[:, :-1]
-    thrice = twice.copy()
-    thrice[:, 1:] &= twice[:, :-1]
-    sure = np.zeros(ids.shape, np.int64)
-    sure[:, 1:] = np.where(met[:, 1:], right[:, :-1] + twice[:, :-1].astype(np.int64) + thrice[:, :-1], 0)
+    sure = np.zeros(len(order), np.int8)
+    run = right[:-1]
+    for back in range(1, 4):  # right once, twice and three times in a row before
+        sure[back:] += run
+        run = run[1:] & right[:-1 - back]
+    sure *= met
     out = np.empty_like(guess), np.empty_like(sure)
     for placed, found in zip(out, (guess, sure)):
-        np.put_along_axis(placed, order, found, 1)
-    return out
+        placed[order] = found
+    return out[0].reshape(ids.shape), out[1].reshape(ids.shape)
 
 
 def _events(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """State of confidence and event (0: order 2 is right, 1: order 1, 2: neither) of every position, one row a block."""
     state, event = np.empty(ids.shape, np.int8), np.empty(ids.shape, np.int8)
-    for at in range(0, len(ids), 32):  # a few blocks at a time stay in the processor's cache
-        part = ids[at:at + 32]
-        last, before = np.zeros_like(part), np.zeros_like(part)
+    for at in range(0, len(ids), 16):  # a few blocks at a time stay in the processor's cache
+        part = ids[at:at + 16]
+        last, before = np.zeros(part.shape, np.int64), np.zeros(part.shape, np.int64)
         last[:, 1:], before[:, 2:] = part[:, :-1], part[:, :-2]
         slot1, slot2 = _slots(last, before)
         (guess1, sure1), (guess2, sure2) = _guesses(slot1, part), _guesses(slot2, part)
-        state[at:at + 32] = sure2 * 8 + sure1 * 2 + (guess1 == guess2)
-        event[at:at + 32] = np.where(guess2 == part, 0, np.where(guess1 == part, 1, 2))
+        state[at:at + 16] = (sure2 << 3) + (sure1 << 1) + (guess1 == guess2)
+        event[at:at + 16] = np.where(guess2 == part, 0, 2 - (guess1 == part))
     return state, event
 
 
-def _blocks_by_length(blocks: list[np.ndarray]) -> list[int]:
-    return sorted(range(len(blocks)), key=lambda i: -len(blocks[i]))
+class _Chances:
+    """What blocks learn on the fixed schedule: chances of the guesses, and frequencies of symbols.
+
+    Symbols of all blocks stand one after the other, those of a block from ``first`` on.
+    """
+
+    def __init__(self, sizes: np.ndarray):
+        # How often order 2 was right, else order 1, else neither, by state of confidence.
+        self.seen = np.ones(3 * len(sizes) * _STATES, np.int64)
+        self.sizes, self.first = sizes, np.cumsum(sizes) - sizes
+        self.symbol = np.concatenate([np.arange(n, dtype=np.uint16) for n in sizes.tolist()])
+        self.share = np.ones(len(self.symbol))  # a half for each, in halves
+        self._cut()
+
+    def refresh(self, symbols: np.ndarray, marks: np.ndarray) -> None:
+        """Take a span's symbols (as places among all) and its states with their events (state * 3 + event)."""
+        self.share += 2 * np.bincount(symbols, minlength=len(self.share))
+        self.seen += np.bincount(marks, minlength=len(self.seen))
+        self._cut()
+
+    def _cut(self) -> None:
+        """Each symbol has at least one of the 2^13 shares, and by frequency of the rest.
+
+        One multiplication in double precision, cut to a whole number, is the same on any machine.
+        """
+        seen = self.seen.reshape(-1, 3)
+        free, total = (1 << EVENT_BITS) - 3, seen.sum(1)
+        cut1 = 1 + seen[:, 0] * free // total
+        self.cuts = cut1 << 16 | cut1 + 1 + seen[:, 1] * free // total
+        scale = ((1 << ID_BITS) - self.sizes) / np.add.reduceat(self.share, self.first)
+        self.width = (self.share * np.repeat(scale, self.sizes)).astype(np.int32)
+        self.width += 1
+        left = (1 << ID_BITS) - np.add.reduceat(self.width, self.first)
+        self.width += self.symbol < np.repeat(left.astype(np.uint16), self.sizes)
+        start = np.cumsum(self.width, dtype=np.int32)
+        start -= self.width
+        # all blocks together may pass 2^31, those of one cannot
+        self.spans = (start & (1 << ID_BITS) - 1) << 16 | self.width
+
+    def places(self) -> np.ndarray:
+        """For all blocks, one after the other: the symbol that each of the 2^13 shares belongs to."""
+        return np.repeat(self.symbol, self.width)
+
+
+def _blocks_by_length(lengths: list[int]) -> list[int]:
+    return sorted(range(len(lengths)), key=lambda i: -lengths[i])
 
 
-def _alive(lengths: np.ndarray) -> np.ndarray:
+def _alive(lengths: np.ndarray) -> list[int]:
     """Number of blocks, longest first, that still have an id at each step."""
-    return np.searchsorted(-lengths, -np.arange(lengths[0] if len(lengths) else 0), side="left")
+    return np.searchsorted(-lengths, -np.arange(lengths[0]), side="left").tolist()
 
 
 def _steps(longest: int) -> Iterator[tuple[int, int]]:
@@ -172,6 +186,56 @@ def _steps(longest: int) -> Iterator[tuple[int, int]]:
     return zip(cuts, cuts[1:])
 
 
+def _symbols(block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different ids of a block in order, and each position's number among them."""
+    top = int(block.max()) + 1
+    if top > _TABLE:
+        return np.unique(block, return_inverse=True)
+    held = np.zeros(top, bool)
+    held[block] = True
+    values = np.flatnonzero(held)
+    number = np.empty(top, np.int64)
+    number[values] = np.arange(len(values))
+    return values, number[block]
+
+
+def _write_ids(values: list[np.ndarray]) -> list[bytes]:
+    """Of each block: the number of its different ids, that of the bytes to come, and the gaps between ids, 7 bits a byte."""
+    gaps = np.concatenate([np.diff(v, prepend=-1) for v in values]) - 1
+    parts = np.arange(4) * 7
+    long = (gaps[:, None] >> parts[1:]) > 0
+    kept = np.concatenate((np.ones((len(gaps), 1), bool), long), axis=1)
+    more = np.concatenate((long, np.zeros((len(gaps), 1), bool)), axis=1)
+    out = ((gaps[:, None] >> parts & 127) | more << 7).astype(np.uint8)[kept]
+    sizes = np.array(list(map(len, values)))
+    used = np.add.reduceat(kept.sum(1), np.cumsum(sizes) - sizes)
+    ends = np.cumsum(used)
+    heads = np.stack((sizes, used), 1).astype("<u2")
+    return [heads[i].tobytes() + out[ends[i] - used[i]:ends[i]].tobytes() for i in range(len(values))]
+
+
+def _read_ids(codes: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Numbers of different ids, those ids of all blocks, and the rest of each code; ValueError if they cannot be."""
+    heads = np.array([np.frombuffer(c[:4].ljust(4, b"\0"), "<u2") for c in codes], np.int64)
+    sizes, used = heads[:, 0], heads[:, 1]
+    parts = [c[4:4 + n] for c, n in zip(codes, used.tolist())]
+    raw = np.frombuffer(b"".join(parts), np.uint8)
+    if (sizes < 1).any() or (sizes > BLOCK).any() or (used < sizes).any() or len(raw) != used.sum():
+        raise ValueError("a block of token ids is damaged")
+    last = raw < 128
+    begin = np.cumsum(used) - used
+    if (np.add.reduceat(last, begin, dtype=np.int64) != sizes).any() or not last[begin + used - 1].all():
+        raise ValueError("a block of token ids is damaged")
+    ends = np.flatnonzero(last)
+    starts = np.concatenate(([0], ends[:-1] + 1))
+    nth = np.arange(len(raw)) - np.repeat(starts, ends - starts + 1)
+    if nth.max() > 3:
+        raise ValueError("a block of token ids is damaged")
+    gaps = np.add.reduceat((raw & 127).astype(np.int64) << 7 * nth, starts) + 1
+    sums, first = np.cumsum(gaps), np.cumsum(sizes) - sizes
+    return sizes, sums - np.repeat(sums[first] - gaps[first], sizes) - 1, [c[4 + n:] for c, n in zip(codes, used.tolist())]
+
+
 class _Writer:
     """Range coder: 64-bit range, 32 bits put out at a time; carries run on when it closes."""
 
@@ -182,19 +246,20 @@ class _Writer:
         self.used = np.arange(lanes) * room
         self.begin = self.used.copy()
 
-    def put(self, at, start: np.ndarray, width: np.ndarray, bits: int) -> None:
-        """``at`` selects blocks: a slice or an array of numbers."""
-        unit, before = self.range[at] >> np.uint64(bits), self.low[at]
-        low, span = before + unit * start, unit * width
-        over, used = low < before, self.used[at]
+    def put(self, n: int, start: np.ndarray, width: np.ndarray) -> None:
+        """Into the first ``n`` blocks."""
+        unit, before, used = self.range[:n] >> _SHIFT, self.low[:n], self.used[:n]
+        low, span = unit * start, unit * width
+        low += before
+        over = low < before
         if over.any():
             self.words[used[over] - 1] += np.uint64(1)
         small = span < _LEAST
         self.words[used] = low >> _WORD  # a block that puts nothing out writes over it next time
-        self.used[at] = used + small
+        used += small
         shift = small * _WORD
-        self.low[at] = low << shift
-        self.range[at] = span << shift
+        np.left_shift(low, shift, out=before)
+        np.left_shift(span, shift, out=self.range[:n])
 
     def close(self) -> list[bytes]:
         out = []
@@ -211,81 +276,53 @@ class _Writer:
 
 
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
-    """Each block's code. Blocks are non-empty arrays of ids below 2^28.
+    """Each block's code. Blocks are non-empty arrays of ids below 2^28, at most 4096 of them.
 
-    All ids are known, so guesses, chances and shares of a span between refreshes
-    come at once; only the range coder goes from id to id.
+    All ids are known, so guesses, chances and shares of several steps come at
+    once; only the range coder goes from id to id.
     """
     if not blocks:
         return []
     if max(int(b.max()) for b in blocks) >= IDS or min(int(b.min()) for b in blocks) < 0:
         raise ValueError(f"token ids must be from 0 to {IDS - 1}")
-    order = _blocks_by_length(blocks)
+    order = _blocks_by_length(list(map(len, blocks)))
     lengths = np.array([len(blocks[i]) for i in order])
     longest, lanes = int(lengths[0]), len(order)
-    ids = np.zeros((lanes, longest), np.int64)
+    symbols, values = np.zeros((lanes, longest), np.int32), []
     for lane, i in enumerate(order):
-        ids[lane, :len(blocks[i])] = blocks[i]
-    state, event = _events(ids)
-    state_row = (np.arange(lanes) * _STATES)[:, None]
-    words = 4 if int(ids.max()) >= ESCAPE else 2
-    chances, out, alive = _Chances(lanes), _Writer(lanes, words * longest + 4), _alive(lengths).tolist()
+        known, symbols[lane, :len(blocks[i])] = _symbols(blocks[i])
+        values.append(known)
+    state, event = (x.T.copy() for x in _events(symbols))
+    chances, out, alive = _Chances(np.array(list(map(len, values)))), _Writer(lanes, longest + 4), _alive(lengths)
+    state_row, symbols = np.arange(lanes) * _STATES, symbols.T + chances.first
     for begin, end in _steps(longest):
-        size, met = alive[begin], event[:alive[begin], begin:end]
-        at = state_row[:size] + state[:size, begin:end]
-        start, width = np.zeros(met.shape, np.int64), np.zeros(met.shape, np.int64)
-        spans = [ids[lane, begin:min(end, int(lengths[lane]))] for lane in range(size)]
-        for lane, span in enumerate(spans):
-            start[lane, :len(span)], width[lane, :len(span)] = _shares(chances.tables[lane], span)
-        fresh = ((width <= 0) & (met == 2)).T.copy()
-        cut1, cut2 = chances.cut1[at], chances.cut2[at]
-        rest = (1 << EVENT_BITS) - cut2
-        first = np.where(met == 2, (cut2 << ID_BITS) + start * rest, np.where(met == 1, cut1 << ID_BITS, 0))
-        wide = np.where(met == 2, np.abs(width) * rest, np.where(met == 1, cut2 - cut1, cut1) << ID_BITS)
-        first, wide = first.T.astype(np.uint64, order="C"), wide.T.astype(np.uint64, order="C")
-        any_fresh = fresh.any(1).tolist()
-        for t in range(begin, end):
-            n = alive[t]
-            out.put(slice(0, n), first[t - begin, :n], wide[t - begin, :n], BITS)
-            if any_fresh[t - begin]:
-                new = np.flatnonzero(fresh[t - begin, :n])
-                _put_plain(out, new, ids[new, t])
+        marks = []
+        for t in range(begin, end, _CHUNK):
+            stop, n = min(t + _CHUNK, end), alive[t]
+            at, met, nth = state[t:stop, :n] + state_row[:n], event[t:stop, :n], symbols[t:stop, :n]
+            cuts, span = chances.cuts.take(at), chances.spans.take(nth)
+            cut1, cut2 = cuts >> 16, cuts & 0xFFFF
+            rest, literal, second = (1 << EVENT_BITS) - cut2, met == 2, met == 0
+            first = np.where(literal, (cut2 << ID_BITS) + (span >> 16) * rest, np.where(second, 0, cut1 << ID_BITS))
+            wide = np.where(literal, (span & 0xFFFF) * rest, np.where(second, cut1, cut2 - cut1) << ID_BITS)
+            first, wide = first.view(np.uint64), wide.view(np.uint64)
+            for step in range(t, stop):
+                n = alive[step]
+                out.put(n, first[step - t, :n], wide[step - t, :n])
+            marks.append((at * 3 + met).ravel() if alive[stop - 1] == alive[t] else np.concatenate(
+                [at[s - t, :alive[s]] * 3 + met[s - t, :alive[s]] for s in range(t, stop)]))
         if end < longest:
-            inside = np.arange(begin, end) < lengths[:size, None]
-            chances.seen += np.bincount((at * 3 + met)[inside], minlength=len(chances.seen))
-            chances.refresh(spans)
+            chances.refresh(np.concatenate([symbols[t, :alive[t]] for t in range(begin, end)]), np.concatenate(marks))
     result: list[bytes] = [b""] * len(blocks)
-    for code, i in zip(out.close(), order):
-        result[i] = code
+    for head, code, i in zip(_write_ids(values), out.close(), order):
+        result[i] = head + code
     return result
 
 
-def _put_plain(out: _Writer, lanes: np.ndarray, ids: np.ndarray) -> None:
-    """Ids as 16 bits; those that do not fit as an escape and two halves."""
-    if not len(lanes):
-        return
-    one = lambda n: np.ones(n, np.uint64)
-    out.put(lanes, np.minimum(ids, ESCAPE).astype(np.uint64), one(len(ids)), 16)
-    large = ids >= ESCAPE
-    if large.any():
-        for half in (ids[large] >> 16, ids[large] & 0xFFFF):
-            out.put(lanes[large], half.astype(np.uint64), one(len(half)), 16)
-
-
-def _shares(table, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and width of each id's share; a negative width is that of unknown ids, all there is before the first refresh."""
-    if table is None:
-        return np.zeros(len(ids), np.int64), np.full(len(ids), -(1 << ID_BITS), np.int64)
-    values, cuts = table
-    at = np.minimum(np.searchsorted(values, ids), len(values) - 1)
-    known = values[at] == ids
-    return np.where(known, cuts[at + 1], 0), np.where(known, cuts[at + 2] - cuts[at + 1], -cuts[1])
-
-
 class _Reader:
     def __init__(self, codes: list[bytes]):
-        words = [np.frombuffer(c, "<u4") for c in codes]
-        room = max(map(len, words)) + 2
+        words = [np.frombuffer(c, "<u4", len(c) // 4) for c in codes]
+        room = max(map(len, words)) + 3
         self.words = np.zeros(len(words) * room, np.uint64)
         for lane, w in enumerate(words):
             self.words[lane * room:lane * room + len(w)] = w
@@ -295,93 +332,71 @@ class _Reader:
         self.last = self.used + room - 3
         self.range = np.full(len(words), _FULL, np.uint64)
 
-    def peek(self, at, bits: int) -> tuple[np.ndarray, np.ndarray]:
-        unit = self.range[at] >> np.uint64(bits)
-        return np.minimum(self.code[at] // unit, np.uint64((1 << bits) - 1)).view(np.int64), unit
+    def peek(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        unit = self.range[:n] >> _SHIFT
+        target = self.code[:n] // unit
+        return np.minimum(target, _TOP, out=target).view(np.int64), unit
 
-    def take(self, at, unit: np.ndarray, start: np.ndarray, width: np.ndarray) -> None:
-        code, span = self.code[at] - unit * start.view(np.uint64), unit * width.view(np.uint64)
-        small, used = span < _LEAST, self.used[at]
+    def take(self, n: int, unit: np.ndarray, start: np.ndarray, width: np.ndarray) -> None:
+        code, span, used = self.code[:n] - unit * start.view(np.uint64), unit * width.view(np.uint64), self.used[:n]
+        small = span < _LEAST
         shift = small * _WORD
         # A damaged code may ask for more words than there are; its checksum will tell.
-        self.code[at] = code << shift | self.words[np.minimum(used, self.last[at])] * small
-        self.used[at] = used + small
-        self.range[at] = np.maximum(span << shift, _LEAST)
-
-    def plain(self, at: np.ndarray) -> np.ndarray:
-        """Ids of blocks that hold an unknown one next."""
-        def half(of: np.ndarray) -> np.ndarray:
-            value, unit = self.peek(of, 16)
-            self.take(of, unit, value, np.ones(len(of), np.int64))
-            return value
-
-        ids = half(at)
-        large = np.flatnonzero(ids == ESCAPE)
-        if len(large):
-            # a damaged code may hold any bits; only those of an id are kept
-            ids[large] = (half(at[large]) << 16 | half(at[large])) & (IDS - 1)
-        return ids
+        np.minimum(used, self.last[:n], out=used)
+        np.left_shift(code, shift, out=code)
+        np.bitwise_or(code, self.words.take(used) * small, out=self.code[:n])
+        used += small
+        np.left_shift(span, shift, out=span)
+        np.maximum(span, _LEAST, out=self.range[:n])
 
 
 def decode_blocks(codes: list[bytes], counts: list[int]) -> list[np.ndarray]:
     """The ids of each block, from its code and its number of ids."""
     if not codes:
         return []
-    order = sorted(range(len(codes)), key=lambda i: -counts[i])
-    lengths = np.array([counts[i] for i in order])
-    ids = np.zeros((lengths[0], len(order)), np.int64)
-    model, source, alive = _Model(len(order)), _Reader([codes[i] for i in order]), _alive(lengths).tolist()
-    lanes = np.arange(len(order))
-    place, values, start, width, first = _slot_tables(model)
+    order = _blocks_by_length(counts)
+    lengths, lanes = np.array([counts[i] for i in order]), len(order)
+    sizes, values, rest_codes = _read_ids([codes[i] for i in order])
+    # symbols are below 2^12, so four times one fits into 16 bits
+    chances, model, source, alive = _Chances(sizes), _Model(lanes, np.int16), _Reader(rest_codes), _alive(lengths)
+    first, row = chances.first, np.arange(lanes) << ID_BITS
+    symbols = np.zeros((lengths[0], lanes), np.int64)
     for begin, end in _steps(int(lengths[0])):
+        places, marks, spans = chances.places(), [], chances.spans
         for t in range(begin, end):
             n = alive[t]
             context = model.predict(n)
             guess1, guess2, state = context[4:]
-            cut1, cut2 = model.cut1[state], model.cut2[state]
-            target, unit = source.peek(slice(0, n), BITS)
+            cuts = chances.cuts.take(state)
+            cut1, cut2 = cuts >> 16, cuts & 0xFFFF
+            target, unit = source.peek(n)
             chance = target >> ID_BITS
-            event = (chance >= cut1).astype(np.int64) + (chance >= cut2)
+            later, literal = chance >= cut1, chance >= cut2
             rest = (1 << EVENT_BITS) - cut2
-            inside = np.clip((target - (cut2 << ID_BITS)) // rest, 0, (1 << ID_BITS) - 1)
-            nth = first[:n] + place[lanes[:n], inside]
-            literal = event == 2
-            source.take(slice(0, n), unit,
-                        np.where(literal, (cut2 << ID_BITS) + start[nth] * rest, np.where(event == 1, cut1 << ID_BITS, 0)),
-                        np.where(literal, width[nth] * rest, np.where(event == 1, cut2 - cut1, cut1) << ID_BITS))
-            now = np.where(literal, values[nth], np.where(event == 1, guess1, guess2))
-            new = np.flatnonzero(now < 0)
-            if len(new):
-                now[new] = source.plain(new)
-            ids[t, :n] = now
-            model.learn(now, event, *context)
-        if end == int(lengths[0]):
-            break
-        model.refresh([ids[begin:min(end, int(lengths[lane])), lane] for lane in range(alive[begin])])
-        place, values, start, width, first = _slot_tables(model)
+            cut2 <<= ID_BITS
+            cut1 <<= ID_BITS
+            target -= cut2
+            inside = (target / rest).astype(np.int64)
+            np.maximum(inside, 0, out=inside)
+            inside += row[:n]
+            now = places.take(inside)
+            span = spans.take(now + first[:n])
+            source.take(n, unit, np.where(literal, cut2 + (span >> 16) * rest, cut1 * later),
+                        np.where(literal, (span & 0xFFFF) * rest, np.where(later, cut2 - cut1, cut1)))
+            # a damaged code may trust a guess that is none
+            guess = np.where(later, guess1, guess2)
+            symbols[t, :n] = np.where(literal, now.view(np.int16), np.maximum(guess, 0, out=guess))
+            model.learn(symbols[t, :n], later, *context)
+            marks += state * 3 + later + literal,
+        if end < int(lengths[0]):
+            chances.refresh(np.concatenate([symbols[t, :alive[t]] + first[:alive[t]] for t in range(begin, end)]),
+                            np.concatenate(marks))
     result: list[np.ndarray] = [np.empty(0, np.int64)] * len(codes)
     for lane, i in enumerate(order):
-        result[i] = ids[:lengths[lane], lane]
+        result[i] = values[symbols[:lengths[lane], lane] + first[lane]]
     return result
 
 
-def _slot_tables(model: _Model):
-    """For all blocks: the share that each of the 2^13 places belongs to, and the shares' ids (-1: unknown), starts and widths."""
-    place = np.zeros((len(model.tables), 1 << ID_BITS), np.uint16)
-    values, start, width, first, total = [], [], [], [], 0
-    for lane, table in enumerate(model.tables):
-        known, cuts = table or (np.empty(0, np.int64), np.array([0, 1 << ID_BITS]))
-        widths = np.diff(cuts)
-        filled = np.repeat(np.arange(len(widths), dtype=np.uint16), widths)
-        place[lane, :len(filled)] = filled
-        values.append(np.concatenate(([-1], known)))
-        start.append(cuts[:-1])
-        width.append(widths)
-        first.append(total)
-        total += len(widths)
-    return place, np.concatenate(values), np.concatenate(start), np.concatenate(width), np.array(first)
-
-
 def pack(ids: np.ndarray) -> tuple[list[bytes], list[int], list[int]]:
     """Codes, numbers of ids and checksums of the blocks of a run of ids."""
     blocks = [ids[at:at + BLOCK] for at in range(0, len(ids), BLOCK)]
@@ -390,9 +405,8 @@ def pack(ids: np.ndarray) -> tuple[list[bytes], list[int], list[int]]:
 
 
 def unpack(codes: list[bytes], counts: list[int], checksums: list[int]) -> np.ndarray:
-    """The ids of a frame; raises ValueError if a block does not match its checksum."""
-    blocks = [b for at in range(0, len(codes), LANES)
-              for b in decode_blocks(codes[at:at + LANES], counts[at:at + LANES])]
+    """The ids of frames; raises ValueError if a block does not match its checksum."""
+    blocks = [b for at in range(0, len(codes), WIDE) for b in decode_blocks(codes[at:at + WIDE], counts[at:at + WIDE])]
     for block, expected in zip(blocks, checksums):
         if zlib.crc32(block.astype("<u4").tobytes()) != expected:
             raise ValueError("a block of token ids does not match its checksum")
@@ -406,44 +420,57 @@ FRAMES = ("part int, ids_before bigint, doc_ids array<bigint>, n_tokens array<bi
 def _frames(model: str, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
-        tokenizer = Tokenizer.from_str(model)
-        tokenizer.encode_special_tokens = True
-
-        def make(pieces: list[str]) -> Iterator[bytes]:
-            for encoded in tokenizer.encode_batch_fast(pieces, add_special_tokens=False):
-                yield np.array(encoded.ids, np.uint32).tobytes()
-
-        cache, closing = PieceCache(make), np.array([end], np.uint32).tobytes()
-        part, before = TaskContext.get().partitionId(), 0
+        encode, part, before = token_ids(model), TaskContext.get().partitionId(), 0
         docs, counts, held, size = [], [], [], 0
 
         def frame() -> pa.RecordBatch:
-            codes, blocks, checksums = pack(np.frombuffer(b"".join(held), np.uint32).astype(np.int64))
-            columns = [[part], [before], [docs], [counts], [codes], [blocks], [checksums]]
-            kinds = [pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.binary()),
-                     pa.list_(pa.int32()), pa.list_(pa.int64())]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
-                                              ["part", "ids_before", "doc_ids", "n_tokens", "codes", "block_ids", "checksums"])
-
-        for batch in batches:
-            ids, at = batch.column(0).to_pylist(), 0
-            for texts in by_size(t.as_py() for t in batch.column(1)):
-                for pieces in cache.of(texts):
-                    coded = b"".join([*pieces, closing])
-                    docs.append(ids[at])
-                    counts.append(len(coded) // 4)
-                    held.append(coded)
-                    size += counts[-1]
-                    at += 1
-                    if size >= FRAME:
-                        yield frame()
-                        before += size
-                        docs, counts, held, size = [], [], [], 0
+            codes, blocks, checksums = pack(np.concatenate(held))
+            ids = pa.concat_arrays(docs)
+            columns = [pa.array([part], pa.int32()), pa.array([before], pa.int64()), pa.ListArray.from_arrays([0, len(ids)], ids),
+                       pa.array([np.concatenate(counts)], pa.list_(pa.int64())), pa.array([codes], pa.list_(pa.binary())),
+                       pa.array([blocks], pa.list_(pa.int32())), pa.array([checksums], pa.list_(pa.int64()))]
+            return pa.RecordBatch.from_arrays(columns, ["part", "ids_before", "doc_ids", "n_tokens", "codes", "block_ids", "checksums"])
+
+        for doc_ids, texts in _by_bytes(batches):
+            ids, n = encode.of(texts, end)
+            at, done = 0, 0
+            ends = np.cumsum(n)
+            while at < len(n):
+                # a frame closes with the document that fills it
+                stop = min(int(np.searchsorted(ends, done + FRAME - size)) + 1, len(n))
+                docs.append(doc_ids[at:stop])
+                counts.append(n[at:stop])
+                held.append(ids[done:ends[stop - 1]])
+                size += int(ends[stop - 1]) - done
+                at, done = stop, int(ends[stop - 1])
+                if size >= FRAME:
+                    yield frame()
+                    before += size
+                    docs, counts, held, size = [], [], [], 0
         if docs:
             yield frame()
     return run
 
 
+def _by_bytes(batches: Iterator[pa.RecordBatch], most: int = 1 << 23) -> Iterator[tuple[pa.Array, pa.Array]]:
+    """Ids and texts in runs of about ``most`` bytes, at least one text each."""
+    ids, texts, held = [], [], 0
+    for batch in batches:
+        lengths = np.cumsum(pc.binary_length(batch.column(1)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at, done = 0, 0
+        while at < len(lengths):
+            stop = min(int(np.searchsorted(lengths, done + most - held)) + 1, len(lengths))
+            ids.append(batch.column(0)[at:stop])
+            texts.append(batch.column(1)[at:stop])
+            held += int(lengths[stop - 1]) - done
+            at, done = stop, int(lengths[stop - 1])
+            if held >= most:
+                yield pa.concat_arrays(ids), pa.concat_arrays(texts)
+                ids, texts, held = [], [], 0
+    if ids:
+        yield pa.concat_arrays(ids), pa.concat_arrays(texts)
+
+
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end: int, doc_id: str = "doc_id", text: str = "text") -> None:
     """Encode whole texts (null: empty), each closed by ``end``, and write them in ascending order of id.
 
@@ -462,16 +489,24 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end: int, doc_
 
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for row in range(batch.num_rows):
-            one = {name: batch.column(name)[row] for name in ("part", "ids_before", "doc_ids", "n_tokens", "codes", "block_ids", "checksums")}
-            ids = unpack(*(one[c].as_py() for c in ("codes", "block_ids", "checksums"))).astype("<u4")
-            counts = one["n_tokens"].as_py()
-            cuts = np.concatenate(([0], np.cumsum(counts)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([one["part"].as_py()] * len(counts), pa.int32()), one["doc_ids"].values,
-                 pa.array(cuts[:-1] + one["ids_before"].as_py()), pa.array(counts, pa.int64()),
-                 pa.array([ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary())],
-                ["part", "doc_id", "start_in_part", "n_tokens", "ids"])
+        blocks = pc.list_value_length(batch.column("codes")).to_numpy()
+        at = 0
+        while at < len(blocks):
+            # as many whole frames as are decoded side by side, at least one
+            stop = at + max(1, int(np.searchsorted(np.cumsum(blocks[at:]), WIDE, side="right")))
+            held = {name: batch.column(name)[at:stop] for name in batch.schema.names}
+            ids = unpack(*(held[c].flatten().to_pylist() for c in ("codes", "block_ids", "checksums")))
+            for row in range(stop - at):
+                counts = held["n_tokens"][row].values.to_numpy()
+                cuts = np.concatenate(([0], np.cumsum(counts)))
+                own, ids = pa.py_buffer(ids[:cuts[-1]].astype("<u4")), ids[cuts[-1]:]
+                # Arrow's binary columns end at 2^31 bytes, wide ones do not
+                texts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(counts), [None, pa.py_buffer(4 * cuts), own])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(counts), held["part"][row].as_py(), np.int32)), held["doc_ids"][row].values,
+                     pa.array(cuts[:-1] + held["ids_before"][row].as_py()), pa.array(counts), texts.cast(pa.binary())],
+                    ["part", "doc_id", "start_in_part", "n_tokens", "ids"])
+            at = stop
 
 
 def read_tokens(frames: DataFrame) -> DataFrame:
