@@ -17,6 +17,7 @@ from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 # White space as Unicode has it, and Latin letters; both may be smaller than the
@@ -104,6 +105,9 @@ def cut_marks(data: bytes) -> np.ndarray:
     marks = np.zeros(len(data), bool)
     if len(data):
         marks[1:] = np.frombuffer((kinds[:-1] << 4 | kinds[1:]).tobytes().translate(_CUT), bool)
+        # White space before a match goes elsewhere if more of it stands before; alone it is a match.
+        white = np.flatnonzero(kinds[:-1] == _WHITE)
+        marks[white + 1] &= marks[white]
     return marks
 
 
@@ -122,9 +126,10 @@ class TokenIds:
         self.direct = given.get("normalizer") is None and all(t["special"] for t in given.get("added_tokens", ())) and \
             {k: (given.get("pre_tokenizer") or {}).get(k) for k in ("type", "add_prefix_space", "use_regex")} == \
             {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
-        self.limit, self.known = limit, {}
-        self.ids, self.begin, self.size = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
-        self.met = np.empty(0, np.int64)  # in how many calls
+        self.limit = limit
+        self.known = pa.array([], pa.large_string())
+        self.ids, self.offsets = np.empty(0, np.uint32), np.zeros(1, np.int64)  # those of a piece end where the next one's start
+        self.met = np.empty(0, np.int64)
 
     def of(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts (null: none), each closed by ``end``, one text after the other, and the number of each text's ids."""
@@ -136,48 +141,36 @@ class TokenIds:
         marks = cut_marks(data.to_pybytes())
         marks[bounds[:-1][bounds[:-1] < size]] = True
         starts = np.flatnonzero(marks)
-        pieces = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(np.append(starts, size)), data).dictionary_encode()
-        entry = self._entries(pieces.dictionary.to_numpy(zero_copy_only=False).tolist())
-        # The ids of the different pieces, then that of the end; pieces, an end after each text, take theirs.
-        sizes = self.size[entry]
-        ends = np.cumsum(sizes)
-        ids = self.ids.take(np.repeat(self.begin[entry] - ends + sizes, sizes) + np.arange(int(sizes.sum())))
-        lists = pa.LargeListArray.from_arrays(np.concatenate(([0], ends, [len(ids) + 1])), np.append(ids, np.uint32(end)))
+        entry = self._entries(pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(np.append(starts, size)), data))
+        # Pieces take their ids, an end after each text that of one more entry.
+        lists = pa.LargeListArray.from_arrays(np.append(self.offsets, len(self.ids) + 1), np.append(self.ids, np.uint32(end)))
         last = np.searchsorted(starts, bounds[1:])
-        chosen = lists.take(pa.array(np.insert(np.asarray(pieces.indices), last, len(entry))))
+        chosen = lists.take(pa.array(np.insert(entry, last, len(self.known))))
         if len(self.known) > self.limit:
             self._forget()
         return chosen.flatten().to_numpy(), np.diff(np.asarray(chosen.offsets)[last + np.arange(1, len(last) + 1)], prepend=0)
 
-    def _entries(self, pieces: list[str]) -> np.ndarray:
-        entries = np.fromiter(map(self.known.get, pieces, repeat(-1)), np.int64, len(pieces))
-        absent = np.flatnonzero(entries < 0)
-        if len(absent):
-            new = [pieces[i] for i in absent.tolist()]
-            ids = self._encode(new)
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            first = len(self.size)
-            self.begin = np.concatenate((self.begin, len(self.ids) + np.cumsum(sizes) - sizes))
-            self.size = np.concatenate((self.size, sizes))
-            self.met = np.concatenate((self.met, np.zeros(len(ids), np.int64)))
-            self.ids = np.concatenate((self.ids, np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))))
-            self.known.update(zip(new, range(first, first + len(new))))
-            entries[absent] = np.arange(first, first + len(new))
-        self.met[entries] += 1
-        return entries
+    def _entries(self, pieces: pa.Array) -> np.ndarray:
+        if not len(pieces):
+            return np.empty(0, np.int32)
+        # The pieces held stand first, so each keeps its number; new ones follow.
+        coded, held = pieces.dictionary_encode(), len(self.known)
+        both = pa.chunked_array([self.known, coded.dictionary]).dictionary_encode().chunk(int(held > 0))
+        entry, self.known = np.asarray(both.indices).take(np.asarray(coded.indices)), both.dictionary
+        new = self._encode(self.known[held:].to_numpy(zero_copy_only=False).tolist())
+        sizes = np.fromiter(map(len, new), np.int64, len(new))
+        self.offsets = np.concatenate((self.offsets, self.offsets[-1] + np.cumsum(sizes)))
+        self.ids = np.concatenate((self.ids, np.fromiter(chain.from_iterable(new), np.uint32, int(sizes.sum()))))
+        self.met = np.bincount(entry, minlength=len(self.known)) + np.pad(self.met, (0, len(new)))
+        return entry
 
     def _forget(self) -> None:
-        """Keep the pieces met in several calls, or none if they are too many; long ones go."""
-        keep = self.met > 1
-        if keep.sum() > self.limit // 2:
-            keep[:] = False
-        kept = np.flatnonzero(keep)
-        number = np.where(keep, np.cumsum(keep) - 1, -1).tolist()
-        self.known = {p: number[e] for p, e in self.known.items() if number[e] >= 0}
-        size = self.size[kept]
-        ends = np.cumsum(size)
-        self.ids = self.ids[np.repeat(self.begin[kept] - ends + size, size) + np.arange(int(size.sum()))]
-        self.begin, self.size, self.met = ends - size, size, self.met[kept] // 2
+        """Keep the pieces met most often, at most half of the limit; none that is long."""
+        least = max(2, int(np.partition(self.met, -(self.limit // 2))[-(self.limit // 2)]) + 1)
+        keep = (self.met >= least) & (np.asarray(pc.binary_length(self.known)) <= LONG)
+        sizes = np.diff(self.offsets)
+        self.ids, self.offsets = self.ids[np.repeat(keep, sizes)], np.concatenate(([0], np.cumsum(sizes[keep])))
+        self.known, self.met = self.known.filter(pa.array(keep)), self.met[keep] // 2
 
     def _encode(self, pieces: list[str]) -> list[list[int]]:
         out: list = [None] * len(pieces)

@@ -2,16 +2,18 @@
 
 A file is a table of frames; a frame holds the ids of whole, consecutive documents
 in blocks. Every block starts from an empty model, has its own checksum and decodes
-on its own. Three predictors work inside a block: the id that followed the last two
-ids when they last occurred (order 2), the same for the last id (order 1), and the
-frequencies so far (order 0). For each state of confidence of the first two, the
-block learns how often either is right; these mixed chances, and the order-0
-frequencies for all other ids, drive a range coder with 64-bit range and 32-bit
-output. Model and coder use whole numbers only, so that any machine decodes what
-another has coded.
+on its own. It begins with its different ids, in order; what follows speaks of
+symbols, an id's number among those. Three predictors work inside a block: the
+symbol that followed the last two when they last occurred (order 2), the same for
+the last one (order 1), and the frequencies so far (order 0). For each state of
+confidence of the first two, the block learns how often either is right; these
+mixed chances, and the order-0 frequencies for all other symbols, drive a range
+coder with 64-bit range and 32-bit output. The coder uses whole numbers only, and
+the model's few divisions and products in double precision are cut to whole
+numbers, so that any machine decodes what another has coded.
 
 Many blocks are coded side by side: step t of all blocks is one set of numpy calls.
-Frequencies are refreshed on a fixed schedule of positions, the predictors at every id.
+Frequencies are refreshed on a fixed schedule of positions, the predictors at every symbol.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ FRAME = 1 << 21       # ids after which a frame is closed
 LANES = 512           # blocks coded side by side
 WIDE = 2048           # blocks decoded side by side, of several frames
 REFRESH = (128, 512, 1024, 2048, 3072)
-EVENT_BITS, ID_BITS = 12, 13
+EVENT_BITS, ID_BITS = 12, 12
 BITS = EVENT_BITS + ID_BITS
 _SLOTS = 4096         # contexts of order 1 and of order 2 in a block
 _STATES = 32
@@ -71,18 +73,17 @@ class _Model:
         return at1, at2, held1, held2, guess1, guess2, state
 
     def learn(self, ids: np.ndarray, event: np.ndarray, at1, at2, held1, held2, guess1, guess2, state) -> None:
-        n, same = len(ids), ids.astype(held1.dtype)
+        same = ids.astype(held1.dtype)
         fresh = same << 2
         surest = fresh | 3
         self.slots1[at1] = np.where(guess1 == same, np.minimum(held1 + 1, surest), fresh)
         self.slots2[at2] = np.where(event == 0, np.minimum(held2 + 1, surest), fresh)
-        self.before[:n] = self.last[:n]
-        self.last[:n] = ids
+        self.before, self.last = self.last, ids
 
 
 def _slots(last: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Slots of the contexts of order 1 and order 2, from the last symbol and the one before."""
-    return last & (_SLOTS - 1), ((last * 0x9E3779B1 + before * 0x85EBCA77) >> 15) & (_SLOTS - 1)
+    return last & (_SLOTS - 1), (last * 2531 + before) & (_SLOTS - 1)
 
 
 def _guesses(slots: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -148,14 +149,14 @@ class _Chances:
         self._cut()
 
     def _cut(self) -> None:
-        """Each symbol has at least one of the 2^13 shares, and by frequency of the rest.
+        """Each symbol has at least one of the 2^12 shares, and by frequency of the rest.
 
         One multiplication in double precision, cut to a whole number, is the same on any machine.
         """
         seen = self.seen.reshape(-1, 3)
         free, total = (1 << EVENT_BITS) - 3, seen.sum(1)
         cut1 = 1 + seen[:, 0] * free // total
-        self.cuts = cut1 << 16 | cut1 + 1 + seen[:, 1] * free // total
+        self.cuts = (cut1 << 16 | cut1 + 1 + seen[:, 1] * free // total).astype(np.int32)
         scale = ((1 << ID_BITS) - self.sizes) / np.add.reduceat(self.share, self.first)
         self.width = (self.share * np.repeat(scale, self.sizes)).astype(np.int32)
         self.width += 1
@@ -163,11 +164,11 @@ class _Chances:
         self.width += self.symbol < np.repeat(left.astype(np.uint16), self.sizes)
         start = np.cumsum(self.width, dtype=np.int32)
         start -= self.width
-        # all blocks together may pass 2^31, those of one cannot
+        # a block's shares are 2^12 in all, so what is left over counts within the block
         self.spans = (start & (1 << ID_BITS) - 1) << 16 | self.width
 
     def places(self) -> np.ndarray:
-        """For all blocks, one after the other: the symbol that each of the 2^13 shares belongs to."""
+        """For all blocks, one after the other: the symbol that each of the 2^12 shares belongs to."""
         return np.repeat(self.symbol, self.width)
 
 
@@ -186,23 +187,28 @@ def _steps(longest: int) -> Iterator[tuple[int, int]]:
     return zip(cuts, cuts[1:])
 
 
-def _symbols(block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The different ids of a block in order, and each position's number among them."""
-    top = int(block.max()) + 1
-    if top > _TABLE:
-        return np.unique(block, return_inverse=True)
-    held = np.zeros(top, bool)
-    held[block] = True
-    values = np.flatnonzero(held)
-    number = np.empty(top, np.int64)
-    number[values] = np.arange(len(values))
-    return values, number[block]
+class _Numbers:
+    """Numbers the different ids of a block in order."""
+
+    def __init__(self, top: int):
+        self.held, self.number = (np.zeros(top, bool), np.empty(top, np.int32)) if top <= _TABLE else (None, None)
+
+    def of(self, block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The different ids, and each position's number among them."""
+        if self.held is None:
+            return np.unique(block, return_inverse=True)
+        block = block.astype(np.int64, copy=False)
+        self.held[block] = True
+        values = np.flatnonzero(self.held)
+        self.held[values] = False
+        self.number[values] = np.arange(len(values), dtype=np.int32)
+        return values, self.number.take(block)
 
 
 def _write_ids(values: list[np.ndarray]) -> list[bytes]:
     """Of each block: the number of its different ids, that of the bytes to come, and the gaps between ids, 7 bits a byte."""
     gaps = np.concatenate([np.diff(v, prepend=-1) for v in values]) - 1
-    parts = np.arange(4) * 7
+    parts = np.arange(4)[:1 + max(int(gaps.max()).bit_length() - 1, 0) // 7] * 7
     long = (gaps[:, None] >> parts[1:]) > 0
     kept = np.concatenate((np.ones((len(gaps), 1), bool), long), axis=1)
     more = np.concatenate((long, np.zeros((len(gaps), 1), bool)), axis=1)
@@ -283,14 +289,17 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     """
     if not blocks:
         return []
-    if max(int(b.max()) for b in blocks) >= IDS or min(int(b.min()) for b in blocks) < 0:
+    top = max(int(b.max()) for b in blocks)
+    if top >= IDS or min(int(b.min()) for b in blocks) < 0:
         raise ValueError(f"token ids must be from 0 to {IDS - 1}")
+    if max(map(len, blocks)) > BLOCK:
+        raise ValueError(f"a block has at most {BLOCK} token ids")
     order = _blocks_by_length(list(map(len, blocks)))
     lengths = np.array([len(blocks[i]) for i in order])
     longest, lanes = int(lengths[0]), len(order)
-    symbols, values = np.zeros((lanes, longest), np.int32), []
+    symbols, values, numbers = np.zeros((lanes, longest), np.int32), [], _Numbers(top + 1)
     for lane, i in enumerate(order):
-        known, symbols[lane, :len(blocks[i])] = _symbols(blocks[i])
+        known, symbols[lane, :len(blocks[i])] = numbers.of(blocks[i])
         values.append(known)
     state, event = (x.T.copy() for x in _events(symbols))
     chances, out, alive = _Chances(np.array(list(map(len, values)))), _Writer(lanes, longest + 4), _alive(lengths)
@@ -305,7 +314,7 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
             rest, literal, second = (1 << EVENT_BITS) - cut2, met == 2, met == 0
             first = np.where(literal, (cut2 << ID_BITS) + (span >> 16) * rest, np.where(second, 0, cut1 << ID_BITS))
             wide = np.where(literal, (span & 0xFFFF) * rest, np.where(second, cut1, cut2 - cut1) << ID_BITS)
-            first, wide = first.view(np.uint64), wide.view(np.uint64)
+            first, wide = first.astype(np.uint64), wide.astype(np.uint64)
             for step in range(t, stop):
                 n = alive[step]
                 out.put(n, first[step - t, :n], wide[step - t, :n])
@@ -323,11 +332,11 @@ class _Reader:
     def __init__(self, codes: list[bytes]):
         words = [np.frombuffer(c, "<u4", len(c) // 4) for c in codes]
         room = max(map(len, words)) + 3
-        self.words = np.zeros(len(words) * room, np.uint64)
+        self.words = np.zeros(len(words) * room, np.uint32)
         for lane, w in enumerate(words):
             self.words[lane * room:lane * room + len(w)] = w
         self.used = np.arange(len(words)) * room
-        self.code = self.words[self.used] << _WORD | self.words[self.used + 1]
+        self.code = self.words[self.used].astype(np.uint64) << _WORD | self.words[self.used + 1]
         self.used += 2
         self.last = self.used + room - 3
         self.range = np.full(len(words), _FULL, np.uint64)
@@ -335,10 +344,10 @@ class _Reader:
     def peek(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         unit = self.range[:n] >> _SHIFT
         target = self.code[:n] // unit
-        return np.minimum(target, _TOP, out=target).view(np.int64), unit
+        return np.minimum(target, _TOP, out=target).astype(np.int32), unit
 
     def take(self, n: int, unit: np.ndarray, start: np.ndarray, width: np.ndarray) -> None:
-        code, span, used = self.code[:n] - unit * start.view(np.uint64), unit * width.view(np.uint64), self.used[:n]
+        code, span, used = self.code[:n] - unit * start.astype(np.uint64), unit * width.astype(np.uint64), self.used[:n]
         small = span < _LEAST
         shift = small * _WORD
         # A damaged code may ask for more words than there are; its checksum will tell.
@@ -360,7 +369,7 @@ def decode_blocks(codes: list[bytes], counts: list[int]) -> list[np.ndarray]:
     # symbols are below 2^12, so four times one fits into 16 bits
     chances, model, source, alive = _Chances(sizes), _Model(lanes, np.int16), _Reader(rest_codes), _alive(lengths)
     first, row = chances.first, np.arange(lanes) << ID_BITS
-    symbols = np.zeros((lengths[0], lanes), np.int64)
+    symbols = np.zeros((lengths[0], lanes), np.int16)
     for begin, end in _steps(int(lengths[0])):
         places, marks, spans = chances.places(), [], chances.spans
         for t in range(begin, end):
@@ -385,15 +394,19 @@ def decode_blocks(codes: list[bytes], counts: list[int]) -> list[np.ndarray]:
                         np.where(literal, (span & 0xFFFF) * rest, np.where(later, cut2 - cut1, cut1)))
             # a damaged code may trust a guess that is none
             guess = np.where(later, guess1, guess2)
-            symbols[t, :n] = np.where(literal, now.view(np.int16), np.maximum(guess, 0, out=guess))
-            model.learn(symbols[t, :n], later, *context)
+            now = np.where(literal, now.view(np.int16), np.maximum(guess, 0, out=guess))
+            symbols[t, :n] = now
+            model.learn(now.astype(np.int64), later, *context)
             marks += state * 3 + later + literal,
         if end < int(lengths[0]):
             chances.refresh(np.concatenate([symbols[t, :alive[t]] + first[:alive[t]] for t in range(begin, end)]),
                             np.concatenate(marks))
-    result: list[np.ndarray] = [np.empty(0, np.int64)] * len(codes)
+    ids, values = np.empty((lanes, len(symbols)), np.uint32), values.astype(np.uint32)
+    for t in range(0, len(symbols), 64):  # a few steps at a time stay in the processor's cache
+        ids[:, t:t + 64] = values.take(symbols[t:t + 64] + first).T
+    result: list[np.ndarray] = [np.empty(0, np.uint32)] * len(codes)
     for lane, i in enumerate(order):
-        result[i] = values[symbols[:lengths[lane], lane] + first[lane]]
+        result[i] = ids[lane, :lengths[lane]]
     return result
 
 
@@ -401,16 +414,16 @@ def pack(ids: np.ndarray) -> tuple[list[bytes], list[int], list[int]]:
     """Codes, numbers of ids and checksums of the blocks of a run of ids."""
     blocks = [ids[at:at + BLOCK] for at in range(0, len(ids), BLOCK)]
     codes = [c for at in range(0, len(blocks), LANES) for c in encode_blocks(blocks[at:at + LANES])]
-    return codes, [len(b) for b in blocks], [zlib.crc32(b.astype("<u4").tobytes()) for b in blocks]
+    return codes, [len(b) for b in blocks], [zlib.crc32(b.astype("<u4")) for b in blocks]
 
 
 def unpack(codes: list[bytes], counts: list[int], checksums: list[int]) -> np.ndarray:
     """The ids of frames; raises ValueError if a block does not match its checksum."""
     blocks = [b for at in range(0, len(codes), WIDE) for b in decode_blocks(codes[at:at + WIDE], counts[at:at + WIDE])]
     for block, expected in zip(blocks, checksums):
-        if zlib.crc32(block.astype("<u4").tobytes()) != expected:
+        if zlib.crc32(block.astype("<u4", copy=False)) != expected:
             raise ValueError("a block of token ids does not match its checksum")
-    return np.concatenate(blocks) if blocks else np.empty(0, np.int64)
+    return np.concatenate(blocks) if blocks else np.empty(0, np.uint32)
 
 
 FRAMES = ("part int, ids_before bigint, doc_ids array<bigint>, n_tokens array<bigint>, "
@@ -499,8 +512,8 @@ def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for row in range(stop - at):
                 counts = held["n_tokens"][row].values.to_numpy()
                 cuts = np.concatenate(([0], np.cumsum(counts)))
-                own, ids = pa.py_buffer(ids[:cuts[-1]].astype("<u4")), ids[cuts[-1]:]
-                # Arrow's binary columns end at 2^31 bytes, wide ones do not
+                own, ids = pa.py_buffer(ids[:cuts[-1]].astype("<u4", copy=False)), ids[cuts[-1]:]
+                # the cast raises if a frame passes the 2^31 bytes of a binary column
                 texts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(counts), [None, pa.py_buffer(4 * cuts), own])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(counts), held["part"][row].as_py(), np.int32)), held["doc_ids"][row].values,

@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from chainstrata.llm import bpe, line_dedup, mixing, quality, simhash, token_files, toxicity
-from chainstrata.llm.chunks import PIECE
+from chainstrata.llm.chunks import PIECE, TokenIds, cut_marks, token_ids
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, _id string, row int, label string, size int"
 BASE = " ".join(f"word{i}" for i in range(300))
@@ -160,6 +161,82 @@ def test_pieces_are_safe_places_to_cut(ranks):
         assert plain.encode_ordinary(text) == [x for p in pieces for x in plain.encode_ordinary(p)]
 
 
+def _odd_texts(n):
+    rng = random.Random(2)
+    signs = list("ab'sSdé zÿ 12!*.-\n\t\x1c\x85\xa0\u2003\u3000д́中ʰ²½ßͅ_`ǅ×÷Àɏɐ")
+    return ["".join(rng.choice(signs) for _ in range(rng.randint(1, 14))) for _ in range(n)]
+
+
+def test_marks_are_safe_places_to_cut(ranks):
+    plain = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    for text in _odd_texts(20_000):
+        data = text.encode()
+        at = [0, *np.flatnonzero(cut_marks(data)).tolist(), len(data)]
+        pieces = [data[a:b].decode() for a, b in zip(at, at[1:]) if b > a]
+        assert "".join(pieces) == text
+        assert plain.encode_ordinary(text) == [x for p in pieces for x in plain.encode_ordinary(p)]
+
+
+def test_ids_of_many_texts_equal_those_of_each_and_a_piece_is_encoded_once():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    plain = Tokenizer.from_file(path)
+    plain.encode_special_tokens = True
+    texts = [None, "", *_odd_texts(3000), "<|endoftext|>", "x" * 300, None, "été l'été " * 9, ""]
+    want = [[*e.ids, 2] for e in plain.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    for limit in (700_000, 50):  # the smaller one forgets after every call
+        encode, asked = TokenIds(open(path, encoding="utf-8").read(), limit), []
+        own = encode._encode
+        encode._encode = lambda pieces: asked.extend(pieces) or own(pieces)
+        for at, stop in ((0, 1000), (1000, len(texts)), (1, 1), (0, 2), (0, len(texts))):
+            ids, n = encode.of(pa.array(texts, pa.string())[at:stop], 2)
+            assert np.split(ids, np.cumsum(n)[:-1])[0].tolist() == (want[at] if stop > at else [])
+            assert n.tolist() == list(map(len, want[at:stop])) and ids.tolist() == [x for w in want[at:stop] for x in w]
+        assert (len(asked) == len(set(asked))) == (limit > 50)
+    model = open(path, encoding="utf-8").read()
+    assert token_ids(model) is token_ids(model)  # a worker's next task finds what is held
+
+
+def test_a_block_begins_with_its_own_ids():
+    # as many different ids as a block can have, each once: the gaps alone are coded in a byte each
+    ids = np.random.default_rng(4).permutation(np.arange(token_files.BLOCK) * 12)
+    code = token_files.encode_blocks([ids])[0]
+    assert (token_files.decode_blocks([code], [len(ids)])[0] == ids).all()
+    assert len(code) < len(ids) * (8 + 13) / 8
+    with pytest.raises(ValueError, match="at most"):
+        token_files.encode_blocks([np.arange(token_files.BLOCK + 1)])
+
+
+def test_any_damaged_byte_is_found():
+    ids = np.random.default_rng(7).integers(0, 60_000, 1500) % 900 * 61
+    codes, counts, checksums = token_files.pack(np.concatenate([ids, ids + 5, ids]))
+    for at in [*range(10), *range(10, len(codes[0]), 900)]:
+        for flip in (1, 128):
+            broken = bytearray(codes[0])
+            broken[at] ^= flip
+            if at < len(broken) - 8:  # the last words may hold bits that do not count
+                with pytest.raises(ValueError):
+                    token_files.unpack([bytes(broken), *codes[1:]], counts, checksums)
+    for left in (0, 3, 5, 400):
+        with pytest.raises(ValueError):
+            token_files.unpack([codes[0][:left], *codes[1:]], counts, checksums)
+
+
+def test_frames_read_together_keep_their_documents():
+    rng = np.random.default_rng(8)
+    frames, want = [], []
+    for part, before, sizes in ((0, 0, [5, 9000, 1]), (0, 9006, [1, 1]), (1, 0, [4096]), (1, 4096, [7])):
+        ids = rng.integers(0, 50_000, sum(sizes))
+        codes, blocks, checksums = token_files.pack(ids)
+        frames.append((part, before, [None, *range(1, len(sizes))], sizes, codes, blocks, checksums))
+        cuts = [0, *np.cumsum(sizes).tolist()]
+        want += [(part, i or None, before + a, b - a, ids[a:b].astype("<u4").tobytes()) for i, (a, b) in enumerate(zip(cuts, cuts[1:]))]
+    kinds = [pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.binary()), pa.list_(pa.int32()), pa.list_(pa.int64())]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*frames), kinds)],
+                                       ["part", "ids_before", "doc_ids", "n_tokens", "codes", "block_ids", "checksums"])
+    got = [tuple(r.values()) for b in token_files._documents(iter([batch])) for r in b.to_pylist()]
+    assert got == want
+
+
 def test_coder_round_trips():
     rng = np.random.default_rng(3)
     blocks = [rng.integers(0, high, rng.integers(1, 3000)) for high in (1, 2, 300, 50_257, 65_536) for _ in range(5)]
