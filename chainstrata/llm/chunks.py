@@ -13,7 +13,6 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Callable, Iterable
-from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -89,7 +88,7 @@ for _kind, _after in ((_ALPHA, (_BLANK, _WHITE, _DIGIT, _PUNCT, _QUOTE)), (_DIGI
         _CUT[_kind * 16 + _byte] = 1
 _KIND, _CUT = bytes(_KIND), bytes(_CUT)
 # Pieces that are one match of the pattern, whatever stands beside them.
-SINGLE = re.compile(f" ?[{_LETTER}]+| ?[{_SIGN}]+| ?[0-9]+")
+SINGLE = f"\\A ?(?:[A-Za-zÀ-ÖØ-öø-ɏ]+|[{_SIGN}]+|[0-9]+)\\z"
 _BYTE_SIGNS = {b: chr(b) for b in (*range(33, 127), *range(161, 173), *range(174, 256))}
 _BYTE_SIGNS |= {b: chr(256 + n) for n, b in enumerate(b for b in range(256) if b not in _BYTE_SIGNS)}
 
@@ -157,11 +156,11 @@ class TokenIds:
         coded, held = pieces.dictionary_encode(), len(self.known)
         both = pa.chunked_array([self.known, coded.dictionary]).dictionary_encode().chunk(int(held > 0))
         entry, self.known = np.asarray(both.indices).take(np.asarray(coded.indices)), both.dictionary
-        new = self._encode(self.known[held:].to_numpy(zero_copy_only=False).tolist())
-        sizes = np.fromiter(map(len, new), np.int64, len(new))
-        self.offsets = np.concatenate((self.offsets, self.offsets[-1] + np.cumsum(sizes)))
-        self.ids = np.concatenate((self.ids, np.fromiter(chain.from_iterable(new), np.uint32, int(sizes.sum()))))
-        self.met = np.bincount(entry, minlength=len(self.known)) + np.pad(self.met, (0, len(new)))
+        if len(self.known) > held:
+            ids, sizes = self._encode(self.known[held:])
+            self.offsets = np.concatenate((self.offsets, self.offsets[-1] + np.cumsum(np.array(sizes, np.int64))))
+            self.ids = np.concatenate((self.ids, np.array(ids, np.uint32)))
+        self.met = np.bincount(entry, minlength=len(self.known)) + np.pad(self.met, (0, len(self.known) - held))
         return entry
 
     def _forget(self) -> None:
@@ -172,18 +171,21 @@ class TokenIds:
         self.ids, self.offsets = self.ids[np.repeat(keep, sizes)], np.concatenate(([0], np.cumsum(sizes[keep])))
         self.known, self.met = self.known.filter(pa.array(keep)), self.met[keep] // 2
 
-    def _encode(self, pieces: list[str]) -> list[list[int]]:
-        out: list = [None] * len(pieces)
-        if self.direct:
-            tokenize, single = self.tokenizer.model.tokenize, SINGLE.fullmatch
-            for i, p in enumerate(pieces):
-                if single(p):
-                    signs = p.replace(" ", "Ġ") if p.isascii() else p.encode().decode("latin-1").translate(_BYTE_SIGNS)
-                    out[i] = [t.id for t in tokenize(signs)]
-        rest = [i for i, ids in enumerate(out) if ids is None]
-        for i, encoded in zip(rest, self.tokenizer.encode_batch_fast([pieces[i] for i in rest], add_special_tokens=False)):
-            out[i] = encoded.ids
-        return out
+    def _encode(self, pieces: pa.Array) -> tuple[list[int], list[int]]:
+        """Ids of all pieces, and the number of each one's."""
+        single = np.asarray(pc.match_substring_regex(pieces, SINGLE)) & self.direct
+        texts, tokenize = pieces.to_numpy(zero_copy_only=False).tolist(), self.tokenizer.model.tokenize
+        rest = iter(self.tokenizer.encode_batch_fast([texts[i] for i in np.flatnonzero(~single).tolist()], add_special_tokens=False))
+        ids, sizes = [], []
+        for text, one in zip(texts, single.tolist()):
+            if one:
+                signs = text.replace(" ", "Ġ") if text.isascii() else text.encode().decode("latin-1").translate(_BYTE_SIGNS)
+                own = [t.id for t in tokenize(signs)]
+            else:
+                own = next(rest).ids
+            ids += own
+            sizes.append(len(own))
+        return ids, sizes
 
 
 _HELD: dict[str, TokenIds] = {}
