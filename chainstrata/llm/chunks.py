@@ -29,7 +29,8 @@ PIECE = re.compile(
     f"|[{_SPACE}]*[{_SIGN}]+(?=[{_LETTER}{_SPACE}]|\\Z)"
     f"|[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
 CACHE = 300_000
-HELD = 700_000
+HELD = 500_000
+_SLICE = 1 << 20
 LONG = 64
 
 
@@ -137,7 +138,8 @@ class TokenIds:
         size = int(bounds[-1] - bounds[0])
         data = texts.buffers()[2].slice(int(bounds[0]), size) if size else pa.py_buffer(b"")
         bounds = bounds - bounds[0]
-        marks = cut_marks(data.to_pybytes())
+        # Some bytes at a time take little memory; a cut missed between them only makes a piece longer.
+        marks = np.concatenate([cut_marks(data.slice(at, min(_SLICE, size - at)).to_pybytes()) for at in range(0, size + 1, _SLICE)])
         marks[bounds[:-1][bounds[:-1] < size]] = True
         starts = np.flatnonzero(marks)
         entry = self._entries(pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(np.append(starts, size)), data))
@@ -147,6 +149,7 @@ class TokenIds:
         chosen = lists.take(pa.array(np.insert(entry, last, len(self.known))))
         if len(self.known) > self.limit:
             self._forget()
+        pa.default_memory_pool().release_unused()
         return chosen.flatten().to_numpy(), np.diff(np.asarray(chosen.offsets)[last + np.arange(1, len(last) + 1)], prepend=0)
 
     def _entries(self, pieces: pa.Array) -> np.ndarray:

@@ -465,7 +465,7 @@ def _frames(model: str, end: int):
     return run
 
 
-def _by_bytes(batches: Iterator[pa.RecordBatch], most: int = 1 << 23) -> Iterator[tuple[pa.Array, pa.Array]]:
+def _by_bytes(batches: Iterator[pa.RecordBatch], most: int = 1 << 24) -> Iterator[tuple[pa.Array, pa.Array]]:
     """Ids and texts in runs of about ``most`` bytes, at least one text each."""
     ids, texts, held = [], [], 0
     for batch in batches:

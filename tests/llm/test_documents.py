@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from chainstrata.llm import bpe, line_dedup, mixing, quality, simhash, token_files, toxicity
+from chainstrata.llm import bpe, chunks, line_dedup, mixing, quality, simhash, token_files, toxicity
 from chainstrata.llm.chunks import PIECE, TokenIds, cut_marks, token_ids
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, _id string, row int, label string, size int"
@@ -177,7 +177,7 @@ def test_marks_are_safe_places_to_cut(ranks):
         assert plain.encode_ordinary(text) == [x for p in pieces for x in plain.encode_ordinary(p)]
 
 
-def test_ids_of_many_texts_equal_those_of_each_and_a_piece_is_encoded_once():
+def test_ids_of_many_texts_equal_those_of_each_and_a_piece_is_encoded_once(monkeypatch):
     path = public_tokenizers.path("byte_bpe_50k.json")
     plain = Tokenizer.from_file(path)
     plain.encode_special_tokens = True
@@ -192,6 +192,9 @@ def test_ids_of_many_texts_equal_those_of_each_and_a_piece_is_encoded_once():
             assert np.split(ids, np.cumsum(n)[:-1])[0].tolist() == (want[at] if stop > at else [])
             assert n.tolist() == list(map(len, want[at:stop])) and ids.tolist() == [x for w in want[at:stop] for x in w]
         assert (len(asked) == len(set(asked))) == (limit > 50)
+    monkeypatch.setattr(chunks, "_SLICE", 7)  # bytes marked at a time may end anywhere
+    ids, n = TokenIds(open(path, encoding="utf-8").read()).of(pa.array(texts, pa.string()), 2)
+    assert ids.tolist() == [x for w in want for x in w]
     model = open(path, encoding="utf-8").read()
     assert token_ids(model) is token_ids(model)  # a worker's next task finds what is held
 
