@@ -54,7 +54,8 @@ def _landed_blocks(spark: SparkSession, sf: str) -> str:
 
 def _land(blocks: DataFrame, path: str) -> None:
     """Compressed files, many enough to be read in parallel: such a file is not split."""
-    blocks.write.mode("append").option("maxRecordsPerFile", LANDED_ROWS).text(path, compression="lz4")
+    (blocks.write.mode("append").option("maxRecordsPerFile", LANDED_ROWS).option("zlib.compress.level", "BEST_SPEED")
+     .text(path, compression="gzip"))
 
 
 @query(f"""WITH o AS (SELECT md5(CAST(o_orderkey AS VARCHAR)) AS id, md5(o_orderkey || 'b') AS id2, {CENTS} AS sats,
@@ -99,7 +100,7 @@ def _delivered_ledger(spark: SparkSession, sf: str) -> str:
 
     def follow() -> None:
         tables.refresh_batches(spark, sources, "outputs", f"{warehouse}/utxo_events",
-                               lambda part: utxo.utxo_events(part["outputs"], part["inputs"]))
+                               lambda part: utxo.utxo_events(part["outputs"], part["inputs"]), row_by_row=True)
 
     for delivery in (orders.filter(early & ~late), orders.filter((key >= top * 0.5) & ~(early & late)),
                      orders.filter(early & late & ~again).unionByName(doubled)):

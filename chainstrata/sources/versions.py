@@ -65,6 +65,18 @@ def _put(spark: SparkSession, fs, target: str, text: str) -> None:
         raise OSError(f"{target} exists: two writers on one table")
 
 
+def text(spark: SparkSession, file: str) -> str:
+    """A small file as text."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(file)
+    return _text(spark, where.getFileSystem(spark._jsc.hadoopConfiguration()), where)
+
+
+def put(spark: SparkSession, file: str, content: str) -> None:
+    """Write a small file that appears whole or not at all."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(file)
+    _put(spark, where.getFileSystem(spark._jsc.hadoopConfiguration()), file, content)
+
+
 def width(spark: SparkSession, path: str, usual: int) -> int:
     """Blocks per batch of a table."""
     where = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{FOLDER}/{WIDTH}")

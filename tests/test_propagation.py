@@ -1,12 +1,15 @@
 """Late, replaced and removed batches reach derived tables; streams survive ties, restarts and lost checkpoints."""
 
 import datetime as dt
+import hashlib
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from chainstrata.operators import utxo
 from chainstrata.plans import feeds
-from chainstrata.session import scratch_path
+from chainstrata.session import scratch_path, shared_dir
 from chainstrata.sources import tables, versions
 from chainstrata.streaming import jobs
 from test_sources import block, land, orders
@@ -218,3 +221,108 @@ def test_scores_on_state_equal_batch_scores(spark):
         want["a", T0 + dt.timedelta(minutes=i)] = (p, "LONG" if p >= 0.6 and i < 20 else "WAIT")
     want["b", T0 + dt.timedelta(seconds=9)] = (121.0 / 40, "WAIT")
     assert got == want and {s for _, s in got.values()} == {"LONG", "WAIT"}
+
+
+def bytes_written(spark):
+    return sum(s.getBytesWritten() for s in spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics() if s.getScheme() == "file")
+
+
+def stored_bytes(path):
+    return sum(f.stat().st_size for f in Path(path.removeprefix("file:")).rglob("*.parquet"))
+
+
+def hashed_blocks(heights):
+    """Blocks of two transactions whose names do not compress."""
+    out = []
+    for h in heights:
+        b, name = block(h, 2), lambda *parts: hashlib.md5(repr(parts).encode()).hexdigest()
+        b["hash"] = name(h)
+        for i, tx in enumerate(b["tx"]):
+            tx["txid"], tx["hash"] = name(h, i), name(h, i, "w")
+            for o in tx["vout"]:
+                o["scriptPubKey"] = {"type": "pubkeyhash", "hex": name(h, i, o["n"])}
+        out.append(b)
+    return out
+
+
+def test_a_merge_writes_its_rows_once(spark):
+    """The second load touches every batch: what it writes are the landed blocks and each table, not each table twice."""
+    landed, warehouse, state = (scratch_path(spark, n) for n in ("landed", "warehouse", "state"))
+    land(spark, landed, hashed_blocks(h for h in range(6000) if h % 10))
+    jobs.ingest_blocks(spark, landed, warehouse, state, blocks=2000).awaitTermination()
+    land(spark, landed, hashed_blocks(range(0, 6000, 10)))
+    before = bytes_written(spark)
+    jobs.ingest_blocks(spark, landed, warehouse, state).awaitTermination()
+    tables_only = sum(stored_bytes(f"{warehouse}/{n}") for n in ("blocks", "txs", "inputs", "outputs"))
+    assert spark.read.parquet(f"{warehouse}/txs").count() == 12_000
+    assert bytes_written(spark) - before < 1.5 * tables_only
+    assert not list(Path(shared_dir(spark)).glob("micro-*"))
+
+
+def test_large_merges_shuffle_no_rows(spark, monkeypatch):
+    """Where files would be large, every task writes its own rows; late, replaced and emptied blocks come out alike."""
+    monkeypatch.setattr(tables, "SMALLEST_FILE", 0)
+    monkeypatch.setattr(tables, "GROUP", 0)
+    writer, spreads = tables._writer, []
+    monkeypatch.setattr(tables, "_writer", lambda df, by, sort, spread=True: spreads.append(spread) or writer(df, by, sort, spread))
+    landed, warehouse, state = (scratch_path(spark, n) for n in ("landed", "warehouse", "state"))
+    land(spark, landed, [block(h, 2) for h in range(0, 700, 7)])
+    jobs.ingest_blocks(spark, landed, warehouse, state).awaitTermination()
+    sources = {n: f"{warehouse}/{n}" for n in ("outputs", "inputs")}
+    events = lambda part: utxo.utxo_events(part["outputs"], part["inputs"])
+    follow = lambda: tables.refresh_batches(spark, sources, "outputs", f"{warehouse}/events", events, row_by_row=True)
+    assert follow() == [0, 1, 2]
+    replaced = block(7, 1)
+    emptied = {**block(14), "tx": []}
+    land(spark, landed, [block(3, 2), replaced, emptied])
+    jobs.ingest_blocks(spark, landed, warehouse, state).awaitTermination()
+    assert follow() == [0] and spreads == [False] * 12
+    count = {r.height: r["count"] for r in spark.read.parquet(f"{warehouse}/txs").groupBy("height").count().collect()}
+    assert count == {**{h: 2 for h in range(0, 700, 7) if h != 14}, 3: 2, 7: 1}
+    events = {r.height: r["count"] for r in spark.read.parquet(f"{warehouse}/events").groupBy("height").count().collect()}
+    assert events == {h: 2 * n + n - 1 for h, n in count.items()}
+    odd = lambda part: part["outputs"].filter("height < 0").select("height")
+    built = lambda: tables.refresh_batches(spark, {"outputs": sources["outputs"]}, "outputs", f"{warehouse}/odd", odd, row_by_row=True)
+    assert built() == [0, 1, 2] and built() == [] and not list(Path(f"{warehouse}/odd").glob("batch_id=*"))
+
+
+@pytest.mark.parametrize("most", [0, 2**21])
+def test_rows_that_give_way(spark, monkeypatch, most):
+    """Packed heights and a join agree, on negative, missing and repeated heights too."""
+    monkeypatch.setattr(tables, "MOST_WORDS", most)
+    rows = spark.createDataFrame([(h, i) for i, h in enumerate([-130, -65, -64, -1, 0, 63, 63, 64, 2**40 + 63, None])], "height bigint, v bigint")
+    gone = spark.createDataFrame([(h,) for h in (-130, -64, 63, 63, 2**40 + 63, 5, None)], "height bigint")
+    left = tables._without(rows, gone, ["height"])
+    assert sorted(r.v for r in left.collect()) == [1, 3, 4, 7, 9] and left.columns == ["height", "v"]
+    assert sorted(r.height for r in tables.numbers(tables.bit_words(gone, "height"), "height").collect()) == [-130, -64, 5, 63, 2**40 + 63]
+
+
+def test_a_swap_that_died_between_two_batches(spark, monkeypatch):
+    """One batch has moved, one is to move, one has lost all its rows."""
+    path, staged = scratch_path(spark, "t"), scratch_path(spark, "staged")
+    put(spark, path, (1, 1), (300, 3), (600, 6))
+    frame = heights(spark, (1, 10), (301, 30)).withColumn("batch_id", tables.batch_id(F.col("height")))
+    arrived = heights(spark, (1, 0), (301, 0), (600, 0))
+    merge = lambda: tables.upsert_partitions(frame, path, ["height"], ["batch_id"], staged=staged, arrived=arrived, touched=[(0,), (1,), (2,)])
+    real = tables.replace_partitions
+
+    def dies(*args, **kwargs):
+        tables.reset(spark, f"{path}/batch_id=0")
+        Path(staged, "batch_id=0").rename(Path(path, "batch_id=0"))
+        raise OSError("lost")
+
+    monkeypatch.setattr(tables, "replace_partitions", dies)
+    with pytest.raises(OSError):
+        merge()
+    monkeypatch.setattr(tables, "replace_partitions", real)
+    merge()
+    assert rows_of(spark, path) == [(1, 10), (300, 3), (301, 30)]
+    assert not Path(path, "batch_id=2").exists() and not Path(staged).exists()
+
+
+def test_staged_files_in_another_store_are_written_again(spark, monkeypatch):
+    monkeypatch.setattr(tables, "_move_partitions", lambda *args: False)
+    path = scratch_path(spark, "t")
+    put(spark, path, (1, 1), (300, 3))
+    put(spark, path, (1, 2), (2, 2))
+    assert rows_of(spark, path) == [(1, 2), (2, 2), (300, 3)]
